@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Static settings, which only a new session can take. Call-site capture costs
+# several driver round trips per column expression.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime settings on a session somebody else created."""
@@ -34,7 +38,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

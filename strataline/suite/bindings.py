@@ -8,6 +8,9 @@ parents, bad text, values outside their vocabulary. ``ctes`` states the same in
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans import assured, baseline, model
@@ -20,6 +23,28 @@ EVENT_CUT = "2024-01-16"
 RUN_ID = "dev_batch_run"
 
 
+class Frames(Mapping):
+    """Frames by name, each one declared when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._frames = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._builders[name]()
+        return self._frames[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+
+# ``cache`` below keeps declared plans per session, not data: queries of one
+# session share the declaration of a layer and each of them still runs it.
+
+@cache
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     apply_settings(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -70,10 +95,12 @@ def _located(supplier: DataFrame, spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+@cache
 def schools(spark: SparkSession, folder: str) -> DataFrame:
     return _located(table(spark, folder, "supplier"), spark, folder)
 
 
+@cache
 def schools_second(spark: SparkSession, folder: str) -> DataFrame:
     """The next delivery: suppliers with a balance under 1000 are closed now."""
     later = F.when(F.col("s_acctbal") < 1000, -1.0).otherwise(F.col("s_acctbal"))
@@ -97,10 +124,12 @@ def _students_of(customer: DataFrame, *extra: Column) -> DataFrame:
         *extra)
 
 
+@cache
 def students(spark: SparkSession, folder: str) -> DataFrame:
     return _students_of(table(spark, folder, "customer"))
 
 
+@cache
 def attendance_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Attendance with its batch and month id, from every lineitem."""
     possible = F.when(F.month("l_shipdate") == 1, F.lit(0)).otherwise(F.col("l_quantity").cast("int"))
@@ -123,10 +152,12 @@ def attendance_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@cache
 def attendance(spark: SparkSession, folder: str) -> DataFrame:
     return attendance_rows(spark, folder).drop("batch_id", "reporting_month", "raw_row_number")
 
 
+@cache
 def assessment_rows(spark: SparkSession, folder: str) -> DataFrame:
     key, priority, status = F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus")
     return table(spark, folder, "orders").select(
@@ -147,10 +178,12 @@ def assessment_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@cache
 def assessment_results(spark: SparkSession, folder: str) -> DataFrame:
     return assessment_rows(spark, folder).drop("batch_id", "reporting_month", "raw_row_number")
 
 
+@cache
 def event_rows(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("event_type")
     return table(spark, folder, "events").select(
@@ -166,10 +199,12 @@ def event_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@cache
 def school_events(spark: SparkSession, folder: str) -> DataFrame:
     return event_rows(spark, folder).drop("batch_id", "reporting_month", "raw_row_number")
 
 
+@cache
 def batched_students(spark: SparkSession, folder: str) -> DataFrame:
     """Both batches: the first lists customers in credit, the second everyone."""
     customer = table(spark, folder, "customer")
@@ -177,6 +212,7 @@ def batched_students(spark: SparkSession, folder: str) -> DataFrame:
     return first.unionByName(_students_of(customer).withColumn("batch_id", F.lit(BATCH_2)))
 
 
+@cache
 def batched_schools(spark: SparkSession, folder: str) -> DataFrame:
     first = schools(spark, folder).withColumn("batch_id", F.lit(BATCH_1))
     return first.unionByName(schools_second(spark, folder).withColumn("batch_id", F.lit(BATCH_2)))
@@ -184,26 +220,33 @@ def batched_schools(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---------------------------------------------------------------- pipelines over the bound tables
 
-def staged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+@cache
+def staged(spark: SparkSession, folder: str) -> Frames:
     """The baseline pipeline's typed staging."""
     raw = {"schools": schools, "students": students, "attendance": attendance,
            "assessment_results": assessment_results, "school_events": school_events}
-    return {name: baseline.stage(build(spark, folder), name, f"{name}.csv")
-            for name, build in raw.items()}
+    return Frames({
+        name: lambda name=name, build=build: baseline.stage(build(spark, folder), name, f"{name}.csv")
+        for name, build in raw.items()})
 
 
-def bronze(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+@cache
+def bronze(spark: SparkSession, folder: str) -> Frames:
     """The assured pipeline's bronze, both batches, with a fixed load time."""
     raw = {"schools": batched_schools, "students": batched_students, "attendance": attendance_rows,
            "assessment_results": assessment_rows, "school_events": event_rows}
-    loaded = F.lit("2026-01-15 00:00:00").cast("timestamp")
-    return {name: assured.stamp(build(spark, folder), name, F.col("batch_id"), F.lit(RUN_ID),
-                                F.lit(f"{name}.csv"), loaded)
-            for name, build in raw.items()}
 
+    def stamped(name: str) -> DataFrame:
+        return assured.stamp(raw[name](spark, folder), name, F.col("batch_id"), F.lit(RUN_ID),
+                             F.lit(f"{name}.csv"), F.lit("2026-01-15 00:00:00").cast("timestamp"))
+
+    return Frames({name: lambda name=name: stamped(name) for name in raw})
 
-def silver(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: assured.conform(df, name) for name, df in bronze(spark, folder).items()}
+
+@cache
+def silver(spark: SparkSession, folder: str) -> Frames:
+    source = bronze(spark, folder)
+    return Frames({name: lambda name=name: assured.conform(source[name], name) for name in source})
 
 
 def _sliced(df: DataFrame, dataset: str, month: Column, row: Column) -> DataFrame:
@@ -216,26 +259,35 @@ def _sliced(df: DataFrame, dataset: str, month: Column, row: Column) -> DataFram
 SNAPSHOT_MONTH = "1995-01"
 
 
-def monthly_bronze(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Monthly slices. Schools arrive in the snapshot month, students spread over
-    seven years, the others in the month of their date."""
+def _monthly_schools(spark: SparkSession, folder: str) -> DataFrame:
     number = F.regexp_extract("school_name", "([0-9]+)$", 1).cast("bigint")
+    return _sliced(schools(spark, folder), "schools", F.lit(SNAPSHOT_MONTH), number)
+
+
+def _monthly_students(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("c_custkey")
-    customer = table(spark, folder, "customer")
     month = F.concat(_text(1995 + key % 7), F.lit("-"), F.lpad(_text(1 + key % 12), 2, "0"))
-    return {
-        "schools": _sliced(schools(spark, folder), "schools", F.lit(SNAPSHOT_MONTH), number),
-        "students": _sliced(_students_of(customer, key.alias("_key"), month.alias("_month")),
-                            "students", F.col("_month"), F.col("_key")),
-        "attendance": _sliced(attendance_rows(spark, folder), "attendance",
-                              F.col("reporting_month"), F.col("raw_row_number")),
-        "assessment_results": _sliced(assessment_rows(spark, folder), "assessment_results",
-                                      F.col("reporting_month"), F.col("raw_row_number")),
-        "school_events": _sliced(event_rows(spark, folder), "school_events",
-                                 F.col("reporting_month"), F.col("raw_row_number")),
-    }
+    rows = _students_of(table(spark, folder, "customer"), key.alias("_key"), month.alias("_month"))
+    return _sliced(rows, "students", F.col("_month"), F.col("_key"))
+
 
+@cache
+def monthly_bronze(spark: SparkSession, folder: str) -> Frames:
+    """Monthly slices. Schools arrive in the snapshot month, students spread over
+    seven years, the others in the month of their date."""
+    def dated(rows: Callable, name: str) -> Callable[[], DataFrame]:
+        return lambda: _sliced(rows(spark, folder), name, F.col("reporting_month"), F.col("raw_row_number"))
+
+    return Frames({
+        "schools": lambda: _monthly_schools(spark, folder),
+        "students": lambda: _monthly_students(spark, folder),
+        "attendance": dated(attendance_rows, "attendance"),
+        "assessment_results": dated(assessment_rows, "assessment_results"),
+        "school_events": dated(event_rows, "school_events"),
+    })
 
+
+@cache
 def slices(spark: SparkSession, folder: str) -> DataFrame:
     """Every calendar month from the first to the last ship date, and those of events."""
     span = table(spark, folder, "lineitem").agg(
@@ -246,7 +298,13 @@ def slices(spark: SparkSession, folder: str) -> DataFrame:
                          F.date_format("d", "yyyy_MM").alias("source_batch_id"))
 
 
+@cache
 def known_students(spark: SparkSession, folder: str) -> DataFrame:
     """The conformed students before these slices: customers in credit."""
     return table(spark, folder, "customer").filter("c_acctbal >= 0").select(
         _prefixed("STU", F.col("c_custkey")).alias("student_id"))
+
+
+@cache
+def assured_marked(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return assured.mark(silver(spark, folder))

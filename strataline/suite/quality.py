@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import functions as F
 
 from ..functions import labels
@@ -20,7 +22,7 @@ class Assured:
     def __init__(self, spark, folder):
         self.silver = b.silver(spark, folder)
         self.rules = assured.quality_rules(b.as_of())
-        self.marked = assured.mark(self.silver)
+        self.marked = b.assured_marked(spark, folder)
 
     @property
     def results(self):
@@ -31,6 +33,7 @@ class Assured:
         return assured.failed_record_rows(self.marked, self.rules, F.lit(b.RUN_ID))
 
 
+@cache
 def monthly_run(spark, folder):
     return monthly.assess(
         b.monthly_bronze(spark, folder), b.schools(spark, folder), b.known_students(spark, folder),
