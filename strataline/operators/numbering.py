@@ -10,26 +10,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialise
 
 HASH_DIGITS = 3  # 16**3 buckets; the offset table has at most that many rows
 
 
-def _offsets(rows: DataFrame, bucket: str) -> DataFrame:
-    """Rows before each bucket. At most one row per bucket, so the running total
-    runs on a bounded table."""
-    counts = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-
-
 def _number_in_buckets(rows: DataFrame, bucket: str, order: Sequence[str], name: str) -> DataFrame:
+    """Row number within the bucket plus the rows of the buckets before it.
+
+    The offsets come from the numbered rows, so both sides share one shuffle.
+    There is at most one row per bucket: the running total and the broadcast are
+    bounded by the number of buckets.
+    """
     window = Window.partitionBy(bucket).orderBy(*order)
+    numbered = rows.withColumn("_rn", F.row_number().over(window))
+    sizes = numbered.groupBy(bucket).agg(F.max("_rn").cast("bigint").alias("_n"))
+    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(bucket, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return (
-        rows.withColumn("_rn", F.row_number().over(window))
-        .join(F.broadcast(_offsets(rows, bucket)), bucket)
-        .withColumn(name, (F.col("_before") + F.col("_rn")).cast("bigint"))
-        .drop(bucket, "_before", "_rn")
+        numbered.join(F.broadcast(offsets), bucket)
+        .withColumn(name, F.col("_before") + F.col("_rn")).drop(bucket, "_before", "_rn")
     )
 
 
@@ -61,12 +61,9 @@ def dense_order_numbers(df: DataFrame, order: Sequence[str], name: str) -> DataF
     checkpoint: both the counts and the numbers below must see the same ones,
     also when an executor is lost in between.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    ranged = (
+    ranged = materialise(
         df.repartitionByRange(*[F.col(c) for c in order])
-        .withColumn("_range", F.spark_partition_id()).checkpoint()
-    )
+        .withColumn("_range", F.spark_partition_id()))
     return _number_in_buckets(ranged, "_range", order, name).select(name, *df.columns)
 
 

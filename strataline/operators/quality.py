@@ -93,25 +93,35 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 def failed_records(marked: DataFrame, rules: Sequence[Rule], by: Sequence[str],
                    carry: Sequence[str], payload: Sequence[str]) -> DataFrame:
-    """One row per record and failed rule, with the record as JSON.
+    """One row per record and failed rule of one table, with the record as JSON.
 
     ``carry`` names lineage columns to keep. Rows that fail nothing are dropped
-    before the JSON is built.
+    before the JSON is built. The table name is a literal, so a filter on it
+    removes the other tables' branches from a union at planning time.
     """
+    rules = [r for r in rules if r.rejects]
+    (target_table,) = {r.target_table for r in rules}
     failures = F.array_compact(F.array(*[
         F.when(r.fails(), F.struct(
-            F.lit(r.rule_id).alias("rule_id"), F.lit(r.target_table).alias("target_table"),
+            F.lit(r.rule_id).alias("rule_id"),
             F.col(r.business_key).cast("string").alias("business_key"),
             F.lit(r.failure_reason).alias("failure_reason")))
-        for r in rules if r.rejects
+        for r in rules
     ]))
     return (
         marked.withColumn("_failures", failures).filter(F.size("_failures") > 0)
-        .select(*by, *carry, json_payload(list(payload)).alias("failed_record_json"),
-                F.inline("_failures"))
+        .select(*by, *carry, F.lit(target_table).alias("target_table"),
+                json_payload(list(payload)).alias("failed_record_json"), F.inline("_failures"))
     )
 
 
+def passing(marked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows that fail none of the rules: quarantine in the pass that marks, with
+    no join back from captured failures."""
+    failed = reduce(lambda a, b: a | b, [r.fails() for r in rules])
+    return marked.filter(~failed)
+
+
 def quarantine_keys(failed: DataFrame, table: str, rule_ids: Sequence[str], key: str) -> DataFrame:
     """Distinct record ids that disqualify a row of ``table`` from the facts."""
     return (

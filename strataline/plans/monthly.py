@@ -26,6 +26,7 @@ from ..operators.quality import (Rule, caveats, describe, failed_records, failur
 from ..operators.reconcile import slice_counts
 from ..operators.rows import latest_per_key, mark_duplicates
 from ..operators.upsert import upsert, upsert_changed
+from ..session import materialise
 from .model import SCORE_RANGE, SOURCE_COLUMNS
 
 SLICE = ("source_batch_id", "reporting_month")
@@ -316,7 +317,9 @@ def _as_state(rows: DataFrame) -> DataFrame:
 
 
 def _merge_state(state: DataFrame, rows: DataFrame, key: str, surrogate: str) -> DataFrame:
-    """Give new keys a number and update only what changed or moved month."""
+    """Give new keys a number and update only what changed or moved month. The
+    conformed rows feed the numbering and the merge, so they are computed once."""
+    rows = materialise(rows)
     numbers = extend_surrogates(state.select(key, surrogate), rows.select(key), key, surrogate)
     source = _as_state(rows).join(numbers, key).select(*state.columns)
     return upsert_changed(state, source, [key], "record_hash", "last_seen_reporting_month",
@@ -366,6 +369,7 @@ def merge_by_id(state: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 
 
 def merge_assessment(state: DataFrame, rows: DataFrame) -> DataFrame:
+    rows = materialise(rows)
     numbers = extend_surrogates(state.select("assessment_id", "assessment_result_key"),
                                 rows.select("assessment_id"), "assessment_id",
                                 "assessment_result_key")

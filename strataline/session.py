@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Broadcasts are left to AQE, which decides on measured
 # sizes; skew joins are split even where that costs one more shuffle.
@@ -62,3 +62,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         shared = tempfile.mkdtemp(prefix="strataline-checkpoint-")
     context.setCheckpointDir(shared)
     return shared
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute once what several branches of a plan read, and cut its lineage.
+
+    A reliable checkpoint in the shared folder: it survives lost executors, which
+    a cached or locally checkpointed frame does not.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -8,6 +8,7 @@ from ..functions import checks
 from ..functions.keys import hash_key
 from ..operators import history, matching, rows, upsert
 from ..plans import assured, monthly
+from ..session import materialise
 from . import bindings as b
 from .quality import monthly_run
 from .registry import register
@@ -196,15 +197,16 @@ def latest_overall(spark, folder):
 
 
 class Monthly:
-    """Conformed state, dimensions and facts of the monthly pipeline over all slices."""
+    """Conformed state, dimensions and facts of the monthly pipeline over all slices.
+    The two state tables are materialised, as the pipeline stores them."""
 
     def __init__(self, spark, folder):
         self.bronze, self.slices = b.monthly_bronze(spark, folder), b.slices(spark, folder)
         self.quality = monthly_run(spark, folder)
         state = monthly.empty_state(spark)
-        self.schools = monthly.merge_schools(state["school"], self.bronze["schools"])
-        self.students = monthly.merge_students(state["student"], self.bronze["students"],
-                                               self.quality.rejected, self.schools)
+        self.schools = materialise(monthly.merge_schools(state["school"], self.bronze["schools"]))
+        self.students = materialise(monthly.merge_students(
+            state["student"], self.bronze["students"], self.quality.rejected, self.schools))
         self._state = state
         self.spark = spark
 

@@ -207,9 +207,7 @@ class AssuredStar(Assured):
 
     def good(self, dataset, rule_ids):
         table = f"silver.{dataset}"
-        rules = [r for r in self.rules if r.rule_id in rule_ids]
-        failed = assured.failed_record_rows({table: self.marked[table]}, rules, F.lit(b.RUN_ID))
-        return assured.trusted(self.silver[dataset], failed, table, rule_ids)
+        return assured.trusted_in_one_pass(self.marked[table], self.rules, table, rule_ids)
 
     @property
     def attendance(self):
@@ -257,6 +255,14 @@ def dim_student(spark, folder):
     return AssuredStar(spark, folder).students.drop("run_id", "load_timestamp", "source_file_name")
 
 
+@register("quarantine_join", "b_good_attendance", "SELECT * FROM b_good_attendance")
+def quarantine_join(spark, folder):
+    """Trusted rows by the captured failures: an anti join on the record id."""
+    run = AssuredStar(spark, folder)
+    return assured.trusted(run.silver["attendance"], run.failed, "silver.attendance",
+                           assured.ATTENDANCE_QUARANTINE).drop("run_id", "load_timestamp", "source_file_name")
+
+
 @register("fact_trusted", "b_fact_attendance", "SELECT * FROM b_fact_attendance")
 def fact_trusted(spark, folder):
     return AssuredStar(spark, folder).fact_attendance.drop("source_run_id")
