@@ -31,3 +31,9 @@ def complement_decimal(part: ColumnOrName, whole: ColumnOrName) -> Column:
 
 def percent(part: ColumnOrName, whole: ColumnOrName, digits: int = 2) -> Column:
     return F.round(ratio_exact(part, whole) * 100, digits)
+
+
+def steady_round(c: ColumnOrName, digits: int) -> Column:
+    """Round a mean of doubles. The sum behind it depends on the order of the rows in
+    the last bits; rounding to ten digits first keeps that from deciding a tie."""
+    return F.round(F.round(col(c), 10), digits)

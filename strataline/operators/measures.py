@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.bands import AT_RISK_BELOW, Scale
-from ..functions.ratios import ratio_decimal, ratio_double, ratio_exact
+from ..functions.ratios import ratio_decimal, ratio_double, ratio_exact, steady_round
 from .matching import prior_period
 
 
@@ -33,7 +33,7 @@ def attendance_rate_decimal(df: DataFrame, by: Sequence[str], *extra: Column) ->
 def mean_of_ratios(df: DataFrame, by: Sequence[str], name: str = "mean_rate") -> DataFrame:
     """Unweighted mean of each record's own rate; differs from the ratio of sums."""
     return df.groupBy(*by).agg(
-        F.round(F.avg(ratio_exact("attended_days", "possible_days")), 4).alias(name))
+        steady_round(F.avg(ratio_exact("attended_days", "possible_days")), 4).alias(name))
 
 
 def rate_where(condition: Column, name: str) -> Column:
@@ -160,7 +160,8 @@ def mean_rate_to_date(records: DataFrame, keys: Sequence[str], scale: Scale) ->
     mean = F.avg(ratio_exact("attended_days", "possible_days"))
     return (
         records.groupBy(*keys).agg(mean.alias("_mean"))
-        .select(*keys, F.round("_mean", 4).alias("mean_rate"), scale.label("_mean").alias("mean_band"))
+        .select(*keys, steady_round("_mean", 4).alias("mean_rate"),
+                scale.label(F.round("_mean", 10)).alias("mean_band"))
     )
 
 

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import history, ingest, quality, star  # noqa: F401
+from . import history, ingest, quality, recon, reports, star  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -29,7 +29,12 @@ def query(needs: str, body: str) -> str:
     for name in needs.split():
         visit(name)
     heads = ",\n".join(f"{name} AS (\n{CTES[name][1]}\n)" for name in ordered)
-    return f"WITH {heads}\n{body.strip()}" if ordered else body.strip()
+    body = body.strip()
+    if not ordered:
+        return body
+    if body.startswith("WITH "):
+        return f"WITH {heads},\n{body[5:]}"
+    return f"WITH {heads}\n{body}"
 
 
 # ---------------------------------------------------------------- raw datasets
