@@ -48,6 +48,28 @@ def mark_present(child: DataFrame, parent: DataFrame, keys: Sequence[str], flag:
     )
 
 
+def mark_known(child: DataFrame, history: DataFrame, batch: DataFrame, key: str,
+               slice_columns: Sequence[str], in_history: str, in_batch: str) -> DataFrame:
+    """Add two booleans in one join on the key: some earlier state holds it; the
+    row's own slice holds it. ``history`` has the key, ``batch`` key and slice.
+
+    A known key carries the set of slices it occurs in, at most one per slice.
+    """
+    ever = history.select(key).withColumns({"_h": F.lit(True), "_slice": F.lit(None)})
+    own = F.struct(*slice_columns)
+    now = batch.select(key, own.alias("_slice")).withColumn("_h", F.lit(False))
+    known = (
+        ever.select(key, "_h", F.col("_slice").cast(now.schema["_slice"].dataType).alias("_slice"))
+        .unionByName(now).dropna(subset=[key])
+        .groupBy(key).agg(F.max("_h").alias("_h"), F.collect_set("_slice").alias("_slices"))
+    )
+    return (
+        child.join(known, key, "left")
+        .select(*child.columns, F.coalesce(F.col("_h"), F.lit(False)).alias(in_history),
+                F.coalesce(F.array_contains("_slices", own), F.lit(False)).alias(in_batch))
+    )
+
+
 def keep_if_or_present(df: DataFrame, condition: Column, activity: DataFrame,
                        keys: Sequence[str]) -> DataFrame:
     """Rows that meet a condition or have activity (EXISTS under an OR)."""

@@ -26,13 +26,14 @@ class Rule:
     rule_name: str
     target_table: str
     severity: str
-    fails: Callable[[], Column] | None  # over the marked frame; None for volume rules
+    fails: Callable[[], Column] | None  # over a row of the marked frame
     business_key: str = ""
     failure_reason: str = ""
     recommended_action: str = ""
     business_rule: str = ""
     expected_outcome: str = ""
     rejects: bool = True  # failing rows are captured one by one
+    volume: Callable[[Column], Column] | None = None  # over a slice, given its row count
 
 
 CATALOGUE_COLUMNS = ("rule_id", "rule_name", "target_table", "severity", "business_rule",
@@ -199,17 +200,25 @@ def only_ready(df: DataFrame, readiness_rows: DataFrame, by: Sequence[str]) -> D
     return df.join(ready, list(by), "left_semi")
 
 
-def volume_failures(slices: DataFrame, rows: DataFrame, by: Sequence[str], rule_id: str,
-                    minimum: int, applies: Column | None = None) -> DataFrame:
-    """0/1 per slice: fewer rows than ``minimum``. Slices without any row count too."""
-    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    low = F.coalesce(F.col("_n"), F.lit(0)) < minimum
-    if applies is not None:
-        low = low & applies
-    return (
-        slices.select(*by).join(counts, list(by), "left")
-        .select(*by, F.lit(rule_id).alias("rule_id"), low.cast("bigint").alias("failed_record_count"))
-    )
+def slice_failures(slices: DataFrame, marked: DataFrame, rules: Sequence[Rule],
+                   by: Sequence[str]) -> DataFrame:
+    """(by..., rule_id, failed_record_count) of one table for every given slice,
+    also for slices no row has reached. Row rules and the row count that volume
+    rules look at come from one aggregate over the table."""
+    row_rules = [r for r in rules if r.fails is not None]
+    counted = marked.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(r.fails()).alias(r.rule_id) for r in row_rules])
+    joined = slices.select(*by).join(counted, list(by), "left")
+    rows = F.coalesce("_rows", F.lit(0))
+
+    def failures(rule: Rule) -> Column:
+        if rule.volume is not None:
+            return rule.volume(rows).cast("bigint")
+        return F.coalesce(rule.rule_id, F.lit(0))
+
+    pairs = F.array(*[F.struct(F.lit(r.rule_id).alias("rule_id"),
+                               failures(r).alias("failed_record_count")) for r in rules])
+    return joined.select(*by, F.inline(pairs))
 
 
 def volume_movement(counts: DataFrame, prior: DataFrame, low: float, high: float) -> DataFrame:

@@ -22,6 +22,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.unionByName(source)
 
 
+def touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                       partition: str) -> list[str]:
+    """Partitions an upsert changes: those of the source and those that hold one of its
+    keys now. Reads only the key columns of the target; the list is bounded by
+    the number of partitions."""
+    source_keys = source.select(*keys).distinct()
+    held = target.join(source_keys, list(keys), "left_semi").select(partition)
+    return [row[0] for row in held.unionByName(source.select(partition)).distinct().collect()]
+
+
 def upsert_changed(target: DataFrame, source: DataFrame, keys: Sequence[str],
                    hash_column: str, month_column: str, keep: Sequence[str]) -> DataFrame:
     """Replace a matched row only when its hash differs or its month moved;

@@ -6,7 +6,7 @@ like any other, so nothing loops over batches.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -62,7 +62,7 @@ def conform(bronze: DataFrame, dataset: str) -> DataFrame:
     columns = SOURCE_COLUMNS[dataset]
     rows = bronze.select(*[typed(c) for c in columns], *LINEAGE)
     order = ("load_timestamp", "run_id", "bronze_record_id", *columns)
-    return latest_per_key(rows, ["batch_id", RECORD_KEY[dataset]], [F.desc(c) for c in order])
+    return latest_per_key(rows, [RECORD_KEY[dataset], "batch_id"], [F.desc(c) for c in order])
 
 
 # ---------------------------------------------------------------- rules
@@ -134,31 +134,49 @@ ATTENDANCE_QUARANTINE = ("DQ003", "DQ004", "DQ005")
 ASSESSMENT_QUARANTINE = ("DQ006", "DQ007", "DQ008")
 
 
-def mark(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Silver tables with the booleans of the set rules."""
-    student = ["batch_id", "student_id"]
-    active = silver["schools"].filter(F.col("status") == "Active")
-    return {
-        "silver.schools": silver["schools"],
-        "silver.students": silver["students"],
-        "silver.attendance": mark_present(
-            mark_duplicates(silver["attendance"], ["batch_id", *ATTENDANCE_KEY], "_duplicate"),
-            silver["students"], student, "_student_known"),
-        "silver.assessment_results": mark_present(silver["assessment_results"], silver["students"],
-                                                  student, "_student_known"),
-        "silver.school_events": mark_present(silver["school_events"], active,
-                                             ["batch_id", "school_id"], "_school_active"),
-    }
-
-
-def validation_results(marked: dict[str, DataFrame], rules: Sequence[Rule], run_id: Column) -> DataFrame:
+class Marked(Mapping):
+    """Silver tables with the booleans of the set rules, each marked when first asked for."""
+
+    def __init__(self, silver: Mapping[str, DataFrame]):
+        student = ["batch_id", "student_id"]
+        self._made: dict[str, DataFrame] = {}
+        self._make = {
+            "silver.schools": lambda: silver["schools"],
+            "silver.students": lambda: silver["students"],
+            "silver.attendance": lambda: mark_present(
+                mark_duplicates(silver["attendance"], ["batch_id", *ATTENDANCE_KEY], "_duplicate"),
+                silver["students"], student, "_student_known"),
+            "silver.assessment_results": lambda: mark_present(
+                silver["assessment_results"], silver["students"], student, "_student_known"),
+            "silver.school_events": lambda: mark_present(
+                silver["school_events"], silver["schools"].filter(F.col("status") == "Active"),
+                ["batch_id", "school_id"], "_school_active"),
+        }
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._made:
+            self._made[table] = self._make[table]()
+        return self._made[table]
+
+    def __iter__(self):
+        return iter(self._make)
+
+    def __len__(self):
+        return len(self._make)
+
+
+def mark(silver: Mapping[str, DataFrame]) -> Marked:
+    return Marked(silver)
+
+
+def validation_results(marked: Mapping[str, DataFrame], rules: Sequence[Rule], run_id: Column) -> DataFrame:
     counts = union_all([failure_counts(df, rules_of(rules, table), ["batch_id"])
                         for table, df in marked.items()])
     status = result_status(F.col("failed_record_count"), F.col("severity"))
     return describe(counts, rules, status).withColumn("run_id", run_id)
 
 
-def failed_record_rows(marked: dict[str, DataFrame], rules: Sequence[Rule], run_id: Column) -> DataFrame:
+def failed_record_rows(marked: Mapping[str, DataFrame], rules: Sequence[Rule], run_id: Column) -> DataFrame:
     def payload(table: str) -> list[str]:
         return [*SOURCE_COLUMNS[table.split(".")[1]], *LINEAGE]
 

@@ -18,11 +18,11 @@ from ..functions.keys import hash_key
 from ..functions.ratios import ratio_decimal
 from ..functions.text import blank_to_null, is_blank, or_default, to_day_any, to_decimal, to_int
 from ..operators.dimensions import month_dimension
-from ..operators.matching import exclude, latest_lookup, mark_present
+from ..operators.matching import exclude, latest_lookup, mark_known, mark_present
 from ..operators.measures import summed_days
 from ..operators.numbering import extend_surrogates
-from ..operators.quality import (Rule, caveats, describe, failed_records, failure_counts,
-                                 pass_or_fail, readiness, rules_of, union_all, volume_failures)
+from ..operators.quality import (Rule, caveats, describe, failed_records, pass_or_fail, readiness,
+                                 rules_of, slice_failures, union_all)
 from ..operators.reconcile import slice_counts
 from ..operators.rows import latest_per_key, mark_duplicates
 from ..operators.upsert import upsert, upsert_changed
@@ -42,23 +42,29 @@ ASSESSMENT_DOMAINS = ((1, "Reading", 1), (2, "Numeracy", 2), (3, "Writing", 3))
 
 # ---------------------------------------------------------------- rules
 
-def quality_rules() -> list[Rule]:
-    """Fifteen rules; eight of them capture rejected rows, the others only count."""
+def quality_rules(minimum_rows: int = MINIMUM_ATTENDANCE_ROWS,
+                  snapshot_month: str = SNAPSHOT_MONTH) -> list[Rule]:
+    """Fifteen rules; eight of them capture rejected rows, the others only count.
+    Four look at the row count of a slice, two of these only in the snapshot month."""
+    def empty_snapshot(rows: Column) -> Column:
+        return (rows == 0) & (F.col("reporting_month") == snapshot_month)
+
     possible, attended = (lambda: to_int("possible_days")), (lambda: to_int("attended_days"))
 
-    def rule(rule_id, text, table, severity, fails=None, key="", rejects=False):
-        return Rule(rule_id, text, f"bronze.{table}", severity, fails, key, text, rejects=rejects)
+    def rule(rule_id, text, table, severity, fails=None, key="", rejects=False, volume=None):
+        return Rule(rule_id, text, f"bronze.{table}", severity, fails, key, text, rejects=rejects,
+                    volume=volume)
 
     return [
         rule("ATT_NO_ROWS_FOR_MONTH", "Bronze attendance has zero rows for the reporting month.",
-             "attendance", "BLOCKER"),
+             "attendance", "BLOCKER", volume=lambda rows: rows == 0),
         rule("ATT_ROW_COUNT_TOO_LOW",
              "Bronze attendance row count is unexpectedly low for the reporting month.",
-             "attendance", "BLOCKER"),
+             "attendance", "BLOCKER", volume=lambda rows: rows < minimum_rows),
         rule("STU_NO_ROWS_FOR_MONTH", "Bronze students has zero rows for the initial snapshot month.",
-             "students", "BLOCKER"),
+             "students", "BLOCKER", volume=empty_snapshot),
         rule("SCH_NO_ROWS_FOR_MONTH", "Bronze schools has zero rows for the initial snapshot month.",
-             "schools", "BLOCKER"),
+             "schools", "BLOCKER", volume=empty_snapshot),
         rule("SCH_MISSING_KEY", "School row is missing school_id.", "schools", "ERROR",
              lambda: is_blank("school_id"), "school_id", True),
         rule("STU_MISSING_KEY", "Student row is missing student_id.", "students", "ERROR",
@@ -113,40 +119,26 @@ def mark(bronze: dict[str, DataFrame], all_schools: DataFrame, known_students: D
     attendance = _keyed(bronze["attendance"], _student="student_id", _school="school_id").withColumn(
         "_month", to_day_any("attendance_month"))
     attendance = mark_duplicates(attendance, [*by, "_student", "_school", "_month"], "_surplus", ROW)
-    attendance = mark_present(attendance, history, ["_student"], "_in_history")
+    attendance = mark_known(attendance, history, batch_students, "_student", by, "_in_history", "_in_batch")
     return {
         "bronze.schools": bronze["schools"],
         "bronze.students": mark_present(_keyed(bronze["students"], _school="school_id"), schools,
                                         ["_school"], "_school_known"),
-        "bronze.attendance": mark_present(attendance, batch_students, [*by, "_student"], "_in_batch"),
+        "bronze.attendance": attendance,
         "bronze.assessment_results": bronze["assessment_results"],
         "bronze.school_events": mark_present(_keyed(bronze["school_events"], _school="school_id"),
                                              schools, ["_school"], "_school_known"),
     }
 
 
-def validation_results(marked: dict[str, DataFrame], slices: DataFrame,
-                       minimum_rows: int = MINIMUM_ATTENDANCE_ROWS,
-                       snapshot_month: str = SNAPSHOT_MONTH) -> DataFrame:
-    """Every rule for every slice, also for slices no row has reached."""
-    rules, by = quality_rules(), list(SLICE)
-    in_snapshot = F.col("reporting_month") == snapshot_month
-    attendance = marked["bronze.attendance"]
-    volumes = [
-        volume_failures(slices, attendance, by, "ATT_NO_ROWS_FOR_MONTH", 1),
-        volume_failures(slices, attendance, by, "ATT_ROW_COUNT_TOO_LOW", minimum_rows),
-        volume_failures(slices, marked["bronze.students"], by, "STU_NO_ROWS_FOR_MONTH", 1, in_snapshot),
-        volume_failures(slices, marked["bronze.schools"], by, "SCH_NO_ROWS_FOR_MONTH", 1, in_snapshot),
-    ]
-    row_rules = [r for r in rules if r.fails is not None]
-    counted = union_all([failure_counts(df, rules_of(rules, table), by)
-                         for table, df in marked.items()])
-    names = F.explode(F.array(*[F.lit(r.rule_id) for r in row_rules])).alias("rule_id")
-    grid = (
-        slices.select(*by, names).join(counted, [*by, "rule_id"], "left")
-        .withColumn("failed_record_count", F.coalesce("failed_record_count", F.lit(0)))
-    )
-    return describe(union_all([*volumes, grid]), rules, pass_or_fail(F.col("failed_record_count")))
+def validation_results(marked: dict[str, DataFrame], slices: DataFrame, **limits) -> DataFrame:
+    """Every rule for every slice: one aggregate per table."""
+    rules = quality_rules(**limits)
+    counts = union_all([
+        slice_failures(slices, df, [r for r in rules if r.target_table == table], SLICE)
+        for table, df in marked.items()
+    ])
+    return describe(counts, rules, pass_or_fail(F.col("failed_record_count")))
 
 
 def rejected_records(marked: dict[str, DataFrame]) -> DataFrame:
@@ -217,6 +209,13 @@ def conformed_students(bronze: DataFrame, rejected: DataFrame) -> DataFrame:
     )
 
 
+def _with_keys(rows: DataFrame, students: DataFrame, schools: DataFrame) -> DataFrame:
+    """Surrogate keys by inner joins. They come before the exclusion and the choice
+    of the latest row, which then share one shuffle on the record key."""
+    return (rows.join(students.select("student_id", "student_key"), "student_id")
+            .join(schools.select("school_id", "school_key"), "school_id"))
+
+
 def conformed_attendance(bronze: DataFrame, students: DataFrame, schools: DataFrame,
                          rejected: DataFrame) -> DataFrame:
     """Valid records with their surrogate keys, rate and band.
@@ -231,12 +230,11 @@ def conformed_attendance(bronze: DataFrame, students: DataFrame, schools: DataFr
         blank_to_null("absence_reason").alias("_reason"), ROW,
     ).filter(F.col("attendance_id").isNotNull()
              & ~checks.bad_day_counts("possible_days", "attended_days"))
-    kept = exclude(rows, _rejected_keys(rejected, "bronze.attendance", "attendance_id"),
+    keyed = _with_keys(rows, students, schools)
+    kept = exclude(keyed, _rejected_keys(rejected, "bronze.attendance", "attendance_id"),
                    [*SLICE, "attendance_id"])
-    keyed = (kept.join(students.select("student_id", "student_key"), "student_id")
-             .join(schools.select("school_id", "school_key"), "school_id"))
     possible, attended = F.col("possible_days"), F.col("attended_days")
-    return latest_per_key(keyed, [*SLICE, "attendance_id"], [F.desc(ROW)]).select(
+    return latest_per_key(kept, [*SLICE, "attendance_id"], [F.desc(ROW)]).select(
         "attendance_id", *SLICE, "attendance_month", "student_key", "school_key",
         "possible_days", "attended_days",
         F.when(possible > 0, ratio_decimal(attended, possible)).alias("attendance_rate"),
@@ -254,11 +252,10 @@ def conformed_assessment(bronze: DataFrame, students: DataFrame, schools: DataFr
         blank_to_null("proficiency_band").alias("proficiency_band"), ROW,
     ).filter(F.col("assessment_id").isNotNull() & F.col("assessment_year").isNotNull()
              & F.col("domain").isNotNull() & F.col("score").between(*SCORE_RANGE))
-    kept = exclude(rows, _rejected_keys(rejected, "bronze.assessment_results", "assessment_id"),
+    keyed = _with_keys(rows, students, schools)
+    kept = exclude(keyed, _rejected_keys(rejected, "bronze.assessment_results", "assessment_id"),
                    [*SLICE, "assessment_id"])
-    keyed = (kept.join(students.select("student_id", "student_key"), "student_id")
-             .join(schools.select("school_id", "school_key"), "school_id"))
-    return latest_per_key(keyed, [*SLICE, "assessment_id"], [F.desc(ROW)]).select(
+    return latest_per_key(kept, [*SLICE, "assessment_id"], [F.desc(ROW)]).select(
         "assessment_id", *SLICE, "student_key", "school_key", "assessment_year", "domain", "score",
         "proficiency_band")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Runtime SQL settings. Broadcasts are left to AQE, which decides on measured
 # sizes; skew joins are split even where that costs one more shuffle.
@@ -72,3 +72,18 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+BROADCAST_ROWS = 500_000
+
+
+def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Materialise a frame that is usually small and count it: up to ``max_rows`` it
+    is broadcast, beyond that it stays an ordinary join side.
+
+    Left to the planner, a side of unknown size makes the big side shuffle before
+    its real size is seen. Runs a job where it is called.
+    """
+    df = materialise(df)
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df

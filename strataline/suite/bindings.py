@@ -303,8 +303,3 @@ def known_students(spark: SparkSession, folder: str) -> DataFrame:
     """The conformed students before these slices: customers in credit."""
     return table(spark, folder, "customer").filter("c_acctbal >= 0").select(
         _prefixed("STU", F.col("c_custkey")).alias("student_id"))
-
-
-@cache
-def assured_marked(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return assured.mark(silver(spark, folder))

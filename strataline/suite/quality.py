@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import functions as F
 
 from ..functions import labels
@@ -22,7 +20,7 @@ class Assured:
     def __init__(self, spark, folder):
         self.silver = b.silver(spark, folder)
         self.rules = assured.quality_rules(b.as_of())
-        self.marked = b.assured_marked(spark, folder)
+        self.marked = assured.mark(self.silver)
 
     @property
     def results(self):
@@ -33,7 +31,6 @@ class Assured:
         return assured.failed_record_rows(self.marked, self.rules, F.lit(b.RUN_ID))
 
 
-@cache
 def monthly_run(spark, folder):
     return monthly.assess(
         b.monthly_bronze(spark, folder), b.schools(spark, folder), b.known_students(spark, folder),
@@ -136,13 +133,12 @@ def dq_parent_state(spark, folder):
 
 @register("dq_volume", "c_volume", "SELECT * FROM c_volume")
 def dq_volume(spark, folder):
-    bronze, slices, by = b.monthly_bronze(spark, folder), b.slices(spark, folder), monthly.SLICE
-    first = F.col("reporting_month") == b.SNAPSHOT_MONTH
+    bronze, slices = b.monthly_bronze(spark, folder), b.slices(spark, folder)
+    rules = [r for r in monthly.quality_rules(MINIMUM_ROWS, b.SNAPSHOT_MONTH) if r.volume is not None]
     return union_all([
-        quality.volume_failures(slices, bronze["attendance"], by, "ATT_NO_ROWS_FOR_MONTH", 1),
-        quality.volume_failures(slices, bronze["attendance"], by, "ATT_ROW_COUNT_TOO_LOW", MINIMUM_ROWS),
-        quality.volume_failures(slices, bronze["students"], by, "STU_NO_ROWS_FOR_MONTH", 1, first),
-        quality.volume_failures(slices, bronze["schools"], by, "SCH_NO_ROWS_FOR_MONTH", 1, first)])
+        quality.slice_failures(slices, bronze[t], [r for r in rules if r.target_table == f"bronze.{t}"],
+                               monthly.SLICE)
+        for t in ("attendance", "students", "schools")])
 
 
 @register("dq_failed_records", "b_failures b_rules", """
