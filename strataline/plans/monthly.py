@@ -301,6 +301,24 @@ STATE_SCHEMAS = {
 }
 
 
+# Columns of tables that may have no rows yet when a view reads them.
+FACT_SCHEMAS = {
+    "attendance": "month_key int, student_key bigint, school_key bigint, year_level_key int, "
+                  "attendance_band_key int, possible_days int, attended_days int, absent_days int, "
+                  "attendance_rate decimal(6,4), source_batch_id string",
+    "assessment": "assessment_result_key bigint, assessment_year int, student_key bigint, "
+                  "school_key bigint, year_level_key int, assessment_domain_key int, "
+                  "attendance_band_key int, score decimal(6,2), source_batch_id string",
+    "caveat": "source_batch_id string, reporting_month string, caveat_code string, caveat_title string, "
+              "caveat_description string, severity string, affected_area string, "
+              "recommended_action string",
+}
+
+REJECTED_SCHEMA = ("source_batch_id string, reporting_month string, source_file_name string, "
+                   "raw_row_number bigint, target_table string, failed_record_json string, "
+                   "rule_id string, business_key string, failure_reason string")
+
+
 def empty_state(spark: SparkSession) -> dict[str, DataFrame]:
     return {name: spark.createDataFrame([], schema) for name, schema in STATE_SCHEMAS.items()}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,6 +27,28 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
         F.element_at(F.split("path", "/"), -1).alias("file_name"), "file_size")
 
 
+def ready_months(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """(month, load mode) of every delivery whose ready marker is there, in order.
+
+    File sources skip names that start with an underscore, so the markers are
+    listed through the file system: one small file per month.
+    """
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/month=*/{READY_MARKER}")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for status in fs.globStatus(pattern) or []:
+        stream = fs.open(status.getPath())
+        try:
+            marker = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        if marker["load_mode"] not in EXPECTED_FILES:
+            raise ValueError(f"Unsupported load_mode: {marker['load_mode']}")
+        out.append((marker["reporting_month"], marker["load_mode"]))
+    return sorted(out)
+
+
 def expected_files(spark: SparkSession, months: Sequence[tuple[str, str]]) -> DataFrame:
     """(reporting_month, load_mode, file_name) from (month, mode) pairs."""
     rows = [(month, mode, name) for month, mode in months for name in EXPECTED_FILES[mode]]

@@ -11,26 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators.rows import latest_per_key
 from ..operators.upsert import upsert
 from ..plans.model import text_schema
-from ..sources.manifest import READY_MARKER
 from ..sources.writers import read_current, write_version
 
-MARKER_SCHEMA = ("pipeline string, reporting_month string, load_mode string, "
-                 "expected_files array<string>")
-
-
-def ready_markers(spark: SparkSession, root: str) -> DataFrame:
-    """Stream of ready markers below ``month=`` folders: a delivery is announced by
-    its marker, not by its first file."""
-    return (spark.readStream.schema(MARKER_SCHEMA).option("multiLine", True)
-            .option("recursiveFileLookup", True).option("pathGlobFilter", READY_MARKER).json(root))
-
-
-def expected_from_markers(markers: DataFrame) -> DataFrame:
-    """(reporting_month, load_mode, file_name) rows a marker promises."""
-    return markers.select("reporting_month", "load_mode",
-                          F.explode("expected_files").alias("file_name"))
-
-
 def delta_stream(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """Stream of CSV deltas with their file as lineage."""
     rows = spark.readStream.schema(text_schema(dataset)).option("header", True).csv(root)
