@@ -14,7 +14,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans import assured, baseline, model
-from ..session import apply_settings
+from ..session import apply_settings, materialise
 
 AS_OF = "2001-06-30"  # the injected "today": some months lie after it
 BATCH_1, BATCH_2 = "2025-01-15", "2026-01-15"
@@ -41,6 +41,15 @@ class Frames(Mapping):
         return len(self._builders)
 
 
+def stored(frames: Frames, *names: str) -> Frames:
+    """The layer with its large tables materialised on first use: the pipelines store
+    a layer before they read it several times. Made anew for every query."""
+    def build(name: str) -> DataFrame:
+        return materialise(frames[name]) if name in names else frames[name]
+
+    return Frames({name: lambda name=name: build(name) for name in frames})
+
+
 # ``cache`` below keeps declared plans per session, not data: queries of one
 # session share the declaration of a layer and each of them still runs it.
 

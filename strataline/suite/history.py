@@ -10,7 +10,7 @@ from ..operators import history, matching, rows, upsert
 from ..plans import assured, monthly
 from ..session import materialise
 from . import bindings as b
-from .quality import monthly_run
+from .quality import monthly_run, stored_bronze
 from .registry import register
 
 
@@ -201,8 +201,8 @@ class Monthly:
     The two state tables are materialised, as the pipeline stores them."""
 
     def __init__(self, spark, folder):
-        self.bronze, self.slices = b.monthly_bronze(spark, folder), b.slices(spark, folder)
-        self.quality = monthly_run(spark, folder)
+        self.bronze, self.slices = stored_bronze(spark, folder), b.slices(spark, folder)
+        self.quality = monthly_run(spark, folder, self.bronze)
         state = monthly.empty_state(spark)
         self.schools = materialise(monthly.merge_schools(state["school"], self.bronze["schools"]))
         self.students = materialise(monthly.merge_students(

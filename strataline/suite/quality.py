@@ -18,7 +18,7 @@ class Assured:
     """Silver tables, marks, results and failed records of the assured pipeline."""
 
     def __init__(self, spark, folder):
-        self.silver = b.silver(spark, folder)
+        self.silver = b.stored(b.silver(spark, folder), "attendance", "assessment_results")
         self.rules = assured.quality_rules(b.as_of())
         self.marked = assured.mark(self.silver)
 
@@ -31,9 +31,13 @@ class Assured:
         return assured.failed_record_rows(self.marked, self.rules, F.lit(b.RUN_ID))
 
 
-def monthly_run(spark, folder):
+def stored_bronze(spark, folder):
+    return b.stored(b.monthly_bronze(spark, folder), "attendance")
+
+
+def monthly_run(spark, folder, bronze=None):
     return monthly.assess(
-        b.monthly_bronze(spark, folder), b.schools(spark, folder), b.known_students(spark, folder),
+        bronze or stored_bronze(spark, folder), b.schools(spark, folder), b.known_students(spark, folder),
         b.slices(spark, folder), minimum_rows=MINIMUM_ROWS, snapshot_month=b.SNAPSHOT_MONTH)
 
 
