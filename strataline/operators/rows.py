@@ -44,7 +44,7 @@ def duplicate_members(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def surplus_rows(df: DataFrame, keys: Sequence[str], row_order: str) -> DataFrame:
     """All rows of a key but the one with the lowest ``row_order``.
 
-    ``row_order`` is a unique load sequence. Only duplicated keys take part in the
+    ``row_order`` is a load sequence without ties in a key. Only duplicated keys take part in the
     join, one row each: broadcast when few, and otherwise a hot key is split by AQE.
     """
     firsts = (

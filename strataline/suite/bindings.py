@@ -71,9 +71,19 @@ def _every(c: str, n: int, at: int) -> Column:
     return F.col(c) % n == at
 
 
-def _fixed_width(*parts: tuple[str, int]) -> Column:
-    """Columns as one sortable text: the row order of a table without a row number."""
-    return F.concat(*[F.lpad(_text(F.col(c)), width, "0") for c, width in parts])
+def line_order(*first: tuple[str, int]) -> Column:
+    """Every column of a lineitem as one sortable text: the load order of a table
+    without a row number. Lines can share their keys, so all columns take part."""
+    def padded(c: Column, width: int) -> Column:
+        return F.lpad(_text(c), width, "0")
+
+    def hundredths(c: str, width: int) -> Column:
+        return padded(F.round(F.col(c) * 100).cast("bigint"), width)
+
+    return F.concat(
+        *[padded(F.col(c), width) for c, width in first], _text(F.col("l_shipdate").cast("date")),
+        hundredths("l_quantity", 6), hundredths("l_extendedprice", 12), hundredths("l_discount", 3),
+        hundredths("l_tax", 3), "l_returnflag", "l_linestatus")
 
 
 def _prefixed(prefix: str, c: Column) -> Column:
@@ -156,7 +166,7 @@ def attendance_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.when(flag == "A", "Illness").when(flag == "R", "Family").otherwise("").alias("absence_reason"),
         F.when(F.col("l_shipdate") < CUT_DAY, BATCH_1).otherwise(BATCH_2).alias("batch_id"),
         F.date_format("l_shipdate", "yyyy-MM").alias("reporting_month"),
-        _fixed_width(("l_orderkey", 12), ("l_linenumber", 2), ("l_partkey", 12), ("l_suppkey", 12))
+        line_order(("l_orderkey", 12), ("l_linenumber", 2), ("l_partkey", 12), ("l_suppkey", 12))
         .alias("raw_row_number"),
     )
 

@@ -39,6 +39,13 @@ def query(needs: str, body: str) -> str:
 
 # ---------------------------------------------------------------- raw datasets
 
+# Load order of lineitems: all columns as fixed-width text.
+LINE_TAIL = """strftime(l_shipdate, '%Y-%m-%d')
+       || lpad(CAST(CAST(round(l_quantity * 100) AS BIGINT) AS VARCHAR), 6, '0')
+       || lpad(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR), 12, '0')
+       || lpad(CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR), 3, '0')
+       || lpad(CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR), 3, '0') || l_returnflag || l_linestatus"""
+
 _SCHOOL = """
 SELECT 'SCH' || s_suppkey AS school_id, s_name AS school_name, r_name AS region,
        CASE s_nationkey % 4 WHEN 0 THEN 'Primary' WHEN 1 THEN 'High School'
@@ -64,7 +71,7 @@ SELECT CASE WHEN c_custkey % 97 = 13 THEN '' ELSE 'STU' || c_custkey END AS stud
        c_acctbal, c_custkey AS row_number,
        (1995 + c_custkey % 7) || '-' || lpad(CAST(1 + c_custkey % 12 AS VARCHAR), 2, '0') AS reporting_month
 FROM customer""")
-cte("raw_attendance", "", """
+cte("raw_attendance", "", f"""
 SELECT 'ATT' || l_orderkey || '-' || l_linenumber AS attendance_id,
        CASE WHEN l_orderkey % 113 = 5 THEN '' ELSE 'STU' || l_partkey END AS student_id,
        'SCH' || l_suppkey AS school_id,
@@ -76,7 +83,8 @@ SELECT 'ATT' || l_orderkey || '-' || l_linenumber AS attendance_id,
        CASE WHEN l_shipdate < DATE '1998-06-01' THEN '2025-01-15' ELSE '2026-01-15' END AS batch_id,
        strftime(l_shipdate, '%Y-%m') AS reporting_month,
        lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || lpad(CAST(l_linenumber AS VARCHAR), 2, '0')
-       || lpad(CAST(l_partkey AS VARCHAR), 12, '0') || lpad(CAST(l_suppkey AS VARCHAR), 12, '0') AS row_number
+       || lpad(CAST(l_partkey AS VARCHAR), 12, '0') || lpad(CAST(l_suppkey AS VARCHAR), 12, '0')
+       || {LINE_TAIL} AS row_number
 FROM (SELECT *, CASE WHEN month(l_shipdate) = 1 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS possible
       FROM lineitem)""")
 cte("raw_scores", "", """

@@ -166,7 +166,7 @@ SELECT o.o_orderkey, year(o.o_orderdate) AS order_year, l.l_returnflag
 FROM orders o LEFT JOIN (
   SELECT l_orderkey, year(l_shipdate) AS y, l_returnflag,
          row_number() OVER (PARTITION BY l_orderkey, year(l_shipdate)
-           ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn
+           ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_returnflag DESC) AS rn
   FROM lineitem) l ON l.l_orderkey = o.o_orderkey AND l.y = year(o.o_orderdate) AND l.rn = 1""")
 def latest_lookup(spark, folder):
     """Flag of the last line shipped in the year of the order."""
@@ -175,7 +175,8 @@ def latest_lookup(spark, folder):
     lines = b.table(spark, folder, "lineitem").withColumns(
         {"key": F.col("l_orderkey"), "order_year": F.year("l_shipdate")})
     found = matching.latest_lookup(orders, lines, ["key", "order_year"], "l_returnflag",
-                                   ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"], "l_returnflag")
+                                   ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"],
+                                   "l_returnflag")
     return found.select(F.col("key").alias("o_orderkey"), F.col("order_year").cast("bigint").alias("order_year"),
                         "l_returnflag")
 

@@ -12,6 +12,7 @@ from ..operators.reconcile import require_no_identifiers
 from ..plans import assured, baseline
 from ..sources.readers import json_field
 from . import bindings as b
+from .ctes import LINE_TAIL
 from .registry import register
 
 
@@ -119,13 +120,14 @@ def dedupe_latest_students(spark, folder):
 
 
 _LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
-_LINE_ROW = ("lpad(CAST(l_partkey AS VARCHAR), 12, '0') || lpad(CAST(l_suppkey AS VARCHAR), 12, '0')")
+_LINE_ROW = ("lpad(CAST(l_partkey AS VARCHAR), 12, '0') || lpad(CAST(l_suppkey AS VARCHAR), 12, '0') || "
+             + LINE_TAIL)
 
 
 def _lines(spark, folder):
     return b.table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-        b._fixed_width(("l_partkey", 12), ("l_suppkey", 12)).alias("row_order"))
+        b.line_order(("l_partkey", 12), ("l_suppkey", 12)).alias("row_order"))
 
 
 @register("dup_all_members", "", f"""
