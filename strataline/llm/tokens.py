@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import re
 
-KEPT_PIECES = 400_000  # pieces a worker keeps; beyond that it starts afresh
+KEPT_PIECES = 300_000  # pieces of a generation; a worker keeps two, so common pieces are never encoded again
 
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-įĲ-ɏ"
 _NUMBERS = "0-9²³¹¼½¾"
@@ -41,12 +41,23 @@ class Encoder:
         self._lower = self._library.normalizer is not None
         self._split = (_WORD_LEVEL if self._lower else _BYTE_LEVEL).findall
         self._kept: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
         return [np.array(e.ids, "<u4").tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self._kept) > KEPT_PIECES:
+            self._kept, self._older = {}, self._kept
+        missing = [p for p in pieces if p not in self._kept]
+        fresh = [p for p in missing if p not in self._older]
+        self._kept.update((p, self._older[p]) for p in missing if p in self._older)
+        for at in range(0, len(fresh), 8192):  # each encoding holds some KB until it is copied out
+            part = fresh[at:at + 8192]
+            self._kept.update(zip(part, self._whole(part)))
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
@@ -56,12 +67,7 @@ class Encoder:
         try:
             return b"".join(map(self._kept.__getitem__, pieces))
         except KeyError:
-            if len(self._kept) > KEPT_PIECES:
-                self._kept = {}
-            fresh = [p for p in set(pieces) if p not in self._kept]
-            for at in range(0, len(fresh), 8192):  # each encoding holds some KB until it is copied out
-                part = fresh[at:at + 8192]
-                self._kept.update(zip(part, self._whole(part)))
+            self._learn(set(pieces))
             return b"".join(map(self._kept.__getitem__, pieces))
 
 
