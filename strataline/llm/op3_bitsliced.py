@@ -94,8 +94,9 @@ def _add(total: np.ndarray, term: np.ndarray, at: int) -> None:
         else:
             if not carry.any():
                 return
-            total[j] = here ^ carry
+            flipped = here ^ carry
             carry &= here
+            total[j] = flipped
 
 
 def scores(slices: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -18,13 +18,13 @@ hot; no group is gathered. Texts are shuffled once, for the join with their mark
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import only, stored
+from .shared import stored
 from .words import WORD_BASES, Windows, Words, chunks, sliding_argmin
 
 WINDOW = 35
@@ -166,11 +166,11 @@ def repeated_windows(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     return settled.union(single)
 
 
-def _cut(window: int):
+def _cut(window: int, names: list[str]):
     """Text and marks of a row to its counts and what is kept of it."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, marks = batch.column(1), batch.column(2)
+            texts, marks = batch.column(0), batch.column(1)
             words_n, removed_n, kept_text = [], [], []
             for text, spans in zip(texts, marks):
                 words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
@@ -188,14 +188,15 @@ def _cut(window: int):
                 removed_n.append(n - len(kept))
                 kept_text.append(b" ".join(kept).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words_n, pa.int64()), pa.array(removed_n, pa.int64()), pa.array(kept_text, pa.string())],
-                [batch.schema.names[0], "n_words", "n_removed", "kept_text"])
+                [*batch.columns[2:], pa.array(words_n, pa.int64()), pa.array(removed_n, pa.int64()), pa.array(kept_text, pa.string())],
+                [*names, "n_words", "n_removed", "kept_text"])
     return work
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id",
-                   text_column: str = "text") -> DataFrame:
-    """One row per input row: ``id_column``, ``n_words``, ``n_removed``, ``kept_text`` (kept words joined by a space).
+def remove_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text",
+                   carry: Sequence[str] = ()) -> DataFrame:
+    """One row per input row: ``id_column``, the columns ``carry`` as they are, ``n_words``, ``n_removed``,
+    ``kept_text`` (kept words joined by a space).
 
     A word goes if a window of ``window`` words that covers it also starts anywhere else, in the same text or
     another; all occurrences go. Null, empty and short texts have no windows and keep their words (null: none).
@@ -204,11 +205,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
     """
     if window < 4:
         raise ValueError("a window has at least 4 words")
-    keyed = only(docs, [id_column, text_column]).select(
-        F.col(id_column).alias("id"), F.xxhash64(id_column, F.lit("/"), text_column).alias("doc_key"),
-        F.col(text_column).alias("text"))
-    found = repeated_windows(keyed.select("doc_key", "text"), window)
+    names = [id_column, *carry]
+    key = F.xxhash64(f"`{id_column}`", F.lit("/"), f"`{text_column}`")
+    found = repeated_windows(docs.select(key.alias("doc_key"), F.col(f"`{text_column}`").alias("text")), window)
     marks = found.distinct().groupBy("doc_key").agg(F.collect_list(F.struct("begin", "n")).alias("marks"))
-    kind = docs.schema[id_column].dataType.simpleString()
-    return keyed.join(marks, "doc_key", "left").select("id", "text", "marks").mapInArrow(
-        _cut(window), f"`{id_column}` {kind}, n_words long, n_removed long, kept_text string")
+    # Carried columns go by place, so none of their names can clash.
+    carried = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(names)]
+    keyed = docs.select(key.alias("doc_key"), F.col(f"`{text_column}`").alias("text"), *carried)
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
+    return keyed.join(marks, "doc_key", "left").select("text", "marks", *[f"_{i}" for i in range(len(names))]).mapInArrow(
+        _cut(window, names), f"{kinds}, n_words long, n_removed long, kept_text string")

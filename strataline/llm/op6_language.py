@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -270,26 +270,26 @@ class Scorer:
         return out
 
 
-def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """All columns of ``docs`` that are named, here ``id_column`` and ``text_column``, with ``lang_pred`` and
-    ``score``, the posterior of that language. Null texts and texts without a letter are ``und`` with score 0; ties go
-    to the language first by code point. Every whole text is scored, a few at a time. Other columns are ignored."""
+def predict(docs: DataFrame, model: Model, text_column: str = "text", keep: Sequence[str] = ("doc_id", "text")) -> DataFrame:
+    """The columns ``keep`` of ``docs``, which include ``text_column``, with ``lang_pred`` and ``score``, the
+    posterior of that language. Null texts and texts without a letter are ``und`` with score 0; ties go to the language
+    first by code point. Every whole text is scored. Repeated rows are scored alike; other columns are ignored."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    chosen = only(docs, [id_column, text_column])
-    id_kind, text_kind = (f.dataType.simpleString() for f in chosen.schema)
+    chosen = only(docs, keep)
+    at_text = list(keep).index(text_column)
+    names = [*keep, "lang_pred", "score"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         for batch in batches:
             scored: list[tuple[str, float]] = []
             for at in range(0, batch.num_rows, TEXTS):
-                scored += scorer.score(batch.column(1).slice(at, TEXTS).to_pylist())
+                scored += scorer.score(batch.column(at_text).slice(at, TEXTS).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([s[0] for s in scored], pa.string()), pa.array([s[1] for s in scored], pa.float64())],
-                [id_column, text_column, "lang_pred", "score"])
+                [*batch.columns, pa.array([s[0] for s in scored], pa.string()), pa.array([s[1] for s in scored], pa.float64())], names)
 
-    return chosen.mapInArrow(
-        work, f"`{id_column}` {id_kind}, `{text_column}` {text_kind}, lang_pred string, score double")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema)
+    return chosen.mapInArrow(work, f"{kinds}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
@@ -297,6 +297,6 @@ def identify(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     """Fit on the labelled rows and predict every row: ``id_column``, ``text_column``, ``lang_pred``, ``score``,
     ``held_out``. An empty table, or one without labelled rows, gives ``und`` throughout."""
     model = fit(docs, id_column, text_column, lang_column, **options)
-    return predict(docs, model, id_column, text_column).withColumn("held_out", held_out(id_column))
+    return predict(docs, model, text_column, (id_column, text_column)).withColumn("held_out", held_out(id_column))
 
 

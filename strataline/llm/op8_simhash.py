@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .graph import components
 from .shared import only, stored
@@ -63,15 +63,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def with_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id_column`` and ``fingerprint`` (the 64 bits as a signed long), a row per input row, without a shuffle."""
+    """``id_column``, ``row_key`` (hash of id and text) and ``fingerprint`` (the 64 bits as a signed long), a row per
+    input row, without a shuffle."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [_signed(fingerprint(t.as_py())) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], [id_column, "fingerprint"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(values, pa.int64())], [id_column, "row_key", "fingerprint"])
 
-    chosen = only(docs, [id_column, text_column])
+    chosen = only(docs, [id_column, text_column]).select(
+        f"`{id_column}`", f"`{text_column}`", row_key(id_column, text_column).alias("row_key"))
     kind = chosen.schema[id_column].dataType.simpleString()
-    return chosen.mapInArrow(work, f"`{id_column}` {kind}, fingerprint long")
+    return chosen.mapInArrow(work, f"`{id_column}` {kind}, row_key long, fingerprint long")
 
 
 def links(fingerprints: DataFrame, cell_pairs: int = CELL_PAIRS) -> DataFrame:
@@ -111,18 +114,36 @@ def links(fingerprints: DataFrame, cell_pairs: int = CELL_PAIRS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: ``id_column``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable
-    by links at two or fewer differing bits, itself included).
+    by links at two or fewer differing bits, itself included), ``row_key`` (hash of the row's id and text).
 
     Null, empty and blank texts have fingerprint zero, which links like any other. Equal fingerprints are one node,
     so repeated rows and large groups of copies cost one row each. A null id is kept and counts as smallest only if
     its component has no other. An empty table gives no rows; other columns are ignored.
     """
+    rows, classes = _grouped(docs, id_column, text_column)
+    return rows.join(classes, "fingerprint").select(
+        id_column, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("keeper.id").alias("component_id"), "row_key")
+
+
+def keepers(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``row_key`` of the row that stays of each group: the one with the smallest id, of several with that id the one
+    with the smallest key."""
+    return _grouped(docs, id_column, text_column)[1].select("keeper.row_key").distinct()
+
+
+def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
+    """The hash of id and text that tells rows apart."""
+    return F.xxhash64(f"`{id_column}`", F.lit("/"), f"`{text_column}`")
+
+
+def _grouped(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with fingerprints, and per fingerprint the first row of its group."""
     rows = stored(with_fingerprints(docs, id_column, text_column), "fingerprints")
-    nodes = stored(rows.groupBy("fingerprint").agg(F.min(id_column).alias("least_id")), "nodes")
+    first = F.struct(F.col(f"`{id_column}`").isNull().alias("no_id"), F.col(f"`{id_column}`").alias("id"), "row_key")
+    nodes = stored(rows.groupBy("fingerprint").agg(F.min(first).alias("first")), "nodes")
     found = components(links(nodes.select("fingerprint")))
     labelled = nodes.join(found, nodes["fingerprint"] == found["node"], "left").select(
-        "fingerprint", "least_id", F.coalesce("component", "fingerprint").alias("component"))
-    groups = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    classes = labelled.join(groups, "component").select("fingerprint", "component_id")
-    return rows.join(classes, "fingerprint").select(
-        id_column, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+        "fingerprint", "first", F.coalesce("component", "fingerprint").alias("component"))
+    groups = labelled.groupBy("component").agg(F.min("first").alias("keeper"))
+    return rows, labelled.join(groups, "component").select("fingerprint", "keeper")

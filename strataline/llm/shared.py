@@ -15,13 +15,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def folder_for(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read back.
 
     Cuts the lineage and survives lost executors; later reads prune columns.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = folder_for(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
