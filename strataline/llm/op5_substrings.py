@@ -101,19 +101,19 @@ def _members(window: int, base: int, only_runs: bool):
 
 
 def _repeated(rows: DataFrame, key: list[str]) -> DataFrame:
-    return rows.groupBy(*key).agg(F.count("*").alias("n_same")).where("n_same > 1")
+    """Keys of several rows. Stored, so that a join with them deals out both sides anew: on top of the aggregate's own
+    exchange Spark could not split a hot key."""
+    return stored(rows.groupBy(*key).agg(F.count("*").alias("n_same")).where("n_same > 1").select(*key), "repeated")
 
 
 def _alive(keyed: DataFrame, window: int, base: int) -> DataFrame:
     """Anchors that survive the base length and twice the base length."""
     counted = keyed.mapInArrow(_members(window, base, True), "run long, n int")
-    runs = counted.groupBy("run").agg(F.sum("n").alias("n_same")).where("n_same > 1").select("run")
+    runs = stored(counted.groupBy("run").agg(F.sum("n").alias("n_same")).where("n_same > 1").select("run"), "runs")
     members = keyed.mapInArrow(_members(window, base, False), _MEMBERS)
     alive = stored(members.join(runs, "run"), "anchors")
-    right = _repeated(alive.where("right_run <> 0"), ["run", "right_run"]).select(
-        "run", "right_run", F.lit(True).alias("right_same"))
-    left = _repeated(alive.where("left_run <> 0"), ["run", "left_run"]).select(
-        "run", "left_run", F.lit(True).alias("left_same"))
+    right = _repeated(alive.where("right_run <> 0"), ["run", "right_run"]).withColumn("right_same", F.lit(True))
+    left = _repeated(alive.where("left_run <> 0"), ["run", "left_run"]).withColumn("left_same", F.lit(True))
     kept = alive.join(right, ["run", "right_run"], "left").join(left, ["run", "left_run"], "left")
     return kept.where("right_same OR left_same").drop("right_same", "left_same", "right_run", "left_run")
 
@@ -149,7 +149,7 @@ def repeated_windows(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     # One row per class of equal stretches, and one per anchor run that has several classes.
     classes = stored(alive.groupBy("run", "stretch").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc_key", "begin", "n")).alias("first")), "classes")
-    mixed = classes.groupBy("run").agg(F.count("*").alias("n_classes")).where("n_classes > 1").select("run")
+    mixed = _repeated(classes, ["run"])
     whole = classes.where("copies > 1").select("run", "stretch")
     settled = alive.join(whole, ["run", "stretch"]).select("doc_key", "begin", "n")
     open_ = classes.join(mixed, "run").select(
@@ -161,7 +161,7 @@ def repeated_windows(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     texts = keyed.select("doc_key", "text").join(lists, "doc_key")
     rows = stored(texts.mapInArrow(_window_rows(window), _WINDOWS), "windows")
     # Rows of equal text share their key and list, and each emits: they count as the copies they are.
-    same = rows.groupBy("one", "two").agg(F.sum("weight").alias("n_same")).where("n_same > 1").select("one", "two")
+    same = stored(rows.groupBy("one", "two").agg(F.sum("weight").alias("n_same")).where("n_same > 1").select("one", "two"), "same")
     single = rows.where("weight = 1").join(same, ["one", "two"]).select("doc_key", "begin", F.lit(1).alias("n"))
     return settled.union(single)
 

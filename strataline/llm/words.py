@@ -14,7 +14,7 @@ import numpy as np
 
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-CHUNK_BYTES = 1 << 20  # texts are hashed together up to about this size, which bounds the arrays
+CHUNK_BYTES = 1 << 19  # texts are hashed together up to about this size, which bounds the arrays
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -23,14 +23,14 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and its inverse modulo 2**64 for i < n; kept between calls while texts are of usual size."""
     known = _POWERS.get(base)
     if known is None or len(known[0]) < n:
-        size = max(n, 2 * CHUNK_BYTES)
+        size = 1 << n.bit_length()
         pair = []
         for b in (base, pow(base, -1, 1 << 64)):
             steps = np.full(size, b, np.uint64)
             steps[0] = 1
             pair.append(np.cumprod(steps, dtype=np.uint64))
         known = (pair[0], pair[1])
-        if n <= 2 * CHUNK_BYTES:
+        if size <= 4 * CHUNK_BYTES:
             _POWERS[base] = known
     return known
 
