@@ -25,7 +25,7 @@ from .tokens import encoder, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-POOL = 4096  # pieces that wait at most; each is shorter than a sequence
+POOL = 1024  # pieces that wait at most; each is shorter than a sequence
 LEAST_CUT = 32  # a smaller gap is padded
 ROWS_OUT = 20_000
 
