@@ -23,6 +23,7 @@ MAX_REPEATS = 3
 LEAST_BLOCK, MOST_BLOCK = 16, 1024
 BLOCKS_WANTED = 1 << 24
 HASH_BUCKET_BITS = 12
+MOST_TASKS = 10_000
 STRETCH = 1 << 16  # slots of a stretch of the schedule, and points of a task's share
 
 
@@ -85,12 +86,15 @@ def schedule(shares: DataFrame, block: int, max_repeats: int = MAX_REPEATS) -> D
     chunked = ranges.where("low < high").select(
         "rank", "blocks", "low", "high",
         F.explode(F.sequence(F.floor(F.col("low") / STRETCH), F.floor((F.col("high") - 1) / STRETCH))).alias("chunk"))
-    points = chunked.repartition("rank", "chunk").select("rank", "blocks", F.explode(F.sequence(
+    # A fixed number of tasks: by its few bytes Spark would make one task of what unfolds to all points.
+    tasks = min(MOST_TASKS, max(1, top // (4 * STRETCH)))
+    points = chunked.repartition(tasks, "rank", "chunk").select("rank", "blocks", F.explode(F.sequence(
         F.greatest("low", F.col("chunk") * STRETCH),
         F.least(F.col("high"), (F.col("chunk") + 1) * STRETCH) - 1)).alias("point"))
-    slots = points.select("rank", "blocks", F.conv(
+    # Stored, so that joins are planned by the size the points have and not by that of the ranges they come from.
+    slots = stored(points.select("rank", "blocks", F.conv(
         F.reverse(F.lpad(F.bin("point"), bits, "0")), 2, 10).cast("long").alias("slot")).withColumn(
-            "stretch", F.floor(F.col("slot") / STRETCH))
+            "stretch", F.floor(F.col("slot") / STRETCH)), "slots")
     inside = Window.partitionBy("rank", "stretch").orderBy("slot")
     numbered = slots.withColumn("number", F.row_number().over(inside) - 1)
     counts = slots.groupBy("rank", "stretch").agg(F.count("*").alias("n"))
@@ -132,21 +136,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
     sized = stored(sizes(docs, id_column, text_column, source_column), "sizes")
     shares = stored(targets(sized, weights, max_repeats), "shares")
     block = block or block_size(shares.agg(F.sum("source_size")).first()[0] or 0)
-    uses = schedule(shares, block, max_repeats).groupBy("rank", "block_no").agg(F.count("*").alias("uses"))
+    uses = stored(schedule(shares, block, max_repeats).groupBy("rank", "block_no").agg(F.count("*").alias("uses")), "uses")
     rows = stored(placed(sized, shares), "placed")
     pieces = rows.where("size > 0").select(
-        "rank", "position", "doc_id", "source", "shuffle", "size", "source_size", "target",
+        "rank", "position", "size",
         F.explode(F.sequence(F.floor(F.col("position") / block),
                              F.floor((F.col("position") + F.col("size") - 1) / block))).alias("block_no"),
-    ).withColumn("words", F.least(F.col("position") + F.col("size"), (F.col("block_no") + 1) * block)
-                 - F.greatest(F.col("position"), F.col("block_no") * block))
-    joined = pieces.join(uses, ["rank", "block_no"], "left")
+    ).select("rank", "position", "block_no", (
+        F.least(F.col("position") + F.col("size"), (F.col("block_no") + 1) * block)
+        - F.greatest(F.col("position"), F.col("block_no") * block)).alias("words"))
     # A document with words has its position in its source for itself.
-    taken = joined.groupBy("rank", "position").agg(
-        *[F.min(c).alias(c) for c in ("doc_id", "source", "shuffle", "size", "source_size", "target")],
-        F.sum(F.col("words") * F.coalesce("uses", F.lit(0))).alias("taken"))
-    columns = ["doc_id", "source", "shuffle", "size", "source_size", "target", "taken"]
-    return taken.select(columns).union(rows.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(columns))
+    taken = pieces.join(uses, ["rank", "block_no"]).groupBy("rank", "position").agg(
+        F.sum(F.col("words") * F.col("uses")).alias("taken"))
+    columns = ["doc_id", "source", "shuffle", "size", "source_size", "target"]
+    filled = rows.where("size > 0").join(stored(taken, "taken"), ["rank", "position"], "left").select(
+        *columns, F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    return filled.union(rows.where("size = 0").select(*columns, F.lit(0).cast("long").alias("taken")))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS,
