@@ -240,7 +240,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_column: str =
     kind = classes.schema["vector"].dataType.simpleString()
     keyed = classes.select("id", "copies", "vector").mapInArrow(
         _grid_keys(bases, radius), f"id long, copies long, vector {kind}, cells binary")
-    ordered = keyed.repartitionByRange("cells", "id").sortWithinPartitions("cells", "id")
+    # Ranges of an interval or more: narrow ones would make many short intervals and so many more pairs of them.
+    # Adjacent ranges are merged before the sort, so a task still holds one stretch of the sequence.
+    ranges = max(1, classes.count() // interval)
+    ordered = keyed.repartitionByRange(ranges, "cells", "id").coalesce(ranges).sortWithinPartitions("cells", "id")
     intervals = stored(ordered.select("id", "copies", "vector").mapInArrow(_cut_intervals(bases, interval), _INTERVALS), "intervals")
 
     def side(place: str) -> DataFrame:
