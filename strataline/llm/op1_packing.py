@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import only
+from .shared import map_arrow, only
 from .tokens import encoder, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -211,4 +211,4 @@ def pack(docs: DataFrame, limits: Limits = Limits(), id_column: str = "doc_id",
         kind_name = "string"
     schema = (f"`{id_column}` {kind_name}, start long, length long, ids_crc32 long, doc_tokens long, "
               "sequence_id long, offset long, loss_tokens long" + (", ids array<int>" if with_ids else ""))
-    return chosen.mapInArrow(_rows(field, limits, path, end_id, with_ids), schema)
+    return map_arrow(chosen, _rows(field, limits, path, end_id, with_ids), schema)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .graph import components
-from .shared import finite_vector, only, stored
+from .shared import finite_vector, map_arrow, only, stored
 
 COSINE = 0.95
 DIMENSIONS = 16  # leading principal dimensions that order and prune
@@ -238,20 +238,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_column: str =
     bases = principal_dimensions(classes)
     radius = _radius(cosine)
     kind = classes.schema["vector"].dataType.simpleString()
-    keyed = classes.select("id", "copies", "vector").mapInArrow(
+    keyed = map_arrow(classes.select("id", "copies", "vector"), 
         _grid_keys(bases, radius), f"id long, copies long, vector {kind}, cells binary")
     # Ranges of an interval or more: narrow ones would make many short intervals and so many more pairs of them.
     # Adjacent ranges are merged before the sort, so a task still holds one stretch of the sequence.
     ranges = max(1, classes.count() // interval)
     ordered = keyed.repartitionByRange(ranges, "cells", "id").coalesce(ranges).sortWithinPartitions("cells", "id")
-    intervals = stored(ordered.select("id", "copies", "vector").mapInArrow(_cut_intervals(bases, interval), _INTERVALS), "intervals")
+    intervals = stored(map_arrow(ordered.select("id", "copies", "vector"), _cut_intervals(bases, interval), _INTERVALS), "intervals")
 
     def side(place: str) -> DataFrame:
         return intervals.select(F.col("place").alias(place), *[F.col(c).alias(f"{c}_{place}") for c in ("dim", "n", "ids", "sizes", "vectors")])
 
     pairs = _interval_pairs(intervals, radius).join(side("a"), "a").join(side("b"), "b").select(
         "a", "b", *[f"{c}_{p}" for p in "ab" for c in ("dim", "n", "ids", "sizes", "vectors")])
-    found = stored(pairs.mapInArrow(_compare(bases, cosine), "a long, b long, n long"), "links")
+    found = stored(map_arrow(pairs, _compare(bases, cosine), "a long, b long, n long"), "links")
     links = found.groupBy("a").agg(F.sum("n").alias("n"))
     groups = components(found.where("n = 0").select("a", "b"))
     labelled = classes.select("id", "copies", "hash_1", "hash_2").join(links, F.col("id") == F.col("a"), "left").join(

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import finite_vector, only, stored
+from .shared import finite_vector, map_arrow, only, stored
 
 SCALE = 256
 BLOCK = 8192  # vectors of an index block
@@ -178,7 +178,7 @@ def build_index(quantised: DataFrame, block: int = BLOCK) -> DataFrame:
     ``slices``. Each partition forms its own blocks; nothing is shuffled."""
     names = ["shelf", "dim", "n", "bits", "ids", "least", "slices"]
     kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    return quantised.mapInArrow(_grouped(block, _slice_block, names, kinds),
+    return map_arrow(quantised, _grouped(block, _slice_block, names, kinds),
                                 "shelf int, dim int, n int, bits int, ids binary, least binary, slices binary")
 
 
@@ -206,7 +206,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE,
     rows = stored(quantise(vectors, scale, id_column, vector_column), "quantised")
     index = stored(build_index(rows), "index")
     names = ["block", "dim", "query_ids", "query_rows"]
-    asked = rows.where(is_query).mapInArrow(
+    asked = map_arrow(rows.where(is_query), 
         _grouped(QUERIES, lambda ids, values: (ids.tobytes(), values.tobytes()), names, [pa.int32(), pa.int32(), pa.binary(), pa.binary()]),
         "block int, dim int, query_ids binary, query_rows binary")
     shelves = index.select("shelf", "dim").distinct()
@@ -214,7 +214,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE,
     sent = asked.drop("block").join(shelves, "dim")
     # Few bytes but much arithmetic: spread over all cores instead of by size.
     spread = sent.join(index, ["shelf", "dim"]).repartition(4 * vectors.sparkSession.sparkContext.defaultParallelism)
-    found = spread.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    found = map_arrow(spread, _search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .shared import only
+from .shared import map_arrow, only
 from .tokens import encoder, vocabulary_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -64,7 +64,7 @@ def write_tokens(docs: DataFrame, path: str, id_column: str = "doc_id", text_col
     order = [F.col(f"`{id_column}`").asc_nulls_first(), F.col("_tie")]
     ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order).drop("_tie")
     id_type = pa.string() if kind == "string" else {"int": pa.int32()}.get(kind, pa.int64())
-    rows = ordered.mapInArrow(
+    rows = map_arrow(ordered, 
         _tokenise(vocabulary or vocabulary_path(VOCABULARY), end_id, id_type, [id_column, "part", "part_start", "n_tokens", "ids"]),
         SCHEMA.format(id=f"`{id_column}`", kind=kind))
     (rows.write.mode("overwrite")
@@ -106,5 +106,5 @@ def checksums(rows: DataFrame, id_column: str = "doc_id") -> DataFrame:
                 [id_column, "start", "n_tokens", "ids_crc32"])
 
     kind = rows.schema[id_column].dataType.simpleString()
-    return rows.select(id_column, "start", "ids").mapInArrow(
+    return map_arrow(rows.select(id_column, "start", "ids"), 
         work, f"`{id_column}` {kind}, start long, n_tokens long, ids_crc32 long")

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import stored
+from .shared import map_arrow, stored
 from .words import WORD_BASES, Windows, Words, chunks, sliding_argmin
 
 WINDOW = 35
@@ -108,9 +108,9 @@ def _repeated(rows: DataFrame, key: list[str]) -> DataFrame:
 
 def _alive(keyed: DataFrame, window: int, base: int) -> DataFrame:
     """Anchors that survive the base length and twice the base length."""
-    counted = keyed.mapInArrow(_members(window, base, True), "run long, n int")
+    counted = map_arrow(keyed, _members(window, base, True), "run long, n int")
     runs = stored(counted.groupBy("run").agg(F.sum("n").alias("n_same")).where("n_same > 1").select("run"), "runs")
-    members = keyed.mapInArrow(_members(window, base, False), _MEMBERS)
+    members = map_arrow(keyed, _members(window, base, False), _MEMBERS)
     alive = stored(members.join(runs, "run"), "anchors")
     right = _repeated(alive.where("right_run <> 0"), ["run", "right_run"]).withColumn("right_same", F.lit(True))
     left = _repeated(alive.where("left_run <> 0"), ["run", "left_run"]).withColumn("left_same", F.lit(True))
@@ -159,7 +159,7 @@ def repeated_windows(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     # A text has at most one stretch per word, so its list is bounded by the text itself.
     lists = open_.groupBy("doc_key").agg(F.collect_list("item").alias("items"))
     texts = keyed.select("doc_key", "text").join(lists, "doc_key")
-    rows = stored(texts.mapInArrow(_window_rows(window), _WINDOWS), "windows")
+    rows = stored(map_arrow(texts, _window_rows(window), _WINDOWS), "windows")
     # Rows of equal text share their key and list, and each emits: they count as the copies they are.
     same = stored(rows.groupBy("one", "two").agg(F.sum("weight").alias("n_same")).where("n_same > 1").select("one", "two"), "same")
     single = rows.where("weight = 1").join(same, ["one", "two"]).select("doc_key", "begin", F.lit(1).alias("n"))
@@ -213,5 +213,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_
     carried = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(names)]
     keyed = docs.select(key.alias("doc_key"), F.col(f"`{text_column}`").alias("text"), *carried)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    return keyed.join(marks, "doc_key", "left").select("text", "marks", *[f"_{i}" for i in range(len(names))]).mapInArrow(
+    return map_arrow(keyed.join(marks, "doc_key", "left").select("text", "marks", *[f"_{i}" for i in range(len(names))]), 
         _cut(window, names), f"{kinds}, n_words long, n_removed long, kept_text string")

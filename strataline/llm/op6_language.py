@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import only, stored
+from .shared import map_arrow, only, stored
 from .tokens import vocabulary_path
 from .words import mix
 
@@ -28,8 +28,8 @@ ROUNDS = 2
 PRIOR_COUNT = 0.05  # of every piece in every language
 WORD_START = "▁"
 LONGEST_WORD = 48  # longer words are cut, which keeps products of probabilities in range
-KEPT_WORDS = 250_000
-TEXTS = 1024  # scored together
+KEPT_WORDS = 150_000
+TEXTS = 500  # scored together
 UNKNOWN = 0  # a character that is no piece
 TABLE_SHIFT = 43
 TABLE = 1 << (64 - TABLE_SHIFT)
@@ -197,7 +197,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
                     [pa.array(np.full(len(words), lang, np.int32)), pa.array(list(words)), pa.array(list(words.values()), pa.int64())],
                     ["lang_no", "word", "n"])
 
-    counted = sample.select("lang_no", F.col(f"`{text_column}`").alias("text")).mapInArrow(
+    counted = map_arrow(sample.select("lang_no", F.col(f"`{text_column}`").alias("text")), 
         count, "lang_no int, word string, n long")
     words = stored(counted.groupBy("lang_no", "word").agg(F.sum("n").alias("n")), "words")
 
@@ -219,7 +219,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
                         [pa.array(np.full(len(piece), no, np.int32)), pa.array(piece.astype(np.int32)), pa.array(total[piece])],
                         ["lang_no", "piece", "expected"])
 
-        sums = words.mapInArrow(expect, "lang_no int, piece int, expected double").groupBy("lang_no", "piece").agg(
+        sums = map_arrow(words, expect, "lang_no int, piece int, expected double").groupBy("lang_no", "piece").agg(
             F.sum("expected").alias("expected")).collect()
         probabilities = np.full((size, len(languages)), PRIOR_COUNT)
         for no, piece, value in sums:
@@ -289,7 +289,7 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text", keep: Sequ
                 [*batch.columns, pa.array([s[0] for s in scored], pa.string()), pa.array([s[1] for s in scored], pa.float64())], names)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema)
-    return chosen.mapInArrow(work, f"{kinds}, lang_pred string, score double")
+    return map_arrow(chosen, work, f"{kinds}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",

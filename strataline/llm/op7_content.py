@@ -18,7 +18,7 @@ from collections.abc import Iterator, Mapping
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import only
+from .shared import map_arrow, only
 
 TRAIN_PAGES = 2000  # pages the weights are learned from, about: the bound of the training sample
 LEAST_WORD, MOST_WORD = 0.25, 3.0
@@ -152,7 +152,7 @@ def fit(pages: DataFrame, id_column: str = "page_id", html_column: str = "html",
                 [pa.array([k for k, _ in seen]), pa.array([i for _, i in seen], pa.bool_()), pa.array(list(seen.values()), pa.int64())],
                 ["kind", "inside", "n"])
 
-    rows = sample.mapInArrow(count, "kind string, inside boolean, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n")).collect()
+    rows = map_arrow(sample, count, "kind string, inside boolean, n long").groupBy("kind", "inside").agg(F.sum("n").alias("n")).collect()
     return weights({(r.kind, r.inside): r.n for r in rows})
 
 
@@ -220,4 +220,4 @@ def main_text(pages: DataFrame, weight: Mapping[str, float] | None = None, id_co
                     [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                     [id_column, url_column, "text", "n_chars"])
 
-    return chosen.mapInArrow(work, f"`{id_column}` {id_kind}, `{url_column}` {url_kind}, text string, n_chars long")
+    return map_arrow(chosen, work, f"`{id_column}` {id_kind}, `{url_column}` {url_kind}, text string, n_chars long")

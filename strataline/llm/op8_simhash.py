@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .graph import components
-from .shared import only, stored
+from .shared import map_arrow, only, stored
 
 SHINGLE = 3
 SEED = 42
@@ -74,7 +74,7 @@ def with_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: s
     chosen = only(docs, [id_column, text_column]).select(
         f"`{id_column}`", f"`{text_column}`", row_key(id_column, text_column).alias("row_key"))
     kind = chosen.schema[id_column].dataType.simpleString()
-    return chosen.mapInArrow(work, f"`{id_column}` {kind}, row_key long, fingerprint long")
+    return map_arrow(chosen, work, f"`{id_column}` {kind}, row_key long, fingerprint long")
 
 
 def links(fingerprints: DataFrame, cell_pairs: int = CELL_PAIRS) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -31,6 +31,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows and bytes that go to a Python worker at once: whole texts can be long, and several workers share an executor.
+ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
+
+
+def map_arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with small batches. Sets the session's Arrow batch limits, which hold for all its queries."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    return df.mapInArrow(work, schema)
+
+
 def only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The named columns alone, so that extra columns of any name can't clash with an operator's own."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
