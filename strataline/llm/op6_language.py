@@ -28,8 +28,9 @@ ROUNDS = 2
 PRIOR_COUNT = 0.05  # of every piece in every language
 WORD_START = "▁"
 LONGEST_WORD = 48  # longer words are cut, which keeps products of probabilities in range
-KEPT_WORDS = 150_000
+KEPT_WORDS = 250_000
 TEXTS = 500  # scored together
+WORD_BATCHES = 20  # batches of training words counted together
 UNKNOWN = 0  # a character that is no piece
 TABLE_SHIFT = 43
 TABLE = 1 << (64 - TABLE_SHIFT)
@@ -208,9 +209,12 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
         sent = docs.sparkSession.sparkContext.broadcast(probabilities)
 
         def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            own = pieces(path)
-            for batch in batches:
-                lang, word, n = np.asarray(batch.column(0)), batch.column(1).to_pylist(), np.asarray(batch.column(2), dtype=float)
+            own, held = pieces(path), []
+
+            def out() -> Iterator[pa.RecordBatch]:
+                rows = pa.Table.from_batches(held).combine_chunks()
+                held.clear()
+                lang, word, n = np.asarray(rows.column(0)), rows.column(1).to_pylist(), np.asarray(rows.column(2)).astype(float)
                 for no in np.unique(lang):
                     at = np.flatnonzero(lang == no)
                     total = own.expected([word[i] for i in at], n[at], sent.value[:, no])
@@ -219,6 +223,13 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
                         [pa.array(np.full(len(piece), no, np.int32)), pa.array(piece.astype(np.int32)), pa.array(total[piece])],
                         ["lang_no", "piece", "expected"])
 
+            for batch in batches:
+                held.append(batch)
+                if len(held) >= WORD_BATCHES:  # many words of one length at a time
+                    yield from out()
+            if held:
+                yield from out()
+
         sums = map_arrow(words, expect, "lang_no int, piece int, expected double").groupBy("lang_no", "piece").agg(
             F.sum("expected").alias("expected")).collect()
         probabilities = np.full((size, len(languages)), PRIOR_COUNT)
