@@ -226,7 +226,7 @@ def probe_views(spark: SparkSession, views: Mapping[str, Callable[[], DataFrame]
         try:
             rows.append((name, "PASS", build().count(), "View queried successfully."))
         except Exception as error:  # any failure of the view is the finding
-            rows.append((name, "FAIL", None, str(error)[:1000]))
+            rows.append((name, "FAIL", None, str(error)))
     return spark.createDataFrame(
         rows, "view_name string, validation_status string, row_count bigint, validation_message string")
 

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import sized
 
 Order = Column | str
 
@@ -35,10 +34,10 @@ def duplicate_members(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row of every duplicated key (rows with a null in the key never count).
 
     Counting is partial per map task and the join side holds one row per
-    duplicated key, so no group is gathered in one task. Few keys are usually
-    duplicated; their set is sized first so that the rows need no shuffle then.
+    duplicated key, so no group is gathered in one task. Whether that side is
+    broadcast is AQE's choice, on its measured size.
     """
-    return df.join(sized(duplicated_keys(df, keys).select(*keys)), list(keys), "left_semi")
+    return df.join(duplicated_keys(df, keys).select(*keys), list(keys), "left_semi")
 
 
 def surplus_rows(df: DataFrame, keys: Sequence[str], row_order: str) -> DataFrame:
@@ -53,7 +52,7 @@ def surplus_rows(df: DataFrame, keys: Sequence[str], row_order: str) -> DataFram
         .filter("_copies > 1").drop("_copies")
     )
     return (
-        df.join(sized(firsts), list(keys)).filter(F.col(row_order) > F.col("_first"))
+        df.join(firsts, list(keys)).filter(F.col(row_order) > F.col("_first"))
         .select(*df.columns)
     )
 
@@ -70,7 +69,6 @@ def mark_duplicates(df: DataFrame, keys: Sequence[str], flag: str,
         df.dropna(subset=list(keys)).groupBy(*keys).agg(*wanted).filter("_copies > 1")
         .withColumnsRenamed(names)
     )
-    groups = sized(groups)
     on = [F.col(k) == F.col(n) for k, n in names.items()]
     hit = F.col("_copies").isNotNull()
     if row_order is not None:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Broadcasts are left to AQE, which decides on measured
 # sizes; skew joins are split even where that costs one more shuffle.
@@ -67,23 +68,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame) -> DataFrame:
     """Compute once what several branches of a plan read, and cut its lineage.
 
-    A reliable checkpoint in the shared folder: it survives lost executors, which
-    a cached or locally checkpointed frame does not.
+    Parquet in the shared folder: it survives lost executors, which a cached or
+    locally checkpointed frame does not, and later reads prune columns and push
+    filters down.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-BROADCAST_ROWS = 500_000
-
-
-def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise a frame that is usually small and count it: up to ``max_rows`` it
-    is broadcast, beyond that it stays an ordinary join side.
-
-    Left to the planner, a side of unknown size makes the big side shuffle before
-    its real size is seen. Runs a job where it is called.
-    """
-    df = materialise(df)
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/layer-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -24,21 +24,28 @@ def test_duplicates_and_surplus(spark, rows):
     assert r.mark_duplicates(df, ["k"], "d", "n").count() == 6
 
 
-def test_large_duplicate_sets_are_joined_not_broadcast(spark, rows, monkeypatch):
-    monkeypatch.setattr("strataline.operators.rows.sized", lambda df: df)
+def test_duplicate_sets_are_joined_without_a_hint(spark, rows):
     df = frame(spark, [("a", 1), ("a", 2), ("b", 4)], "k string, n int")
-    assert rows(r.surplus_rows(df, ["k"], "n"), "n") == [(2,)]
+    surplus = r.surplus_rows(df, ["k"], "n")
+    assert rows(surplus, "n") == [(2,)]
+    assert "hint" not in surplus._jdf.queryExecution().analyzed().toString().lower()
 
 
-def test_sized_switches_at_the_bound(spark):
-    from strataline.session import sized
-    small, large = sized(spark.range(3), 3), sized(spark.range(4), 3)
-    left = spark.range(10).withColumnRenamed("id", "x")
+def test_materialised_layers_prune_columns(spark, rows):
+    from strataline.session import materialise
 
-    def hinted(df):
-        return "hint" in left.join(df, left.x == df.id)._jdf.queryExecution().analyzed().toString().lower()
+    layer = materialise(frame(spark, [("a", 1), ("b", 2)], "k string, n int"))
+    assert rows(layer, "k") == [("a",), ("b",)]
+    assert "ReadSchema: struct<n:int>" in layer.select("n")._jdf.queryExecution().executedPlan().toString()
 
-    assert hinted(small) and not hinted(large)
+
+def test_probe_keeps_the_whole_failure_text(spark):
+    from strataline.operators.reconcile import probe_views
+
+    def broken():
+        raise ValueError("x" * 5000)
+
+    assert probe_views(spark, {"v": broken}).first()["validation_message"] == "x" * 5000
 
 
 def test_latest_per_key_prunes_before_the_shuffle(spark, rows):
