@@ -30,10 +30,9 @@ def attendance_rate_decimal(df: DataFrame, by: Sequence[str], *extra: Column) ->
         "attendance_rate", ratio_decimal("attended_days", "possible_days"))
 
 
-def mean_of_ratios(df: DataFrame, by: Sequence[str], name: str = "mean_rate") -> DataFrame:
-    """Unweighted mean of each record's own rate; differs from the ratio of sums."""
-    return df.groupBy(*by).agg(
-        steady_round(F.avg(ratio_exact("attended_days", "possible_days")), 4).alias(name))
+def mean_of_ratios(name: str = "mean_rate") -> Column:
+    """Aggregate: unweighted mean of each record's own rate; differs from the ratio of sums."""
+    return steady_round(F.avg(ratio_exact("attended_days", "possible_days")), 4).alias(name)
 
 
 def rate_where(condition: Column, name: str) -> Column:
@@ -47,6 +46,13 @@ def conditional_rates(df: DataFrame, by: Sequence[str], conditions: Mapping[str,
     return df.groupBy(*by).agg(*[rate_where(c, name) for name, c in conditions.items()])
 
 
+def with_overall(df: DataFrame, key: str, aggregates: Sequence[Column], overall: str = "All") -> DataFrame:
+    """Aggregates by ``key`` and over everything in one pass (grouping sets)."""
+    total = F.grouping(key) == 1
+    grouped = df.rollup(key).agg(total.alias("_total"), *aggregates)
+    return grouped.withColumn(key, F.when(F.col("_total"), F.lit(overall)).otherwise(F.col(key))).drop("_total")
+
+
 def with_gap(df: DataFrame, high: str, low: str, name: str, digits: int = 4) -> DataFrame:
     return df.withColumn(name, F.round(F.col(high) - F.col(low), digits))
 
@@ -136,14 +142,14 @@ def quartiles(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     )
 
 
-def high_low_gap(df: DataFrame, by: Sequence[str], band: str, score: str = "score") -> DataFrame:
-    """Average score of the high and low band and their difference."""
+def high_low_gap(band: str, score: str = "score") -> list[Column]:
+    """Aggregates: average score of the high and low band and their difference."""
     high = F.avg(F.when(F.col(band) == "High", F.col(score)))
     low = F.avg(F.when(F.col(band) == "Low", F.col(score)))
-    return df.groupBy(*by).agg(
+    return [
         F.count(F.lit(1)).alias("record_count"), F.round(F.avg(score), 2).alias("average_score"),
         F.round(high, 2).alias("high_average"), F.round(low, 2).alias("low_average"),
-        F.round(high - low, 2).alias("score_gap"))
+        F.round(high - low, 2).alias("score_gap")]
 
 
 def lowest_group(rates: DataFrame, by: Sequence[str], group: str,

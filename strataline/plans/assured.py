@@ -191,8 +191,10 @@ def defect_rows(results: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def latest_run(results: DataFrame) -> DataFrame:
-    """(batch_id, run_id) of the latest run of each batch."""
-    return results.groupBy("batch_id").agg(F.max_by("run_id", "run_timestamp").alias("run_id"))
+    """(batch_id, run_id) of the latest run of each batch; of two at one time, the
+    run with the larger id."""
+    last = F.max_by("run_id", F.struct("run_timestamp", "run_id"))
+    return results.groupBy("batch_id").agg(last.alias("run_id"))
 
 
 def of_latest_run(rows: DataFrame, results: DataFrame) -> DataFrame:
@@ -360,7 +362,8 @@ def mart_attendance_year_level(rows: DataFrame, students: DataFrame) -> DataFram
                            F.countDistinct("student_id").alias("student_count"))
 
 
-_ASSESSMENT_COUNTS = lambda: (F.countDistinct("assessment_id").alias("assessment_count"),
+# Silver has one row per batch and assessment, so only students are counted distinct.
+_ASSESSMENT_COUNTS = lambda: (F.count("assessment_id").alias("assessment_count"),
                               F.countDistinct("student_id").alias("student_count"))
 
 

@@ -18,6 +18,7 @@ from ..functions.keys import hash_key
 from ..functions.ratios import ratio_decimal
 from ..functions.text import blank_to_null, is_blank, or_default, to_day_any, to_decimal, to_int
 from ..operators.dimensions import month_dimension
+from ..operators.history import replay_state
 from ..operators.matching import exclude, latest_lookup, mark_known, mark_present
 from ..operators.measures import summed_days
 from ..operators.numbering import extend_surrogates
@@ -332,11 +333,15 @@ def _as_state(rows: DataFrame) -> DataFrame:
 
 
 def _merge_state(state: DataFrame, rows: DataFrame, key: str, surrogate: str) -> DataFrame:
-    """Give new keys a number and update only what changed or moved month. The
-    conformed rows feed the numbering and the merge, so they are computed once."""
+    """Give new keys a number and update only what changed or moved month. A month
+    older than the one a key was last seen in leaves its row as it is. The conformed
+    rows feed the numbering and the merge, so they are computed once."""
     rows = materialise(rows)
     numbers = extend_surrogates(state.select(key, surrogate), rows.select(key), key, surrogate)
+    newer = state.select(key, "last_seen_reporting_month")
     source = _as_state(rows).join(numbers, key).select(*state.columns)
+    source = source.join(newer.withColumnRenamed("last_seen_reporting_month", "_seen"), key, "left").filter(
+        F.col("_seen").isNull() | (F.col("_seen") <= F.col("last_seen_reporting_month"))).drop("_seen")
     return upsert_changed(state, source, [key], "record_hash", "last_seen_reporting_month",
                           keep=[surrogate, "effective_from_month", "validation_status"])
 
@@ -353,6 +358,19 @@ def merge_students(state: DataFrame, bronze_slice: DataFrame, rejected: DataFram
     return _merge_state(state, rows, "student_id", "student_key")
 
 
+def students_at(month: str, bronze: DataFrame, rejected: DataFrame, students: DataFrame,
+                schools: DataFrame) -> DataFrame:
+    """Students as they stood at a month: the last accepted delivery up to it, replayed
+    from bronze. Surrogate keys are those of today's state, as keys never change."""
+    upto = F.col("reporting_month") <= month
+    school = schools.select(F.col("school_id").alias("current_school_id"),
+                            F.col("school_key").alias("current_school_key"))
+    states = replay_state(conformed_students(bronze.filter(upto), rejected.filter(upto)), ["student_id"],
+                          "reporting_month", [F.desc("source_batch_id")])
+    return states.join(school, "current_school_id", "left").join(
+        students.select("student_id", "student_key"), "student_id")
+
+
 def snapshot_students(students: DataFrame, bronze_attendance: DataFrame, rejected: DataFrame,
                       slices: DataFrame) -> DataFrame:
     """Members of each slice from the current state: enrolled or attending, not

@@ -17,10 +17,14 @@ EXPECTED_FILES = {
 READY_MARKER = "_READY.json"
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(reporting_month, file_name, file_size) below ``month=`` folders. Only the
-    listing is read: the content column is pruned."""
-    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+def list_files(spark: SparkSession, root: str, month: str | None = None) -> DataFrame:
+    """(reporting_month, file_name, file_size) below ``month=`` folders, or below that
+    of one month. Only the listing is read: the content column is pruned."""
+    folder = root if month is None else f"{root}/month={month}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], "reporting_month string, file_name string, file_size bigint")
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
              .select("path", F.col("length").alias("file_size")))
     return found.select(
         F.regexp_extract("path", r"month=([^/]+)/", 1).alias("reporting_month"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -14,11 +15,42 @@ def with_file_lineage(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("source_file_name"))
 
 
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """Column names in the header of a CSV file or of a folder's first file."""
+    return spark.read.option("header", True).csv(path).columns
+
+
+def by_header(spark: SparkSession, path: str | Sequence[str], dataset: str, header: Sequence[str],
+              partition: str | None = None, base: str | None = None) -> DataFrame:
+    """CSV files that share a header, every column text. Their columns may come in
+    any order and with others among them; a column of the dataset that is missing
+    is an error, as is a file whose header differs from the one given."""
+    missing = [c for c in SOURCE_COLUMNS[dataset] if c not in header]
+    if missing:
+        raise ValueError(f"{dataset}: no column {', '.join(missing)} in {path}")
+    fields = [f"`{c.replace('`', '``')}` string" for c in header]
+    if partition:
+        fields.append(f"{partition} string")
+    reader = spark.read.schema(", ".join(fields)).option("header", True).option("enforceSchema", False)
+    return (reader.option("basePath", base) if base else reader).csv(path)
+
+
+def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Paths by header: one reader then serves all files of the same layout."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        groups.setdefault(tuple(header_of(spark, path)), []).append(path)
+    return groups
+
+
 def read_csv_text(spark: SparkSession, path: str | Sequence[str], dataset: str) -> DataFrame:
-    """CSV with a header, every column text. The schema is given, so header-only
-    files are zero rows of the right shape and nothing is inferred."""
-    reader = spark.read.schema(text_schema(dataset)).option("header", True).option("enforceSchema", False)
-    return with_file_lineage(reader.csv(path))
+    """CSV read by the names in its header, every column text. Header-only files
+    are zero rows of the right shape and nothing is inferred. Paths may differ in
+    the order of their columns."""
+    paths = [path] if isinstance(path, str) else list(path)
+    parts = [with_file_lineage(by_header(spark, same, dataset, header).select(*SOURCE_COLUMNS[dataset]))
+             for header, same in _headers(spark, paths).items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_json_array(spark: SparkSession, path: str | Sequence[str],
@@ -46,17 +78,31 @@ def json_field(text: str, name: str) -> Column:
     return F.get_json_object(F.col(text), f"$.{name}")
 
 
+def partition_folders(spark: SparkSession, root: str, partition: str) -> list[tuple[str, str]]:
+    """(value, path) of every ``<partition>=<value>`` folder of a dataset: names only."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{root}/{partition}=*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    paths = [status.getPath() for status in found]
+    return sorted((path.getName().split("=", 1)[1], path.toString()) for path in paths)
+
+
 def read_folders(spark: SparkSession, root: str, dataset: str, partition: str,
                  only: Sequence[str] | None = None, file_format: str = "csv") -> DataFrame:
     """All ``<partition>=<value>`` folders below a dataset root. The folder value
     becomes a text column, and ``only`` prunes folders before any file is opened."""
-    schema = f"{text_schema(dataset)}, {partition} string"
-    reader = spark.read.schema(schema)
     if file_format == "csv":
-        found = reader.option("header", True).csv(root)
+        folders = [f for value, f in partition_folders(spark, root, partition) if only is None or value in only]
+        if not folders:
+            empty = spark.createDataFrame([], f"{text_schema(dataset)}, {partition} string")
+            return empty.withColumn("source_file_name", F.lit(None).cast("string"))
+        columns = [*SOURCE_COLUMNS[dataset], partition]
+        found = reduce(DataFrame.unionByName, [
+            with_file_lineage(by_header(spark, same, dataset, header, partition, root).select(*columns))
+            for header, same in _headers(spark, folders).items()])
     else:
-        found = reader.option("multiLine", True).json(root)
-    found = with_file_lineage(found)
+        schema = f"{text_schema(dataset)}, {partition} string"
+        found = with_file_lineage(spark.read.schema(schema).option("multiLine", True).json(root))
     return found if only is None else found.filter(F.col(partition).isin(*only))
 
 

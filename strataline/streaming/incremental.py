@@ -6,17 +6,32 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..operators.rows import latest_per_key
 from ..operators.upsert import upsert
-from ..plans.model import text_schema
+from ..sources.readers import read_csv_text
 from ..sources.writers import read_current, write_version
 
-def delta_stream(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """Stream of CSV deltas with their file as lineage."""
-    rows = spark.readStream.schema(text_schema(dataset)).option("header", True).csv(root)
-    return rows.select("*", F.col("_metadata.file_path").alias("source_file_name"))
+FILE_ROW = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def delta_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
+    """Stream of the paths of new CSV files. A streaming CSV source goes by column
+    position; the names travel instead and ``rows_of`` reads each file by header.
+    The content column is pruned, so no file is opened for the listing."""
+    return (spark.readStream.format("binaryFile").schema(FILE_ROW).option("pathGlobFilter", "*.csv")
+            .option("maxFilesPerTrigger", files_per_batch).load(root).select("path"))
+
+
+def rows_of(dataset: str, handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A micro-batch function over paths that hands the rows of their files on."""
+    def read(batch: DataFrame, batch_id: int) -> None:
+        paths = sorted(row.path for row in batch.collect())  # at most files_per_batch names
+        if paths:
+            handle(read_csv_text(batch.sparkSession, paths, dataset), batch_id)
+
+    return read
 
 
 def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:

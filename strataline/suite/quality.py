@@ -59,6 +59,24 @@ def dq_results(spark, folder):
     return Assured(spark, folder).results
 
 
+# Runs of the rules: (batch, run, time). Batch 1 has two at the same time.
+_RUNS = [(b.BATCH_1, b.RUN_ID, 1), (b.BATCH_1, f"{b.RUN_ID}_again", 1), (b.BATCH_2, b.RUN_ID, 1),
+         (b.BATCH_2, f"{b.RUN_ID}_late", 2)]
+
+
+@register("quality_latest_run", "b_results", f"""
+SELECT r.batch_id, rule_id, rule_name, target_table, severity, failed_record_count, status, l.run_id
+FROM b_results r JOIN (
+  SELECT batch_id, run_id, row_number() OVER (PARTITION BY batch_id ORDER BY at DESC, run_id DESC) AS n
+  FROM (VALUES {', '.join(map(str, _RUNS))}) AS v(batch_id, run_id, at)) l ON r.batch_id = l.batch_id AND l.n = 1""")
+def quality_latest_run(spark, folder):
+    """Several quality runs of a batch: gold reads the latest one only."""
+    runs = spark.createDataFrame(_RUNS, "batch_id string, run_id string, at int")
+    results = b.materialise(Assured(spark, folder).results.drop("run_id").join(runs, "batch_id"))
+    results = results.withColumn("run_timestamp", F.timestamp_seconds("at")).drop("at")
+    return assured.of_latest_run(results, results).drop("run_timestamp")
+
+
 @register("dq_baseline_summary", "stg_schools stg_students stg_attendance stg_scores stg_events", """
 SELECT *, CASE WHEN failed_record_count = 0 THEN 'Passed' ELSE 'Failed' END AS validation_status FROM (
 SELECT 'DQ001' AS validation_id, 'Missing student_id in students' AS check_name, 'stg_students' AS table_name,

@@ -97,9 +97,8 @@ def kpi_season(spark, folder):
     rows = lines(spark, folder)
     winter = F.col("month_number").isin(*dates.SEASON_MONTHS["Winter"])
     conditions = {"winter_rate": winter, "other_rate": ~winter}
-    by_region = measures.conditional_rates(rows, ["region"], conditions)
-    overall = measures.conditional_rates(rows, [], conditions).withColumn("region", F.lit("All"))
-    return measures.with_gap(by_region.unionByName(overall), "winter_rate", "other_rate", "winter_gap")
+    rates = measures.with_overall(rows, "region", [measures.rate_where(c, n) for n, c in conditions.items()])
+    return measures.with_gap(rates, "winter_rate", "other_rate", "winter_gap")
 
 
 @register("kpi_groups", "", f"""
@@ -158,9 +157,7 @@ SELECT coalesce(domain, 'All') AS domain, count(*) AS record_count, round(avg(sc
 FROM s GROUP BY GROUPING SETS ((domain), ())""")
 def kpi_gap(spark, folder):
     scores = b.assessment_rows(spark, folder).withColumn("score", F.col("score").try_cast("int"))
-    by_domain = measures.high_low_gap(scores, ["domain"], "proficiency_band")
-    overall = measures.high_low_gap(scores, [], "proficiency_band").withColumn("domain", F.lit("All"))
-    return by_domain.unionByName(overall)
+    return measures.with_overall(scores, "domain", measures.high_low_gap("proficiency_band"))
 
 
 @register("kpi_heatmap", "", f"""
@@ -191,10 +188,8 @@ SELECT month_key, round(round(avg(CASE WHEN possible_days > 0 THEN attended_days
        {_RATE} AS ratio_of_sums FROM ({_LINES}) GROUP BY 1""")
 def kpi_mean_ratio(spark, folder):
     """The mean of the records' rates next to the ratio of their sums."""
-    rows = lines(spark, folder)
-    ratio = measures.attendance_rate(rows, ["month_key"]).select(
-        "month_key", F.col("attendance_rate").alias("ratio_of_sums"))
-    return measures.mean_of_ratios(rows, ["month_key"]).join(ratio, "month_key")
+    rates = measures.attendance_rate(lines(spark, folder), ["month_key"], measures.mean_of_ratios())
+    return rates.select("month_key", "mean_rate", F.col("attendance_rate").alias("ratio_of_sums"))
 
 
 @register("kpi_mean_band", "", f"""

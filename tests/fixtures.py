@@ -9,12 +9,16 @@ from pathlib import Path
 from strataline.plans.model import SOURCE_COLUMNS
 
 
-def write_csv(path: Path, dataset: str, rows) -> None:
+def write_csv(path: Path, dataset: str, rows, header=None) -> None:
+    """A file with the dataset's columns, or with those of ``header`` (others filled with x)."""
     path.parent.mkdir(parents=True, exist_ok=True)
+    names = SOURCE_COLUMNS[dataset]
     with open(path, "w", newline="") as out:
         writer = csv.writer(out)
-        writer.writerow(SOURCE_COLUMNS[dataset])
-        writer.writerows(rows)
+        writer.writerow(header or names)
+        for row in rows:
+            values = dict(zip(names, row))
+            writer.writerow([values.get(c, "x") for c in header or names])
 
 
 def write_json(path: Path, rows) -> None:

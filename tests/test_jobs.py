@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures
-from strataline.plans import jobs
+from strataline.plans import jobs, monthly
 from strataline.plans.model import text_schema
 from strataline.sources import readers, writers
 
@@ -74,6 +74,18 @@ def test_rerun_changes_nothing_and_views_add_up(spark, lake, rows):
     assert recon.count() == 10 and recon.filter("reconciliation_status <> 'PASS'").count() == 0
 
 
+def test_initial_run_replaces_gold(spark, tmp_path, rows):
+    raw, out = tmp_path / "raw", str(tmp_path / "lake")
+    for batch in (B1, B2):
+        fixtures.write_batch(raw, batch, fixtures.with_defects())
+    jobs.run_batch(spark, str(raw), out, B1, "initial", job_run_id="1", as_of=day("2025-12-31"))
+    jobs.run_batch(spark, str(raw), out, B2, "initial", job_run_id="2", as_of=day("2025-12-31"))
+    lake = jobs.Lake(spark, out)
+    for table in ("fact_attendance", "fact_assessment_result", "dim_student", "data_quality_summary"):
+        assert rows(lake.read("gold", table).select("batch_id").distinct()) == [(B2,)]
+    assert rows(lake.current("gold", "dim_batch"), "batch_id") == [(B2,)]
+
+
 def test_baseline_pipeline(spark, tmp_path):
     raw = tmp_path / "raw"
     fixtures.write_batch(raw, B1, fixtures.with_defects())
@@ -197,6 +209,41 @@ def test_month_audit_and_validation(spark, months, rows):
     assert month["views"].filter("check_status = 'CHECK'").count() == 0
 
 
+def test_rerun_of_an_old_month_keeps_later_months(spark, tmp_path, rows):
+    raw, out = tmp_path / "raw", str(tmp_path / "lake")
+    fixtures.write_month(raw, "2024-01", "INITIAL_SNAPSHOT",
+                         month_data("2024-01", schools=fixtures.schools(), students=fixtures.students()))
+    other = ["status", "gender", "extra", "school_id", "student_id", "enrolment_date", "year_level"]
+    for month, level, status in (("2024-02", "5", "Active"), ("2024-03", "6", "Left")):
+        fixtures.write_month(raw, month, "MONTHLY_CHANGE", month_data(month))
+        fixtures.write_csv(raw / f"month={month}" / "students_delta.csv", "students",
+                           [("STU00001", "SCH003", level, "Male", "2020-02-01", status)], other)
+    assert jobs.run_pending(spark, str(raw), out, minimum_rows=5) == dict.fromkeys(
+        ("2024-01", "2024-02", "2024-03"), "READY")
+    assert jobs.run_pending(spark, str(raw), out, minimum_rows=5) == {}
+    lake = jobs.Lake(spark, out)
+
+    def state():
+        status = lake.read("silver", "student_monthly_status").drop("validation_status")
+        student = lake.current("silver", "student").drop("validation_status", "record_hash")
+        return rows(status, *sorted(status.columns)), rows(student, *sorted(student.columns))
+
+    before = state()
+    key = lake.current("silver", "student").filter("student_id = 'STU00001'").first().student_key
+    levels = rows(lake.read("silver", "student_monthly_status").filter(F.col("student_key") == key),
+                  "reporting_month", "year_level", "student_status")
+    assert levels == [("2024-01", 1, "Active"), ("2024-02", 5, "Active"), ("2024-03", 6, "Left")]
+    jobs.run_month(spark, str(raw), out, "2024-02", "MONTHLY_CHANGE", minimum_rows=5)
+    assert state() == before
+
+
+def test_month_dimension_must_hold_the_month(spark):
+    months = spark.createDataFrame([("2024-01",)], "reporting_month string")
+    monthly.require_month(months, "2024-01")
+    with pytest.raises(RuntimeError, match="month dimension is missing"):
+        monthly.require_month(months, "2024-02")
+
+
 def test_missing_file_stops_the_month(spark, tmp_path):
     fixtures.write_month(tmp_path / "raw", "2024-01", "INITIAL_SNAPSHOT", {})
     (tmp_path / "raw" / "month=2024-01" / "students.csv").unlink()

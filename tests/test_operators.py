@@ -186,7 +186,7 @@ def test_readiness_precedence(spark, rows):
 
 def test_mean_of_ratios_is_not_ratio_of_sums(spark):
     df = frame(spark, [("g", 10, 10), ("g", 100, 50), ("g", 0, 0)], "g string, possible_days int, attended_days int")
-    assert measures.mean_of_ratios(df, ["g"]).first().mean_rate == 0.75
+    assert df.groupBy("g").agg(measures.mean_of_ratios()).first().mean_rate == 0.75
     assert measures.attendance_rate(df, ["g"]).first().attendance_rate == 0.5455
 
 

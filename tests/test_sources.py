@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import fixtures
 from strataline.operators.rows import latest_overall
-from strataline.plans.model import text_schema
+from strataline.plans.model import SOURCE_COLUMNS, text_schema
 from strataline.sources import manifest, readers, writers
 from strataline.streaming import incremental
 
@@ -23,6 +23,24 @@ def test_csv_is_text_with_lineage_and_row_numbers(spark, tmp_path, rows):
         (i, f"SCH{i:03d}") for i in range(1, 6)]
 
 
+SHUFFLED = ["status", "note", "school_type", "school_name", "school_id", "open_date", "region"]
+
+
+def test_csv_goes_by_header_names(spark, tmp_path, rows):
+    data = fixtures.schools(3)
+    for batch, header in (("b1", None), ("b2", SHUFFLED)):
+        fixtures.write_csv(tmp_path / "schools" / f"batch_id={batch}" / "schools.csv", "schools", data, header)
+    root = tmp_path / "schools"
+    files = [str(root / f"batch_id={batch}" / "schools.csv") for batch in ("b1", "b2")]
+    for frame in (readers.read_csv_text(spark, files[1], "schools"), readers.read_csv_text(spark, files, "schools"),
+                  readers.read_folders(spark, str(root), "schools", "batch_id")):
+        assert set(rows(frame, *SOURCE_COLUMNS["schools"])) == set(data)
+    assert readers.read_folders(spark, str(root), "schools", "batch_id", ["none"]).count() == 0
+    fixtures.write_csv(tmp_path / "short.csv", "schools", data, ["school_id", "status"])
+    with pytest.raises(ValueError, match="school_name"):
+        readers.read_csv_text(spark, str(tmp_path / "short.csv"), "schools")
+
+
 def test_row_numbers_across_splits_of_a_file(spark, tmp_path):
     path = tmp_path / "students.csv"
     fixtures.write_csv(path, "students", [(f"STU{i}", "", "", "", "", "") for i in range(3000)])
@@ -124,11 +142,12 @@ def test_stream_upserts_deltas_once(spark, tmp_path, rows):
         state, ["school_id"], [F.desc("source_file_name")], schema, lambda df: df.select("school_id", "status"))
 
     def run():
-        incremental.run_available(incremental.delta_stream(spark, str(raw), "schools"), handle, str(tmp_path / "ckpt"))
+        incremental.run_available(incremental.delta_stream(spark, str(raw)), incremental.rows_of("schools", handle),
+                                  str(tmp_path / "ckpt"))
 
     fixtures.write_csv(raw / "a.csv", "schools", fixtures.schools(2))
     run()
-    fixtures.write_csv(raw / "b.csv", "schools", fixtures.schools(3, closed=(1,)))
+    fixtures.write_csv(raw / "b.csv", "schools", fixtures.schools(3, closed=(1,)), SHUFFLED)
     run()
     run()  # nothing new arrived
     current = writers.read_current(spark, state)
