@@ -67,8 +67,8 @@ _RUNS = [(b.BATCH_1, b.RUN_ID, 1), (b.BATCH_1, f"{b.RUN_ID}_again", 1), (b.BATCH
 @register("quality_latest_run", "b_results", f"""
 SELECT r.batch_id, rule_id, rule_name, target_table, severity, failed_record_count, status, l.run_id
 FROM b_results r JOIN (
-  SELECT batch_id, run_id, row_number() OVER (PARTITION BY batch_id ORDER BY at DESC, run_id DESC) AS n
-  FROM (VALUES {', '.join(map(str, _RUNS))}) AS v(batch_id, run_id, at)) l ON r.batch_id = l.batch_id AND l.n = 1""")
+  SELECT batch_id, run_id, row_number() OVER (PARTITION BY batch_id ORDER BY run_at DESC, run_id DESC) AS n
+  FROM (VALUES {', '.join(map(str, _RUNS))}) AS v(batch_id, run_id, run_at)) l ON r.batch_id = l.batch_id AND l.n = 1""")
 def quality_latest_run(spark, folder):
     """Several quality runs of a batch: gold reads the latest one only."""
     runs = spark.createDataFrame(_RUNS, "batch_id string, run_id string, at int")
