@@ -27,7 +27,7 @@ TRAIN_ROWS = 2000  # labelled rows a language learns from, about: the bound of t
 ROUNDS = 2
 PRIOR_COUNT = 0.05  # of every piece in every language
 WORD_START = "▁"
-LONGEST_WORD = 48  # longer words are cut, which keeps products of probabilities in range
+LONGEST_WORD = 48  # longer words are cut, which with growth() keeps products of probabilities in range
 KEPT_WORDS = 250_000
 TEXTS = 500  # scored together
 WORD_BATCHES = 20  # batches of training words counted together
@@ -48,6 +48,14 @@ def words_of(text: str) -> list[str]:
     return out
 
 
+def growth(probabilities: np.ndarray) -> np.ndarray:
+    """Per language the power of two, about one over the root of its rarest piece's probability, that a pass multiplies
+    in for every character: products over a word then stay within that probability to the power of plus or minus 24,
+    in range down to 1e-12, where plain products underflow at 1e-7."""
+    least = np.where(probabilities > 0, probabilities, 1.0).min(axis=0)
+    return np.exp2(np.round(-np.log2(least) / 2))
+
+
 class Pieces:
     """The vocabulary: an index per piece, 0 for an unknown character, ``nothing`` for what is no piece."""
 
@@ -116,29 +124,29 @@ class Pieces:
 
     def log_likelihoods(self, words: list[str], probabilities: np.ndarray) -> np.ndarray:
         """A row per word, a column per language: the log of the sum over all segmentations."""
-        out = np.empty((len(words), probabilities.shape[1]))
+        out, grown = np.empty((len(words), probabilities.shape[1])), growth(probabilities)
         for length, at in self.by_length(words).items():
             forward = np.zeros((length + 1, len(at), probabilities.shape[1]))
             forward[0] = 1
             for a, b, found in self.lattice([words[i] for i in at]):
-                forward[b] += forward[a] * probabilities[found]
-            out[at] = np.log(forward[length])
+                forward[b] += forward[a] * probabilities[found] * grown ** (b - a)
+            out[at] = np.log(forward[length]) - length * np.log(grown)
         return out
 
     def expected(self, words: list[str], counts: np.ndarray, probability: np.ndarray) -> np.ndarray:
         """Expected count of each piece in the words, given one language's probabilities."""
-        total = np.zeros(self.nothing + 1)
+        total, grown = np.zeros(self.nothing + 1), growth(probability)
         for length, at in self.by_length(words).items():
             steps = list(self.lattice([words[i] for i in at]))
             forward, backward = np.zeros((length + 1, len(at))), np.zeros((length + 1, len(at)))
             forward[0], backward[length] = 1, 1
             for a, b, found in steps:
-                forward[b] += forward[a] * probability[found]
+                forward[b] += forward[a] * probability[found] * grown ** (b - a)
             for a, b, found in reversed(sorted(steps, key=lambda s: s[0])):
-                backward[a] += backward[b] * probability[found]
+                backward[a] += backward[b] * probability[found] * grown ** (b - a)
             share = counts[at] / forward[length]
             for a, b, found in steps:
-                np.add.at(total, found, forward[a] * probability[found] * backward[b] * share)
+                np.add.at(total, found, forward[a] * probability[found] * grown ** (b - a) * backward[b] * share)
         total[self.nothing] = 0
         return total
 

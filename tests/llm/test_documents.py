@@ -167,6 +167,22 @@ def test_language_forward_pass_sums_all_segmentations(spark):
     assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got.values())
 
 
+def test_long_runs_of_unseen_characters_keep_the_language():
+    own = op6_language.pieces(op6_language.vocabulary_path(op6_language.VOCABULARY))
+    counts = np.full((own.nothing + 1, 2), op6_language.PRIOR_COUNT)
+    for no, words in enumerate((["▁das", "▁haus"], ["▁the", "▁house"])):
+        for word in words:
+            counts[own.index.get(word, own.index["▁"]), no] += 4e5
+    counts[own.nothing] = 0
+    path = op6_language.vocabulary_path(op6_language.VOCABULARY)
+    model = op6_language.Model(path, ("de", "en"), np.log([0.5, 0.5]), counts / counts.sum(axis=0))
+    for run in ("鱻" * 48, "╬" * 120):
+        (lang, score), = op6_language.Scorer(model).score([f"the house the {run} the house"])
+        assert lang == "en" and 0.5 < score <= 1
+        expected = own.expected([run[:48]], np.ones(1), model.probabilities[:, 0])
+        assert np.isfinite(expected).all() and 1 <= expected.sum() <= 48
+
+
 def test_licence_rules_prefer_the_longest_sequence(spark):
     header = ('/*\n * Licensed under the Apache License, Version 2.0 (the "License");\n * you may not use this file except in '
               "compliance with the License.\n * You may obtain a copy of the License at\n *\n *  http://www.apache.org/licenses/"
