@@ -2,8 +2,8 @@
 
 A word-level split is the first thing both vocabularies do, and ids never cross it. Where a text has only characters
 whose class is beyond doubt (ASCII, Latin letters and signs, common punctuation), it is split here and each distinct
-piece is encoded once by the library and kept; any other text goes through the library whole. Both ways give the
-library's ids.
+piece is encoded once by the library and kept; any other text goes through the library whole, and so does a text
+with an added token of the vocabulary (such as ``<|endoftext|>``) where that is to be one id. Both ways give the library's ids.
 """
 
 from __future__ import annotations
@@ -30,15 +30,19 @@ def vocabulary_path(name: str) -> str:
 
 
 class Encoder:
-    """Texts to the little-endian unsigned 32-bit bytes of their ids, special tokens taken as ordinary text."""
+    """Texts to the little-endian unsigned 32-bit bytes of their ids. An added token that stands in a text is taken as
+    ordinary text, or, without ``added_as_text``, as the library takes it by default: as one id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True
+        self._library.encode_special_tokens = added_as_text
         self._lower = self._library.normalizer is not None
+        # Where an added token may stand; a match by letters of either case, since some are found after lower-casing.
+        added = [] if added_as_text else [t.content for t in self._library.get_added_tokens_decoder().values() if t.content]
+        self._added = re.compile("|".join(map(re.escape, added)) if added else r"(?!)", re.I).search
         self._split = (_WORD_LEVEL if self._lower else _BYTE_LEVEL).findall
         self._kept: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
@@ -61,7 +65,7 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not _SAFE.fullmatch(text):
+        if not _SAFE.fullmatch(text) or self._added(text):
             return self._whole([text])[0]
         pieces = self._split(text.lower() if self._lower else text)
         try:
@@ -75,7 +79,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """This worker's encoder for a vocabulary file; workers serve many tasks."""
+    """This worker's encoder for a vocabulary file, with the library's default ids; workers serve many tasks."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, added_as_text=False)
     return _ENCODERS[path]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strataline.llm import op1_packing, op4_token_files, op5_substrings, op6_language, op8_simhash, op9_licences, op10_mixing
 from strataline.llm.shared import folder_for
-from strataline.llm.tokens import Encoder, vocabulary_path
+from strataline.llm.tokens import Encoder, encoder, vocabulary_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, ids string, fingerprint string, position int"
@@ -95,6 +95,19 @@ def test_encoder_gives_the_library_s_ids(name):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_takes_added_tokens_as_the_library_does(name):
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(vocabulary_path(name)), encoder(vocabulary_path(name))  # the operators' encoder
+    added = [t.content for t in library.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in added
+    for token in [*added, *map(str.upper, added)]:
+        for text in (token, f"some words {token}more words", f"a {token} {token}\n", f"日本 {token}", token[:-1]):
+            got = np.frombuffer(own.encode(text), "<u4").tolist()
+            assert got == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packing_keeps_every_id_once_within_the_limits(docs):
     limits = op1_packing.Limits(64, 4, 60)
     rows = op1_packing.pack(docs, limits).collect()
