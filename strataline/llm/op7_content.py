@@ -4,7 +4,7 @@ A page is a sequence of words and tags. Words score positive, by the block and l
 their name, with weights learned from pages that label their content themselves (an ``article`` or ``main``
 element): the log odds of the token inside against outside. One linear scan finds the contiguous region with the
 highest sum. What is never main text (scripts, forms, navigation, notices, comments) has its own tag weight, and its
-words neither score nor come out.
+words neither score nor come out; an element named as such that holds the page's content is taken like any other.
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ BLOCK = frozenset("address article aside blockquote body br caption center dd de
                   "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p "
                   "pre search section summary table tbody td tfoot th thead title tr ul".split())
 CLOSES_P = BLOCK - {"br", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dt", "dd", "option", "head", "title", "html", "body"}
-# Words of class, id and role attributes that mark chrome.
+# Words of class, id and role attributes that mark chrome, and words that may stand beside them in one name. Any other
+# word (no-sidebar, has-header, comments-open) makes the name say something about a page or a post.
 CHROME_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promotions comment "
     "comments commentlist disqus respond reply replies sidebar side rail widget widgets nav navbar navigation menu menubar "
@@ -42,6 +43,10 @@ CHROME_NAMES = frozenset(
     "overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "pagination pager toolbar complementary contentinfo search form".split())
 
+STRUCTURE = frozenset(
+    "area bar block body bottom box col column container content foot frame global inner item items left list main outer page "
+    "panel post primary right row secondary section site slot text title top unit wrap wrapper x".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
@@ -50,25 +55,58 @@ _TOKEN = re.compile(
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
 _ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME_PART = re.compile(r"[a-z]+")
+_MAY_BE_NAMED = re.compile(r"\b(?:class|id|role)\s*=", re.I)
 
 
-def _is_chrome(name: str, rest: str) -> bool:
-    if name in CHROME:
-        return True
+def _is_named_chrome(name: str, rest: str) -> bool:
+    """Whether a whole name among an element's attributes marks chrome."""
     if not rest or name in ("html", "body") or name in CONTENT:
         return False
-    return any(part in CHROME_NAMES for values in _ATTRIBUTE.findall(rest) for part in _NAME_PART.findall("".join(values).lower()))
+    for values in _ATTRIBUTE.findall(rest):
+        for whole in "".join(values).lower().split():
+            parts = set(_NAME_PART.findall(whole))
+            if parts & CHROME_NAMES and parts <= CHROME_NAMES | STRUCTURE:
+                return True
+    return False
+
+
+def _spared(page: str) -> frozenset[int]:
+    """Begins of elements named as chrome that hold what the page is about: its largest content element or, where it
+    has none, over half of its shown words."""
+    if not _MAY_BE_NAMED.search(page):
+        return frozenset()
+    spans: list[tuple[str, int, int, int]] = []
+    total = sum(len(value.split()) for kind, value, _ in _walk(page, None, spans) if kind.startswith("word:"))
+    content = max((span for span in spans if span[0] in CONTENT), key=lambda span: span[3], default=None)
+    return frozenset(
+        begin for name, begin, end, words in spans if name not in CONTENT and
+        (begin < content[1] and content[2] <= end if content else 2 * words > total))
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
     """``(kind, value, labelled)`` in page order: kind is ``tag:NAME`` for a tag, ``word:BLOCK`` or ``word:link`` for
     a run of shown text (value: the text, references decoded), ``skip`` for text that is never main text; labelled
     tells whether it is inside the page's own content element. Unclosed elements end with their parent."""
+    return _walk(page, _spared(page))
+
+
+def _walk(page: str, spared: frozenset[int] | None, spans: list[tuple[str, int, int, int]] | None = None,
+          ) -> Iterator[tuple[str, str, bool]]:
+    """The tokens, elements that begin at ``spared`` not hidden by name (None: no element is); ``spans`` gets name,
+    begin, end and words of content elements and of elements named as chrome."""
     stack: list[tuple[str, bool, bool]] = []  # name, hides its text, is or is inside content
-    at, end = 0, len(page)
+    opened: list[tuple[int, str, int, int]] = []  # depth, name, begin and words before, of elements for spans
+    at, end, words = 0, len(page), 0
+
+    def close(depth: int, here: int) -> None:
+        del stack[depth:]
+        while opened and opened[-1][0] >= depth:
+            _, name, begin, before = opened.pop()
+            spans.append((name, begin, here, words - before))
+
     while at < end:
         match = _TOKEN.match(page, at)
-        at = match.end()
+        begin, at = at, match.end()
         inside = stack[-1][2] if stack else False
         text = match["text"]
         if text is not None:
@@ -76,6 +114,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
                 continue
             names = [name for name, _, _ in stack]
             block = next((n for n in reversed(names) if n in BLOCK), "none")
+            words += len(text.split()) if spans is not None else 0
             yield ("word:link" if "a" in names else f"word:{block}"), html_entities.unescape(text), inside
             continue
         name = (match["name"] or (match["lname"] or "").lstrip("/")).lower()
@@ -89,14 +128,14 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
                 continue
             hidden = stack[depth][1]
             label = "tag:chrome" if hidden and depth and not stack[depth - 1][1] else f"tag:{name}"
-            del stack[depth:]
+            close(depth, at)
             if not hidden or not (stack and stack[-1][1]):
                 yield label, name, inside
             continue
         if name in CLOSES_P:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
-                    del stack[i:]
+                    close(i, begin)
                     break
                 if stack[i][0] in BLOCK:
                     break
@@ -104,12 +143,13 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
             same = ("dt", "dd") if name in ("dt", "dd") else ("td", "th") if name in ("td", "th") else (name,)
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in same:
-                    del stack[i:]
+                    close(i, begin)
                     break
                 if stack[i][0] in ("ul", "ol", "dl", "table", "select", "tr" if name in ("td", "th") else "table"):
                     break
         hides = stack[-1][1] if stack else False
-        chrome = _is_chrome(name, rest)
+        named = _is_named_chrome(name, rest)
+        chrome = name in CHROME or named and spared is not None and begin not in spared
         within = (stack[-1][2] if stack else False) or name in CONTENT
         if not hides:
             yield ("tag:chrome" if chrome else f"tag:{name}"), name, within
@@ -119,7 +159,10 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
             closed = _RAW_END[name].search(page, at)
             at = closed.end() if closed else end
             continue
+        if spans is not None and not hides and (named or name in CONTENT):
+            opened.append((len(stack), name, begin, words))
         stack.append((name, hides or chrome or name in UNSHOWN, within and not chrome))
+    close(0, end)
 
 
 def counts(page: str) -> Counter:

@@ -64,6 +64,17 @@ def test_main_text():
     assert [op7_content.extract(p, weight) for p in (None, "", "<p>", "<a ")] == [""] * 4
 
 
+@pytest.mark.parametrize("opening", [
+    '<div class="layout no-sidebar">', '<div id="page" class="has-header">', '<div class="post comments-open">',
+    '<section class="share-enabled">', '<div class="sidebar">', '<div id=header><div class="widget">'])
+def test_wrappers_named_like_chrome_keep_the_page(opening):
+    words = "some words that make a longer paragraph of text " * 4
+    chrome = '<div class="sidebar"><p>Related posts here</p></div><div class=comments><article><p>Nice</p></article></div>'
+    for inner in (f"<article><h1>Top</h1><p>{words}</article>", f"<h1>Top</h1><p>{words}</p>"):
+        page = f"<body>{opening}{inner}{chrome if '<article>' in inner else ''}</div></body>"
+        assert op7_content.extract(page, op7_content.DEFAULT) == f"Top {words.strip()}"
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(spark, name):
     assert oracle.compare(queries.QUERIES[name](spark, FOLDER), oracle.connect(FOLDER), queries.ORACLES[name]) is None
