@@ -23,49 +23,53 @@ from .shared import finite_vector, map_arrow, only, stored
 SCALE = 256
 BLOCK = 8192  # vectors of an index block
 QUERIES = 64  # queries of a query block
-LARGEST = 1 << 24  # quantised components beyond this take no part: their scores would not fit a long
+LARGEST = 1 << 24  # vectors with a quantised component beyond this are blocked apart and may need Python's integers
+LONG = 1 << 63
 DIGIT = 4
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def _batches(column: pa.Array, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Length, ids and quantised rows of the vectors of each length in a batch."""
+def _batches(column: pa.Array, ids: np.ndarray) -> Iterator[tuple[tuple[int, bool], np.ndarray, np.ndarray]]:
+    """Length and whether a component is beyond ``LARGEST``, ids and quantised rows of the vectors of each such kind."""
     offsets, flat = np.asarray(column.offsets), np.asarray(column.values, dtype=np.int64)
     sizes = np.diff(offsets)
     for length in np.unique(sizes).tolist():
         at = np.flatnonzero(sizes == length)
-        yield length, ids[at], flat[offsets[at][:, None] + np.arange(length)]
+        rows = flat[offsets[at][:, None] + np.arange(length)]
+        large = (np.abs(rows) > LARGEST).any(axis=1)
+        for kind in np.unique(large).tolist():
+            yield (length, kind), ids[at[large == kind]], rows[large == kind]
 
 
 def _grouped(size: int, pack, names: list[str], kinds: list[pa.DataType]):
-    """A partition's vectors in rows of up to ``size`` vectors of one length, as ``pack`` forms them."""
+    """A partition's vectors in rows of up to ``size`` vectors of one kind, as ``pack`` forms them."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        held: dict[tuple[int, bool], list] = {}
         shelf = TaskContext.get().partitionId()
 
-        def out(length: int) -> pa.RecordBatch:
-            ids = np.concatenate([x[0] for x in held[length]])
-            rows = np.concatenate([x[1] for x in held[length]])
+        def out(kind: tuple[int, bool]) -> pa.RecordBatch:
+            ids = np.concatenate([x[0] for x in held[kind]])
+            rows = np.concatenate([x[1] for x in held[kind]])
             order = np.argsort(ids, kind="stable")
-            held[length] = [(ids[order[size:]], rows[order[size:]])]
-            values = [shelf, length, *pack(ids[order[:size]], rows[order[:size]])]
+            held[kind] = [(ids[order[size:]], rows[order[size:]])]
+            values = [shelf, kind[0], *pack(ids[order[:size]], rows[order[:size]])]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
         for batch in batches:
-            for length, ids, rows in _batches(batch.column(1), np.asarray(batch.column(0))):
-                held.setdefault(length, []).append((ids, rows))
-                while sum(len(x[0]) for x in held[length]) >= size:
-                    yield out(length)
-        for length in list(held):
-            while sum(len(x[0]) for x in held[length]):
-                yield out(length)
+            for kind, ids, rows in _batches(batch.column(1), np.asarray(batch.column(0))):
+                held.setdefault(kind, []).append((ids, rows))
+                while sum(len(x[0]) for x in held[kind]) >= size:
+                    yield out(kind)
+        for kind in list(held):
+            while sum(len(x[0]) for x in held[kind]):
+                yield out(kind)
     return work
 
 
 def _slice_block(ids: np.ndarray, rows: np.ndarray) -> tuple:
     """Bitmaps of a block: component by component, bit by bit from the lowest, above each component's least value."""
     least = rows.min(axis=0)
-    lifted = (rows - least).astype(np.uint64)
+    lifted = rows.astype(np.uint64) - least.astype(np.uint64)  # modulo 2**64, which holds any difference of longs
     bits = max(1, int(lifted.max()).bit_length())
     words = -(-len(ids) // 64)
     planes = np.zeros((rows.shape[1], bits, words * 64), bool)
@@ -143,6 +147,28 @@ def best(total: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, np
     return above, level
 
 
+def _fits(queries: np.ndarray, least: np.ndarray, bits: int) -> bool:
+    """Whether no sum over the block can leave the longs the bitmaps are read into."""
+    largest = max(int(np.abs(least.astype(object)).max()), 1) + (1 << bits)
+    return max(sum(map(abs, row)) for row in queries.tolist()) * largest < LONG >> 1
+
+
+def _exactly(slices: np.ndarray, least: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray,
+             k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of a block in Python's integers: query ids, ids, scores. Scores that are no long take no part."""
+    lifted = np.zeros((len(ids), len(least)), object)
+    for bit in range(slices.shape[1]):
+        plane = np.unpackbits(np.ascontiguousarray(slices[:, bit]).view(np.uint8), axis=1, bitorder="little")[:, :len(ids)]
+        lifted += plane.T.astype(object) * (1 << bit)
+    rows = lifted + least.astype(object)
+    out = []
+    for query_id, query in zip(query_ids.tolist(), queries.astype(object)):
+        scored = [(-score, i) for score, i in zip(rows @ query, ids.tolist()) if i != query_id and -LONG <= score < LONG]
+        out += [(query_id, i, -score) for score, i in sorted(scored)[:k]]
+    found = np.array(out, np.int64).reshape(-1, 3)
+    return found[:, 0], found[:, 1], found[:, 2]
+
+
 def _search(k: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,6 +179,10 @@ def _search(k: int):
                 ids, least = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["least"], np.int64)
                 query_ids = np.frombuffer(row["query_ids"], np.int64)
                 queries = np.frombuffer(row["query_rows"], np.int64).reshape(len(query_ids), dim)
+                if not _fits(queries, least, bits):
+                    yield pa.RecordBatch.from_arrays(
+                        list(map(pa.array, _exactly(slices, least, ids, queries, query_ids, k))), ["query_id", "vec_id", "score"])
+                    continue
                 total, constant = scores(slices, queries)
                 constant = constant + queries @ least
                 valid = np.zeros((len(query_ids), words * 64), bool)
@@ -187,7 +217,7 @@ def quantise(vectors: DataFrame, scale: int, id_column: str, vector_column: str)
     chosen = only(vectors, [id_column, vector_column]).select(
         F.col(f"`{id_column}`").cast("long").alias("vec_id"), F.col(f"`{vector_column}`").alias("vector"))
     usable = F.col("vec_id").isNotNull() & finite_vector("vector") & ~F.exists(
-        "vector", lambda x: F.abs(x.cast("double") * scale) > LARGEST)
+        "vector", lambda x: F.abs(x.cast("double") * scale) >= float(LONG))
     return chosen.where(usable).select(
         "vec_id", F.transform("vector", lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("vector"))
 
@@ -198,8 +228,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE,
     column ``vec_id``) holds: ``query_id``, ``rank``, ``vec_id``, ``score``; all others if they are fewer; ties to
     the smaller id.
 
-    Vectors that are null, empty, or hold null, non-finite or unquantisable components (beyond 2**24) take no part,
-    nor do rows without an id; zero vectors do. A row is not its own candidate: rows with the query's id are left
+    Vectors that are null, empty, or hold null, non-finite or unquantisable components (no long after scaling) take no
+    part, nor do rows without an id, nor candidates whose score with a query is no long; zero vectors do. A row is not its own candidate: rows with the query's id are left
     out. Vectors of another length than the query's are no candidates. Empty tables give no rows; other columns are
     ignored.
     """

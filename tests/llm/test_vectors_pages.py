@@ -53,6 +53,24 @@ def test_top_vectors(vectors):
     assert sorted(map(tuple, op3_bitsliced.top_k(frame, F.col("vec_id") % 50 == 0).collect())) == sorted(want)
 
 
+def test_top_vectors_with_large_components(spark):
+    rng = np.random.default_rng(2)
+    values = [rng.normal(size=4).tolist() for _ in range(150)]
+    values[7], values[50] = [70_000.0, 1.0, -2.0, 0.5], [-90_000.0, 3.0, 70_000.0, 0.0]
+    values[60], values[100] = [3e9, -2e9, 1e3, 1.0], [2e12, 1.0, 1e12, 0.0]
+    values[61], values[62] = [1e300, 0.0, 0.0, 0.0], [-3e16, 2e16, 0.0, 1.0]
+    rows = list(enumerate(values))
+    good = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if i != 61]
+    want = []
+    for q, a in good:
+        if q % 50 == 0:
+            scored = [(-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q]
+            scored = sorted((s, i) for s, i in scored if -(1 << 63) <= -s < 1 << 63)[:5]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, op3_bitsliced.top_k(frame, F.col("vec_id") % 50 == 0).collect())) == sorted(want)
+
+
 def test_main_text():
     weight = op7_content.DEFAULT
     words = "some words that make a longer paragraph of text "
