@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import op1_packing, op2_embeddings, op3_bitsliced, op4_token_files, op5_substrings, op6_language, op7_content
-from . import op8_simhash, op9_licences, op10_mixing, op12_merkle, op13_exact
+from . import op8_simhash, op9_licences, op10_mixing, op11_lexical, op12_merkle, op13_exact
 from .shared import folder_for, table
 
 
@@ -63,6 +63,11 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return op10_mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_ranked_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The fifty best documents for every benchmark item."""
+    return op11_lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op12_merkle_proofs(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's leaf, proof and folded root in the manifest of all documents; one in five is tampered."""
     return op12_merkle.verify(table(spark, folder, "documents"), op12_merkle.every_fifth())
@@ -76,9 +81,10 @@ def op13_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_pack_sequences, op2_near_vectors, op3_top_vectors, op4_token_files_round_trip, op5_repeated_windows,
     op6_language_of_text, op7_main_text, op8_simhash_groups, op9_licences_of_text, op10_mix_sources,
-    op12_merkle_proofs, op13_exact_copies)}
+    op11_ranked_documents, op12_merkle_proofs, op13_exact_copies)}
 
 ORACLES = {
+    "op11_ranked_documents": op11_lexical.ORACLE,
     "op12_merkle_proofs": op12_merkle.ORACLE,
     "op13_exact_copies": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
