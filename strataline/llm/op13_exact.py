@@ -41,7 +41,8 @@ def merge_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         starts = np.append([0], ends[:-1] + 1)
         counts = np.add.reduceat(table["n"].to_numpy(), starts)
         merged = table.take(pa.array(ends))
-        merged = merged.set_column(merged.schema.get_field_index("n"), "n", pa.array(counts, pa.int64()))
+        at = merged.schema.get_field_index("n")
+        merged = merged.set_column(at, merged.schema.field(at), pa.array(counts, pa.int64()))
         rows = merged.combine_chunks().to_batches()[0]
         if len(rows) > 1:
             yield rows.slice(0, len(rows) - 1)
