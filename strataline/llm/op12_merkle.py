@@ -6,7 +6,9 @@ Each level is one aggregation over groups of at most 16 rows and is stored as pa
 of the children, and where the node stands in its parent.
 
 ``proofs`` is one recursive common table expression: each leaf ascends from parent to parent, appends the siblings it
-meets to its proof and folds them with its own, possibly tampered, digest until it stands at the root.
+meets to its proof and folds them with its own, possibly tampered, digest until it stands at the root. The leaves of one
+run of 16 share all siblings above it and so ascend together, each with a digest of its own: Spark shuffles every level
+twice, and proofs carried leaf by leaf took more than three times the input on disk.
 
 Positions are numbered without a task per source: rows are range-partitioned by source and id, and small tables of
 counts per partition give the offsets. In the climb an upper node is met by all leaves below it, a third of the corpus
@@ -148,35 +150,48 @@ class Manifest:
 
 
 CLIMB = """
-WITH RECURSIVE climb (id, block, leaf, folded, proof, subroot, slot, up_tree, up_level, up_pos) AS (
-  SELECT id, number DIV {block}, digest, changed, X'', CAST(NULL AS BINARY), slot, up_tree, up_level, up_pos FROM {leaves}
+WITH RECURSIVE climb (block, members, base, proof, subroot, slot, up_tree, up_level, up_pos) AS (
+  SELECT block, members, X'', X'', CAST(NULL AS BINARY), slot, up_tree, up_level, up_pos FROM {leaves}
   UNION ALL
-  SELECT c.id, c.block, c.leaf,
-         unhex(sha2(lower(hex(concat(substring(n.children, 1, {width} * c.slot), c.folded,
-                                     substring(n.children, {width} * c.slot + {width} + 1)))), 256)),
-         concat(c.proof, substring(n.children, 1, {width} * c.slot), substring(n.children, {width} * c.slot + {width} + 1)),
+  SELECT c.block,
+         transform(c.members, m -> named_struct('place', m.place, 'id', m.id, 'leaf', m.leaf, 'folded', unhex(sha2(lower(hex(concat(
+           substring(n.children, 1, {width} * coalesce(c.slot, m.place)), m.folded,
+           substring(n.children, {width} * coalesce(c.slot, m.place) + {width} + 1)))), 256)))),
+         CASE WHEN c.slot IS NULL THEN n.children ELSE c.base END,
+         CASE WHEN c.slot IS NULL THEN c.proof ELSE concat(c.proof, substring(n.children, 1, {width} * c.slot),
+                                                           substring(n.children, {width} * c.slot + {width} + 1)) END,
          coalesce(c.subroot, CASE WHEN n.tree = {top} THEN substring(n.children, {width} * c.slot + 1, {width}) END),
          n.slot, n.up_tree, n.up_level, n.up_pos
   FROM climb c JOIN {nodes} n
     ON c.block = n.block AND c.up_tree = n.tree AND c.up_level = n.level AND c.up_pos = n.pos)
-SELECT id, lower(hex(leaf)) AS leaf, lower(hex(subroot)) AS subroot, sha2(lower(hex(proof)), 256) AS proof_sha256,
-       lower(hex(folded)) AS folded_root
-FROM climb WHERE up_tree IS NULL"""
+SELECT m.id, lower(hex(m.leaf)) AS leaf, lower(hex(subroot)) AS subroot, lower(hex(m.folded)) AS folded_root,
+       sha2(lower(hex(concat(substring(base, 1, {width} * m.place), substring(base, {width} * m.place + {width} + 1), proof))), 256)
+         AS proof_sha256
+FROM (SELECT base, proof, subroot, explode(members) AS m FROM climb WHERE up_tree IS NULL)"""
 
 
 def proofs(manifest: Manifest) -> DataFrame:
-    """Per leaf: ``id``, ``leaf``, ``subroot``, ``proof_sha256``, ``folded_root``, from one recursive query."""
+    """Per leaf: ``id``, ``leaf``, ``subroot``, ``proof_sha256``, ``folded_root``, from one recursive query.
+
+    Leaves of one run meet the same siblings above it. They ascend in one row, each with its own folded digest; the run's
+    digests stand in ``base``, of which each leaf's proof takes all but its own, and ``slot`` is null until they have.
+    """
     spark = manifest.leaves.sparkSession
     nodes = manifest.nodes
     if nodes is None:  # every leaf is a tree of its own, or there is none
         nodes = manifest.leaves.where("false").select(
             "tree", "level", "pos", F.col("digest").alias("children"), *UP, F.col("number").alias("block"))
+    single = F.col("size") == 1
+    groups = manifest.leaves.groupBy("tree", F.shiftright("pos", 4).alias("run"), "up_tree", "up_level", "up_pos").agg(
+        F.floor(F.min("number") / BLOCK).alias("block"), F.min(F.when(single, F.col("slot"))).alias("slot"),
+        F.array_sort(F.collect_list(F.struct(
+            F.when(single, 0).otherwise(F.col("slot")).alias("place"), "id", F.col("digest").alias("leaf"),
+            F.col("changed").alias("folded")))).alias("members"))  # 16 at most
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit, None)
-    spark.conf.set(limit, "-1")  # the climb makes a row per leaf and level, whatever their number
+    spark.conf.set(limit, "-1")  # a row per run and level, whatever their number
     try:
-        return stored(spark.sql(CLIMB, leaves=stored(manifest.leaves, "climbers"), nodes=stored(nodes, "nodes"),
-                                block=BLOCK, width=DIGEST, top=TOP), "proofs")
+        return stored(spark.sql(CLIMB, leaves=stored(groups, "climbers"), nodes=stored(nodes, "nodes"), width=DIGEST, top=TOP), "proofs")
     finally:
         spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
 
