@@ -48,6 +48,14 @@ def only(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def free_name(taken: Sequence[str], name: str) -> str:
+    """``name``, or the first of it with underscores before it that no column has (names differ by more than case)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
 def finite_vector(vector: str) -> Column:
     """True for a vector that is not null or empty and has only finite components."""
     v = F.col(vector)
