@@ -54,7 +54,7 @@ class Piece:
 
     doc: object
     start: int
-    ids: bytes
+    ids: bytes | memoryview
     doc_tokens: int
     loss_from: int
 
@@ -83,13 +83,14 @@ class Packer:
         self.waiting: list[Piece] = []
 
     def add(self, doc: object, ids: bytes, loss_from: int = 0) -> Iterator[list[Piece]]:
-        rest = Piece(doc, 0, ids, len(ids) // 4, loss_from)
+        rest = Piece(doc, 0, memoryview(ids), len(ids) // 4, loss_from)  # cutting a view copies nothing
         while rest.length:
             at = rest.fitting(self.limits.tokens, self.limits.loss)
             piece, rest = rest.cut(at)
             if piece.length == self.limits.tokens:
                 yield [piece]
             else:
+                piece.ids = bytes(piece.ids)  # a waiting piece must not hold its whole document
                 self.waiting.append(piece)
         if len(self.waiting) >= self.pool:
             yield from self._pack(self.pool // 2)
@@ -171,7 +172,7 @@ def _rows(id_field: pa.Field, limits: Limits, path: str, end_id: int, with_ids:
                 for p in pieces:
                     rows.append((p.doc, p.start, p.length, zlib.crc32(p.ids), p.doc_tokens, sequence, offset, p.loss))
                     if with_ids:
-                        ids.append(p.ids)
+                        ids.append(bytes(p.ids))
                     offset += p.length
                 sequence += 1
 

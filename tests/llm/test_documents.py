@@ -130,6 +130,40 @@ def test_packing_keeps_every_id_once_within_the_limits(docs):
         assert sum(r.length for r in pieces) <= 64 and len(pieces) <= 4 and sum(r.loss_tokens for r in pieces) <= 60
 
 
+def test_packing_equals_a_plain_encoding_with_little_padding(spark, docs):
+    """The query's own limits against the unmodified library: every id of every document once, checksums, padding."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary_path(op1_packing.VOCABULARY))
+    rows = [r.asDict() for r in op1_packing.pack(docs.where("doc_id is not null").dropDuplicates(["doc_id"])).collect()]
+    by_doc = defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(r)
+    texts = {r.doc_id: r.text for r in docs.where("doc_id is not null").dropDuplicates(["doc_id"]).collect()}
+    assert set(by_doc) == set(texts)
+    for i, text in texts.items():
+        want = library.encode(text or "", add_special_tokens=False).ids + [0]
+        pieces = sorted(by_doc[i], key=lambda r: r["start"])
+        assert [x for r in pieces for x in r["ids"]] == want and {r["doc_tokens"] for r in pieces} == {len(want)}
+        assert all(r["ids_crc32"] == zlib.crc32(np.array(want[r["start"]:r["start"] + r["length"]], "<u4").tobytes()) for r in pieces)
+    used = Counter()
+    for r in rows:
+        used[r["sequence_id"]] += r["length"]
+    total = sum(used.values())
+    assert max(used.values()) <= 1024 and sum(map(op1_packing.padded_length, used.values())) <= 1.02 * total
+
+
+def test_packing_a_very_long_document_is_linear():
+    import time
+
+    def seconds(n):
+        packer, ids, start = op1_packing.Packer(op1_packing.Limits()), bytes(4 * n), time.process_time()
+        assert sum(p.length for s in [*packer.add(1, ids), *packer.finish()] for p in s) == n
+        return time.process_time() - start
+
+    assert seconds(8_000_000) < 2.0  # 16.8 s when every cut copied the rest
+
+
 def test_token_files_round_trip_and_lookup(spark, docs):
     path = folder_for(spark, "tokens-test")
     op4_token_files.write_tokens(docs, path)
