@@ -116,6 +116,75 @@ def failed_records(marked: DataFrame, rules: Sequence[Rule], by: Sequence[str],
     )
 
 
+MASK = "_broken"
+
+
+@dataclass(frozen=True)
+class Screened:
+    """A table after its rules: the number of rows per slice, and its failing rows with ``MASK``, a long that has one bit
+    for each rule a row breaks. The marks are evaluated in one pass; all outputs read what it left."""
+
+    table: str
+    rules: Sequence[Rule]
+    rows: DataFrame
+    failing: DataFrame
+
+    def bit(self, rule: Rule) -> Column:
+        at = [r.rule_id for r in self.rules if r.fails is not None].index(rule.rule_id)
+        return F.col(MASK).bitwiseAND(F.lit(1 << at)) != 0
+
+
+def screen(table: str, marked: DataFrame, rules: Sequence[Rule], by: Sequence[str], keep: Sequence[str],
+           store: Callable[[DataFrame], DataFrame], rows: DataFrame | None = None) -> Screened:
+    """Evaluate the rules of one table once; ``store`` writes the few failing rows with the columns ``keep``.
+
+    ``rows`` is the table before marking (the same rows): its slices are counted from their columns alone, without the
+    joins the marks need.
+    """
+    row_rules = rules_of(rules, table)
+    if len(row_rules) > 62:
+        raise ValueError("a table has at most 62 row rules")
+    bits = [F.when(r.fails(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, r in enumerate(row_rules)]
+    mask = reduce(lambda a, b: a.bitwiseOR(b), bits)
+    columns = list(dict.fromkeys([*by, *keep, *[r.business_key for r in row_rules if r.rejects and r.business_key]]))
+    failing = store(marked.select(*columns, mask.alias(MASK)).filter(F.col(MASK) != 0))
+    counted = (marked if rows is None else rows).groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    return Screened(table, [r for r in rules if r.target_table == table], counted, failing)
+
+
+def screened_counts(screened: Screened, by: Sequence[str], slices: DataFrame | None = None) -> DataFrame:
+    """(by..., rule_id, failed_record_count) of every rule, for the given slices or those the table has rows of."""
+    row_rules = [r for r in screened.rules if r.fails is not None]
+    broken = screened.failing.groupBy(*by).agg(*[F.count_if(screened.bit(r)).alias(r.rule_id) for r in row_rules])
+    base = screened.rows if slices is None else slices.select(*by).join(screened.rows, list(by), "left")
+    rows = F.coalesce("_rows", F.lit(0))
+
+    def failures(rule: Rule) -> Column:
+        if rule.volume is not None:
+            return rule.volume(rows).cast("bigint")
+        return F.coalesce(rule.rule_id, F.lit(0))
+
+    pairs = F.array(*[F.struct(F.lit(r.rule_id).alias("rule_id"), failures(r).alias("failed_record_count"))
+                      for r in screened.rules])
+    return base.join(broken, list(by), "left").select(*by, F.inline(pairs))
+
+
+def screened_records(screened: Screened, by: Sequence[str], carry: Sequence[str], payload: Sequence[str]) -> DataFrame:
+    """One row per failing record and broken rule that rejects, with the record as JSON."""
+    rejecting = [r for r in screened.rules if r.fails is not None and r.rejects]
+    failures = F.array_compact(F.array(*[
+        F.when(screened.bit(r), F.struct(
+            F.lit(r.rule_id).alias("rule_id"), F.col(r.business_key).cast("string").alias("business_key"),
+            F.lit(r.failure_reason).alias("failure_reason")))
+        for r in rejecting
+    ]))
+    return (
+        screened.failing.withColumn("_failures", failures).filter(F.size("_failures") > 0)
+        .select(*by, *carry, F.lit(screened.table).alias("target_table"),
+                json_payload(list(payload)).alias("failed_record_json"), F.inline("_failures"))
+    )
+
+
 def passing(marked: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that fail none of the rules: quarantine in the pass that marks, with
     no join back from captured failures."""

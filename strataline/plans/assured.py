@@ -6,7 +6,7 @@ like any other, so nothing loops over batches.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,8 +18,9 @@ from ..functions.text import clean, is_blank, to_day, to_int
 from ..operators.dimensions import date_bounds, dense_dates, hashed_dimension
 from ..operators.matching import as_of_join, exclude, mark_present
 from ..operators.measures import attendance_rate, score_summary, summed_days
-from ..operators.quality import (Rule, catalogue, defects, describe, failed_records, failure_counts,
-                                 passing, quarantine_keys, result_status, rules_of, summarise, union_all)
+from ..operators.quality import (Rule, Screened, catalogue, defects, describe, failed_records, failure_counts,
+                                 passing, quarantine_keys, result_status, rules_of, screen, screened_counts,
+                                 screened_records, summarise, union_all)
 from ..operators.rows import latest_per_key, mark_duplicates
 from .model import (ATTENDANCE_KEY, DATE_COLUMNS, INT_COLUMNS, LINEAGE, RECORD_KEY, SCORE_RANGE,
                     SOURCE_COLUMNS)
@@ -186,6 +187,31 @@ def failed_record_rows(marked: Mapping[str, DataFrame], rules: Sequence[Rule], r
     ]).withColumn("run_id", run_id)
 
 
+def screened_tables(silver: Mapping[str, DataFrame], marked: Mapping[str, DataFrame], rules: Sequence[Rule],
+                    store: Callable[[DataFrame], DataFrame]) -> list[Screened]:
+    """Every table after its rules, each evaluated once; the failing rows are stored."""
+    out = []
+    for table, df in marked.items():
+        name = table.split(".")[1]
+        out.append(screen(table, df, rules, ["batch_id"], ["bronze_record_id", *SOURCE_COLUMNS[name], *LINEAGE], store,
+                          silver[name]))
+    return out
+
+
+def screened_results(screened: Sequence[Screened], rules: Sequence[Rule], run_id: Column) -> DataFrame:
+    """``validation_results`` from the stored failing rows."""
+    counts = union_all([screened_counts(s, ["batch_id"]) for s in screened])
+    status = result_status(F.col("failed_record_count"), F.col("severity"))
+    return describe(counts, rules, status).withColumn("run_id", run_id)
+
+
+def screened_failures(screened: Sequence[Screened], run_id: Column) -> DataFrame:
+    """``failed_record_rows`` from the stored failing rows."""
+    return union_all([
+        screened_records(s, ["batch_id"], ["bronze_record_id"], [*SOURCE_COLUMNS[s.table.split(".")[1]], *LINEAGE])
+        for s in screened]).withColumn("run_id", run_id)
+
+
 def defect_rows(results: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return defects(results, rules, F.col("run_id"), "batch_id")
 

@@ -7,8 +7,8 @@ one slice, because each month builds on the state the month before it left.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -22,8 +22,8 @@ from ..operators.history import replay_state
 from ..operators.matching import exclude, latest_lookup, mark_known, mark_present
 from ..operators.measures import summed_days
 from ..operators.numbering import extend_surrogates
-from ..operators.quality import (Rule, caveats, describe, failed_records, pass_or_fail, readiness,
-                                 rules_of, slice_failures, union_all)
+from ..operators.quality import (Rule, Screened, caveats, describe, failed_records, pass_or_fail, readiness,
+                                 rules_of, screen, screened_counts, screened_records, slice_failures, union_all)
 from ..operators.reconcile import slice_counts
 from ..operators.rows import latest_per_key, mark_duplicates
 from ..operators.upsert import upsert, upsert_changed
@@ -45,7 +45,7 @@ ASSESSMENT_DOMAINS = ((1, "Reading", 1), (2, "Numeracy", 2), (3, "Writing", 3))
 
 def quality_rules(minimum_rows: int = MINIMUM_ATTENDANCE_ROWS,
                   snapshot_month: str = SNAPSHOT_MONTH) -> list[Rule]:
-    """Fifteen rules; eight of them capture rejected rows, the others only count.
+    """Fifteen rules, with names and texts that are fixed values; eight of them capture rejected rows, the others only count.
     Four look at the row count of a slice, two of these only in the snapshot month."""
     def empty_snapshot(rows: Column) -> Column:
         return (rows == 0) & (F.col("reporting_month") == snapshot_month)
@@ -153,19 +153,54 @@ def rejected_records(marked: dict[str, DataFrame]) -> DataFrame:
     return union_all(out)
 
 
-@dataclass(frozen=True)
 class QualityRun:
-    results: DataFrame
-    rejected: DataFrame
-    caveats: DataFrame
-    readiness: DataFrame
+    """What the rules say of some slices: results, rejected records, caveats, readiness.
+
+    With ``store`` every rule is evaluated once, in the pass that stores the failing rows with a bit per broken rule, and
+    all four read those. Without it each output asked for is a pass over the marked tables of its own, which is less work
+    where only one is.
+    """
+
+    def __init__(self, bronze: dict[str, DataFrame], marked: dict[str, DataFrame], slices: DataFrame,
+                 store: Callable[[DataFrame], DataFrame] | None, limits: dict):
+        self._bronze, self._marked, self._slices, self._store, self._limits = bronze, marked, slices, store, limits
+        self._rules = quality_rules(**limits)
+
+    @cached_property
+    def screened(self) -> list[Screened]:
+        return [screen(table, df, self._rules, SLICE,
+                       ["source_file_name", ROW, *SOURCE_COLUMNS[table.split(".")[1]]], self._store,
+                       self._bronze[table.split(".")[1]])
+                for table, df in self._marked.items()]
+
+    @cached_property
+    def results(self) -> DataFrame:
+        if self._store is None:
+            return validation_results(self._marked, self._slices, **self._limits)
+        counts = union_all([screened_counts(s, SLICE, self._slices) for s in self.screened])
+        # A row per slice and rule: caveats and readiness read it again.
+        return self._store(describe(counts, self._rules, pass_or_fail(F.col("failed_record_count"))))
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        if self._store is None:
+            return rejected_records(self._marked)
+        return union_all([
+            screened_records(s, SLICE, ["source_file_name", ROW], SOURCE_COLUMNS[s.table.split(".")[1]])
+            for s in self.screened if any(r.rejects and r.fails is not None for r in s.rules)])
+
+    @property
+    def caveats(self) -> DataFrame:
+        return caveats(self.results, SLICE)
+
+    @property
+    def readiness(self) -> DataFrame:
+        return readiness(self.results, self.rejected, SLICE)
 
 
 def assess(bronze: dict[str, DataFrame], all_schools: DataFrame, known_students: DataFrame,
-           slices: DataFrame, **limits) -> QualityRun:
-    marked = mark(bronze, all_schools, known_students)
-    results, rejected = validation_results(marked, slices, **limits), rejected_records(marked)
-    return QualityRun(results, rejected, caveats(results, SLICE), readiness(results, rejected, SLICE))
+           slices: DataFrame, store: Callable[[DataFrame], DataFrame] | None = materialise, **limits) -> QualityRun:
+    return QualityRun(bronze, mark(bronze, all_schools, known_students), slices, store, limits)
 
 
 # ---------------------------------------------------------------- conformed tables

@@ -259,20 +259,21 @@ WHERE attendance_month IS NULL OR attendance_month > {AS_OF}
 UNION ALL SELECT batch_id, 'DQ011', event_id, bronze_record_id FROM b_events e
 WHERE NOT EXISTS (SELECT 1 FROM b_schools s WHERE s.batch_id = e.batch_id AND s.school_id = e.school_id
                   AND s.status = 'Active')""")
+# Names, severities and texts of the rules, here and in c_rules.
 cte("b_rules", "", """
 SELECT * FROM (VALUES
- ('DQ001', 'Missing student ID', 'silver.students', 'High', 'Investigate source student extract and require student_id for all student records.'),
- ('DQ002', 'Missing school ID', 'silver.students', 'High', 'Investigate student enrolment extract and require a valid school_id for each student.'),
- ('DQ003', 'Invalid attendance days', 'silver.attendance', 'High', 'Review attendance source extract and enforce valid possible_days and attended_days values before publishing.'),
- ('DQ004', 'Duplicate attendance business record', 'silver.attendance', 'Medium', 'Review attendance source extract for duplicate monthly attendance submissions and deduplicate before reporting.'),
- ('DQ005', 'Attendance references missing student', 'silver.attendance', 'High', 'Investigate attendance records with missing student references and correct source system referential integrity.'),
- ('DQ006', 'Assessment references missing student', 'silver.assessment_results', 'High', 'Investigate assessment records with missing student references and correct source system referential integrity.'),
- ('DQ007', 'Invalid assessment score', 'silver.assessment_results', 'High', 'Review assessment scoring scale and source extract. Confirm whether scores should be normalised before reporting.'),
- ('DQ008', 'Invalid proficiency band', 'silver.assessment_results', 'Medium', 'Review assessment proficiency band mapping and enforce controlled category values.'),
- ('DQ009', 'Invalid school status', 'silver.schools', 'Medium', 'Review school status reference data and enforce controlled status values.'),
- ('DQ010', 'Future attendance month', 'silver.attendance', 'Medium', 'Review attendance period values and prevent future-dated attendance records from entering reporting.'),
- ('DQ011', 'School event linked to inactive or missing school', 'silver.school_events', 'Low', 'Review school event source data and confirm whether events should be linked only to active schools.')
-) AS t(rule_id, rule_name, target_table, severity, recommended_action)""")
+ ('DQ001', 'Missing student ID', 'silver.students', 'High', 'Investigate source student extract and require student_id for all student records.', 'student_id is null or blank'),
+ ('DQ002', 'Missing school ID', 'silver.students', 'High', 'Investigate student enrolment extract and require a valid school_id for each student.', 'school_id is null or blank'),
+ ('DQ003', 'Invalid attendance days', 'silver.attendance', 'High', 'Review attendance source extract and enforce valid possible_days and attended_days values before publishing.', 'Attendance days are missing, negative, or attended_days is greater than possible_days.'),
+ ('DQ004', 'Duplicate attendance business record', 'silver.attendance', 'Medium', 'Review attendance source extract for duplicate monthly attendance submissions and deduplicate before reporting.', 'Duplicate attendance business record for student_id, school_id, and attendance_month.'),
+ ('DQ005', 'Attendance references missing student', 'silver.attendance', 'High', 'Investigate attendance records with missing student references and correct source system referential integrity.', 'attendance.student_id does not exist in silver.students for the same batch_id.'),
+ ('DQ006', 'Assessment references missing student', 'silver.assessment_results', 'High', 'Investigate assessment records with missing student references and correct source system referential integrity.', 'assessment_results.student_id does not exist in silver.students for the same batch_id.'),
+ ('DQ007', 'Invalid assessment score', 'silver.assessment_results', 'High', 'Review assessment scoring scale and source extract. Confirm whether scores should be normalised before reporting.', 'score is null or outside the valid 250 to 700 range.'),
+ ('DQ008', 'Invalid proficiency band', 'silver.assessment_results', 'Medium', 'Review assessment proficiency band mapping and enforce controlled category values.', 'proficiency_band is null or not one of Low, Medium, High.'),
+ ('DQ009', 'Invalid school status', 'silver.schools', 'Medium', 'Review school status reference data and enforce controlled status values.', 'status is null or not one of Active, Closed.'),
+ ('DQ010', 'Future attendance month', 'silver.attendance', 'Medium', 'Review attendance period values and prevent future-dated attendance records from entering reporting.', 'attendance_month is null or later than the current date.'),
+ ('DQ011', 'School event linked to inactive or missing school', 'silver.school_events', 'Low', 'Review school event source data and confirm whether events should be linked only to active schools.', 'school event is linked to an inactive or missing school.')
+) AS t(rule_id, rule_name, target_table, severity, recommended_action, failure_reason)""")
 cte("b_results", "b_rules b_failures b_schools b_students b_attendance b_scores b_events", """
 SELECT b.batch_id, r.rule_id, r.rule_name, r.target_table, r.severity, count(f.rule_id) AS failed_record_count,
        CASE WHEN count(f.rule_id) = 0 THEN 'PASS' WHEN r.severity = 'Low' THEN 'WARN' ELSE 'FAIL' END AS status,
@@ -539,3 +540,34 @@ SELECT row_number() OVER (ORDER BY substr(sha256(r.assessment_id), 1, 3), r.asse
          AND left(a.reporting_month, 4) = CAST(r.assessment_year AS VARCHAR)
         ORDER BY a.reporting_month DESC, a.attendance_id DESC LIMIT 1) AS attendance_band
 FROM c_conformed_scores r LEFT JOIN c_student s ON s.student_key = r.student_key""")
+
+
+def _payload(columns: str, *more: tuple[str, str]) -> str:
+    """A row as JSON text, nulls left out; names that end in ``:date`` are written as dates."""
+    pairs = [(c.removesuffix(":date"), f"CAST({c.removesuffix(':date')} AS VARCHAR)" if c.endswith(":date") else c)
+             for c in columns.split()]
+    listed = ", ".join(f"'{k}', {v}" for k, v in [*pairs, *more])
+    return f"CAST(json_merge_patch('{{}}', json_object({listed})) AS VARCHAR) AS payload"
+
+
+_SILVER_PAYLOADS = (
+    ("schools", "b_schools", "school_id school_name region school_type open_date:date status"),
+    ("students", "b_students", "student_id school_id year_level gender enrolment_date:date status"),
+    ("attendance", "b_attendance", "attendance_id student_id school_id attendance_month:date possible_days attended_days absence_reason"),
+    ("assessment_results", "b_scores", "assessment_id student_id school_id assessment_year domain score proficiency_band"),
+    ("school_events", "b_events", "event_id school_id event_type event_date:date description"),
+)
+cte("b_payloads", "b_schools b_students b_attendance b_scores b_events", "\nUNION ALL ".join(
+    f"SELECT 'silver.{name}' AS target_table, batch_id, bronze_record_id, " + _payload(
+        columns, ("batch_id", "batch_id"), ("run_id", "'dev_batch_run'"), ("load_timestamp", "'2026-01-15T00:00:00.000Z'"),
+        ("source_file_name", f"'{name}.csv'"), ("bronze_record_id", "bronze_record_id")) + f" FROM {source}"
+    for name, source, columns in _SILVER_PAYLOADS))
+_BRONZE_PAYLOADS = (
+    ("schools", "c_schools", "school_id school_name region school_type open_date status"),
+    ("students", "c_students", "student_id school_id year_level gender enrolment_date status"),
+    ("attendance", "c_attendance", "attendance_id student_id school_id attendance_month possible_days attended_days absence_reason"),
+    ("assessment_results", "c_scores", "assessment_id student_id school_id assessment_year domain score proficiency_band"),
+)
+cte("c_payloads", "c_schools c_students c_attendance c_scores", "\nUNION ALL ".join(
+    f"SELECT DISTINCT 'bronze.{name}' AS target_table, reporting_month, CAST(row_number AS VARCHAR) AS raw_row_number, "
+    + _payload(columns) + f" FROM {source}" for name, source, columns in _BRONZE_PAYLOADS))

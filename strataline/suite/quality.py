@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import labels
+from ..functions.text import json_payload
 from ..operators import matching, quality
 from ..operators.quality import union_all
-from ..plans import assured, baseline, monthly
+from ..plans import assured, baseline, model, monthly
 from . import bindings as b
 from .registry import register
 
@@ -35,10 +36,11 @@ def stored_bronze(spark, folder):
     return b.stored(b.monthly_bronze(spark, folder), "attendance")
 
 
-def monthly_run(spark, folder, bronze=None):
+def monthly_run(spark, folder, bronze=None, store=b.materialise):
+    """``store=None`` where a query reads one output only."""
     return monthly.assess(
         bronze or stored_bronze(spark, folder), b.schools(spark, folder), b.known_students(spark, folder),
-        b.slices(spark, folder), minimum_rows=MINIMUM_ROWS, snapshot_month=b.SNAPSHOT_MONTH)
+        b.slices(spark, folder), store, minimum_rows=MINIMUM_ROWS, snapshot_month=b.SNAPSHOT_MONTH)
 
 
 _RESULT = "batch_id, rule_id, rule_name, target_table, severity, failed_record_count, status, run_id"
@@ -163,28 +165,32 @@ def dq_volume(spark, folder):
         for t in ("attendance", "students", "schools")])
 
 
-@register("dq_failed_records", "b_failures b_rules", """
-SELECT f.batch_id, f.rule_id, r.target_table, f.business_key, f.bronze_record_id, 'dev_batch_run' AS run_id
-FROM b_failures f JOIN b_rules r ON f.rule_id = r.rule_id""")
+@register("dq_failed_records", "b_failures b_rules b_payloads", """
+SELECT f.batch_id, f.rule_id, r.target_table, f.business_key, f.bronze_record_id, 'dev_batch_run' AS run_id,
+       r.failure_reason, p.payload AS failed_record_json
+FROM b_failures f JOIN b_rules r ON f.rule_id = r.rule_id
+JOIN b_payloads p ON p.target_table = r.target_table AND p.bronze_record_id = f.bronze_record_id AND p.batch_id = f.batch_id""")
 def dq_failed_records(spark, folder):
-    return Assured(spark, folder).failed.drop("failed_record_json", "failure_reason")
-
-
-@register("dq_failed_payload", "b_att_marked", """
-SELECT batch_id, 'DQ003' AS rule_id, attendance_id AS business_key,
-       'Attendance days are missing, negative, or attended_days is greater than possible_days.' AS failure_reason,
-       CAST(json_merge_patch('{}', json_object(
-         'attendance_id', attendance_id, 'student_id', student_id, 'school_id', school_id,
-         'attendance_month', CAST(attendance_month AS VARCHAR), 'possible_days', possible_days,
-         'attended_days', attended_days, 'absence_reason', absence_reason)) AS VARCHAR) AS failed_record_json
-FROM b_att_marked WHERE possible_days IS NULL OR attended_days IS NULL OR possible_days < 0
-   OR attended_days < 0 OR attended_days > possible_days""")
+    return Assured(spark, folder).failed
+
+
+@register("dq_failed_payload", "b_failures b_rules b_payloads", """
+SELECT f.batch_id, r.target_table, f.bronze_record_id, string_agg(f.rule_id, ',' ORDER BY f.rule_id) AS broken_rules,
+       any_value(p.payload) AS failed_record_json
+FROM b_failures f JOIN b_rules r ON f.rule_id = r.rule_id
+JOIN b_payloads p ON p.target_table = r.target_table AND p.bronze_record_id = f.bronze_record_id AND p.batch_id = f.batch_id
+GROUP BY 1, 2, 3""")
 def dq_failed_payload(spark, folder):
-    """The rejected row itself as JSON text, nulls left out."""
-    rules = [r for r in assured.quality_rules(b.as_of()) if r.rule_id == "DQ003"]
-    columns = baseline.SOURCE_COLUMNS["attendance"]
-    return quality.failed_records(b.silver(spark, folder)["attendance"], rules, ["batch_id"], [],
-                                  columns).drop("target_table")
+    """Every rejected row once, as JSON text with nulls left out, and the rules it breaks: from the stored rule bits."""
+    run = Assured(spark, folder)
+    screened = assured.screened_tables(run.silver, run.marked, run.rules, b.materialise)
+    return union_all([
+        s.failing.select(
+            "batch_id", F.lit(s.table).alias("target_table"), "bronze_record_id",
+            F.array_join(F.array_sort(F.array_compact(F.array(*[F.when(s.bit(r), r.rule_id) for r in s.rules]))), ",")
+            .alias("broken_rules"),
+            json_payload([*model.SOURCE_COLUMNS[s.table.split(".")[1]], *model.LINEAGE]).alias("failed_record_json"))
+        for s in screened])
 
 
 @register("dq_defects", "b_defects", "SELECT * FROM b_defects")
@@ -210,19 +216,21 @@ def dq_summaries(spark, folder):
 
 @register("dq_monthly_results", "c_results", "SELECT * FROM c_results")
 def dq_monthly_results(spark, folder):
-    return monthly_run(spark, folder).results
+    return monthly_run(spark, folder, store=None).results
 
 
-@register("dq_monthly_rejected", "c_rejected", """
-SELECT source_batch_id, reporting_month, rule_id, target_table, business_key, failure_reason, raw_row_number
-FROM c_rejected""")
+@register("dq_monthly_rejected", "c_rejected c_payloads", """
+SELECT j.source_batch_id, j.reporting_month, j.rule_id, j.target_table, j.business_key, j.failure_reason, j.raw_row_number,
+       substr(j.target_table, 8) || '.csv' AS source_file_name, p.payload AS failed_record_json
+FROM c_rejected j JOIN c_payloads p
+  ON p.target_table = j.target_table AND p.reporting_month = j.reporting_month AND p.raw_row_number = j.raw_row_number""")
 def dq_monthly_rejected(spark, folder):
-    return monthly_run(spark, folder).rejected.drop("failed_record_json", "source_file_name")
+    return monthly_run(spark, folder, store=None).rejected
 
 
 @register("dq_caveats", "c_caveats", "SELECT * FROM c_caveats")
 def dq_caveats(spark, folder):
-    return monthly_run(spark, folder).caveats
+    return monthly_run(spark, folder, store=None).caveats
 
 
 @register("dq_readiness", "c_readiness", "SELECT * FROM c_readiness")

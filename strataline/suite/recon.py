@@ -213,7 +213,7 @@ SELECT 'attendance.csv' AS source_file_name, (SELECT count(*) FROM c_attendance)
 FROM (SELECT count(DISTINCT raw_row_number) AS n FROM c_rejected WHERE target_table = 'bronze.attendance')""")
 def file_ledger(spark, folder):
     """Loaded and rejected rows of the attendance file; a row is rejected once."""
-    rejected = monthly_run(spark, folder).rejected.filter(F.col("target_table") == "bronze.attendance")
+    rejected = monthly_run(spark, folder, store=None).rejected.filter(F.col("target_table") == "bronze.attendance")
     return reconcile.file_ledger(b.monthly_bronze(spark, folder)["attendance"],
                                  rejected.select("source_file_name", "raw_row_number").distinct())
 

@@ -179,7 +179,7 @@ def kpi_seasonal_pattern(spark, folder):
 @register("kpi_caveats", "c_caveats", """
 SELECT reporting_month, severity, affected_area, count(*) AS caveat_count FROM c_caveats GROUP BY 1, 2, 3""")
 def kpi_caveats(spark, folder):
-    return monthly_run(spark, folder).caveats.groupBy("reporting_month", "severity", "affected_area").agg(
+    return monthly_run(spark, folder, store=None).caveats.groupBy("reporting_month", "severity", "affected_area").agg(
         F.count(F.lit(1)).alias("caveat_count"))
 
 
