@@ -461,6 +461,7 @@ FROM (SELECT source_batch_id, reporting_month,
              count(*) FILTER (severity = 'WARNING' AND failed_record_count > 0) AS w,
              (SELECT count(*) FROM c_rejected j WHERE j.reporting_month = c_results.reporting_month) AS n
       FROM c_results GROUP BY source_batch_id, reporting_month)""")
+cte("c_released", "c_readiness", "SELECT reporting_month FROM c_readiness WHERE readiness_status <> 'NOT_READY'")
 cte("c_school", "c_schools", """
 SELECT row_number() OVER (ORDER BY substr(sha256(school_id), 1, 3), school_id) AS school_key, *
 FROM (SELECT trim(school_id) AS school_id, school_name, region, school_type,

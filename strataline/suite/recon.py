@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import bands, dates
-from ..operators import profile, reconcile, rows
+from ..operators import profile, quality, reconcile, rows, upsert
+from ..operators.quality import union_all
 from ..plans import monthly
 from . import bindings as b
 from .history import Monthly
@@ -37,18 +38,18 @@ def recon_layers(spark, folder):
 
 
 @register("recon_three_state", "", """
-SELECT coalesce(o.d, e.d) AS day, o.n AS source_row_count, e.n AS target_row_count, e.n - o.n AS difference_count,
+SELECT coalesce(o.k, e.k) AS entity_id, o.n AS source_row_count, e.n AS target_row_count, e.n - o.n AS difference_count,
        CASE WHEN o.n IS NULL OR e.n IS NULL THEN 'WARNING' WHEN o.n = e.n THEN 'PASS' ELSE 'FAIL' END AS reconciliation_status
-FROM (SELECT day(o_orderdate) AS d, count(*) AS n FROM orders WHERE day(o_orderdate) > 3 GROUP BY 1) o
-FULL JOIN (SELECT day(ts) AS d, count(*) AS n FROM events GROUP BY 1) e ON o.d = e.d""")
+FROM (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) o
+FULL JOIN (SELECT user_id AS k, count(*) AS n FROM events GROUP BY 1) e ON o.k = e.k""")
 def recon_three_state(spark, folder):
-    """Orders and events per day of the month; some days occur on one side only."""
-    orders = b.table(spark, folder, "orders").select(F.dayofmonth("o_orderdate").cast("bigint").alias("day"))
-    events = b.table(spark, folder, "events").select(F.dayofmonth("ts").cast("bigint").alias("day"))
-    return reconcile.compare_counts(orders.filter("day > 3"), events, ["day"])
+    """Orders and events of each customer: many occur on one side only."""
+    orders = b.table(spark, folder, "orders").select(F.col("o_custkey").cast("bigint").alias("entity_id"))
+    events = b.table(spark, folder, "events").select(F.col("user_id").cast("bigint").alias("entity_id"))
+    return reconcile.compare_counts(orders, events, ["entity_id"])
 
 
-@register("recon_monthly", "c_slices c_attendance c_scores c_events c_school c_conformed_attendance c_conformed_scores c_status", """
+@register("recon_monthly", "c_slices c_attendance c_scores c_events c_school c_conformed_attendance c_conformed_scores c_status c_released", """
 WITH s AS (SELECT * FROM c_slices),
 src AS (SELECT 'school' AS o, '1995-01' AS m, count(*) AS n FROM c_school
   UNION ALL SELECT 'attendance_monthly', reporting_month, count(*) FROM c_attendance GROUP BY 2
@@ -59,7 +60,7 @@ tgt AS (SELECT 'school' AS o, '1995-01' AS m, count(*) AS n FROM c_school
   UNION ALL SELECT 'attendance_monthly', reporting_month, count(*) FROM c_conformed_attendance GROUP BY 2
   UNION ALL SELECT 'assessment_result', reporting_month, count(*) FROM c_conformed_scores GROUP BY 2
   UNION ALL SELECT 'school_event', reporting_month, count(*) FROM c_events JOIN c_school USING (school_id) GROUP BY 2
-  UNION ALL SELECT 'student_monthly_status', reporting_month, count(*) FROM c_status GROUP BY 2)
+  UNION ALL SELECT 'student_monthly_status', reporting_month, count(*) FROM c_status JOIN c_released USING (reporting_month) GROUP BY 2)
 SELECT s.source_batch_id, s.reporting_month, 'bronze_to_silver' AS layer_name, v.o AS object_name,
        coalesce(src.n, 0) AS source_row_count, coalesce(tgt.n, 0) AS target_row_count,
        coalesce(tgt.n, 0) - coalesce(src.n, 0) AS difference_count,
@@ -67,37 +68,60 @@ SELECT s.source_batch_id, s.reporting_month, 'bronze_to_silver' AS layer_name, v
 FROM s CROSS JOIN (VALUES ('school'), ('student_monthly_status'), ('attendance_monthly'), ('assessment_result'), ('school_event')) v(o)
 LEFT JOIN src ON src.o = v.o AND src.m = s.reporting_month LEFT JOIN tgt ON tgt.o = v.o AND tgt.m = s.reporting_month""")
 def recon_monthly(spark, folder):
+    """The students a snapshot should hold against the snapshots of the months that passed the gate."""
     run = Monthly(spark, folder)
-    status = run.status
-    silver = {"school": run.schools, "student_monthly_status": status, "attendance_monthly": run.attendance,
+    status = b.materialise(run.status)
+    kept = quality.only_ready(status, run.quality.readiness, monthly.SLICE)
+    silver = {"school": run.schools, "student_monthly_status": kept, "attendance_monthly": run.attendance,
               "assessment_result": run.scores,
               "school_event": monthly.conformed_events(run.bronze["school_events"], run.schools)}
     return monthly.reconcile_bronze_silver(run.bronze, silver, status, run.slices)
 
 
-@register("recon_monthly_gold", "c_slices c_status c_fact_attendance c_caveats", """
+_GOLD_COUNTS = """
+src AS (SELECT 'fact_student_snapshot' AS o, reporting_month AS m, count(*) AS n FROM c_status GROUP BY 2
+  UNION ALL SELECT 'fact_attendance_monthly', reporting_month, count(*) FROM c_conformed_attendance GROUP BY 2
+  UNION ALL SELECT 'fact_assessment_result', reporting_month, count(*) FROM c_conformed_scores GROUP BY 2
+  UNION ALL SELECT 'fact_data_quality_caveat', reporting_month, count(*) FROM c_caveats GROUP BY 2),
+tgt AS (SELECT 'fact_student_snapshot' AS o, reporting_month AS m, count(*) AS n FROM c_status GROUP BY 2
+  UNION ALL SELECT 'fact_attendance_monthly', replace(source_batch_id, '_', '-'), count(*) FROM c_fact_attendance GROUP BY 2
+  UNION ALL SELECT 'fact_assessment_result', replace(source_batch_id, '_', '-'), count(*) FROM c_fact_score JOIN c_domain USING (domain) GROUP BY 2
+  UNION ALL SELECT 'fact_data_quality_caveat', reporting_month, count(*) FROM c_caveats GROUP BY 2)"""
+_GOLD_NEEDS = "c_slices c_status c_conformed_attendance c_conformed_scores c_fact_attendance c_fact_score c_domain c_caveats c_released"
+
+
+def released(run: Monthly) -> dict:
+    """The gold slices of the months whose quality run lets them pass, as the pipeline loads them: a month that is not
+    ready has none, and scores of domains that gold doesn't know are lost."""
+    def ready(df):
+        return quality.only_ready(df, run.quality.readiness, monthly.SLICE)
+
+    status, attendance = ready(run.status), run.attendance
+    return {
+        "fact_student_snapshot": monthly.fact_student_snapshot(status),
+        "fact_attendance_monthly": monthly.fact_attendance_monthly(ready(attendance), run.status, run.bands),
+        "fact_assessment_result": monthly.fact_assessment_result(
+            monthly.merge_assessment(monthly.empty_state(run.spark)["assessment_result"], ready(run.scores)),
+            run.domains, run.students, attendance, run.bands),
+        "fact_data_quality_caveat": monthly.fact_data_quality_caveat(ready(run.quality.caveats), run.quality.results),
+    }
+
+
+@register("recon_monthly_gold", _GOLD_NEEDS, f"""
+WITH {_GOLD_COUNTS.strip()}
 SELECT s.source_batch_id, s.reporting_month, 'silver_to_gold' AS layer_name, v.o AS object_name,
-       coalesce(n, 0) AS source_row_count, coalesce(n, 0) AS target_row_count, 0::BIGINT AS difference_count,
-       'PASS' AS reconciliation_status
-FROM c_slices s CROSS JOIN (VALUES ('fact_student_snapshot'), ('fact_attendance_monthly'), ('fact_data_quality_caveat')) v(o)
-LEFT JOIN (SELECT 'fact_student_snapshot' AS o, source_batch_id AS k, count(*) AS n FROM c_status GROUP BY 2
-  UNION ALL SELECT 'fact_attendance_monthly', source_batch_id, count(*) FROM c_fact_attendance GROUP BY 2
-  UNION ALL SELECT 'fact_data_quality_caveat', source_batch_id, count(*) FROM c_caveats GROUP BY 2) c
-  ON c.o = v.o AND c.k = s.source_batch_id""")
+       coalesce(src.n, 0) AS source_row_count, CASE WHEN r.reporting_month IS NULL THEN 0 ELSE coalesce(tgt.n, 0) END AS target_row_count,
+       CASE WHEN r.reporting_month IS NULL THEN 0 ELSE coalesce(tgt.n, 0) END - coalesce(src.n, 0) AS difference_count,
+       CASE WHEN CASE WHEN r.reporting_month IS NULL THEN 0 ELSE coalesce(tgt.n, 0) END = coalesce(src.n, 0) THEN 'PASS' ELSE 'FAIL' END
+         AS reconciliation_status
+FROM c_slices s CROSS JOIN (VALUES ('fact_student_snapshot'), ('fact_attendance_monthly'), ('fact_assessment_result'), ('fact_data_quality_caveat')) v(o)
+LEFT JOIN c_released r ON r.reporting_month = s.reporting_month
+LEFT JOIN src ON src.o = v.o AND src.m = s.reporting_month LEFT JOIN tgt ON tgt.o = v.o AND tgt.m = s.reporting_month""")
 def recon_monthly_gold(spark, folder):
+    """All silver rows against the gold slices that were released."""
     run = Monthly(spark, folder)
-    status, attendance = run.status, run.attendance
-    quality = run.quality
-    silver = {"student_monthly_status": status, "attendance_monthly": attendance,
-              "assessment_result": run.scores}
-    gold = {
-        "fact_student_snapshot": monthly.fact_student_snapshot(status),
-        "fact_attendance_monthly": monthly.fact_attendance_monthly(attendance, status, run.bands),
-        "fact_assessment_result": run.scores,
-        "fact_data_quality_caveat": monthly.fact_data_quality_caveat(quality.caveats, quality.results),
-    }
-    counted = monthly.reconcile_silver_gold(silver, gold, quality.caveats, run.slices)
-    return counted.filter("object_name <> 'fact_assessment_result'")
+    silver = {"student_monthly_status": run.status, "attendance_monthly": run.attendance, "assessment_result": run.scores}
+    return monthly.reconcile_silver_gold(silver, released(run), run.quality.caveats, run.slices)
 
 
 @register("recon_conservation", "raw_attendance b_attendance b_good_attendance", """
@@ -232,66 +256,112 @@ def quality_details(spark, folder):
     return reconcile.quality_details(run.results, run.caveats, run.rejected, monthly.SLICE)
 
 
-@register("month_checks", "c_slices c_attendance c_students c_scores c_status", """
-WITH n AS (SELECT 'bronze.attendance' AS o, reporting_month AS m, count(*) AS n FROM c_attendance GROUP BY 2
+@register("month_checks", _GOLD_NEEDS + " c_attendance c_students c_scores c_events c_schools", f"""
+WITH {_GOLD_COUNTS.strip()},
+bronze AS (SELECT 'bronze.attendance' AS o, reporting_month AS m, count(*) AS n FROM c_attendance GROUP BY 2
   UNION ALL SELECT 'bronze.students', reporting_month, count(*) FROM c_students GROUP BY 2
   UNION ALL SELECT 'bronze.assessment_results', reporting_month, count(*) FROM c_scores GROUP BY 2
-  UNION ALL SELECT 'student snapshot', reporting_month, count(*) FROM c_status GROUP BY 2)
-SELECT s.source_batch_id, s.reporting_month,
-       CASE WHEN v.o = 'student snapshot' THEN 'silver_to_gold' ELSE 'bronze' END AS check_group, v.o AS object_name,
-       coalesce(n.n, 0) AS row_count,
-       CASE WHEN v.o = 'student snapshot' THEN coalesce(n.n, 0) END AS expected_or_comparison_count,
-       CASE WHEN v.o = 'student snapshot' THEN 0::BIGINT END AS difference_count,
-       CASE v.o WHEN 'bronze.assessment_results' THEN 'INFO' WHEN 'student snapshot' THEN 'OK'
-            ELSE CASE WHEN coalesce(n.n, 0) = 0 THEN 'CHECK' ELSE 'OK' END END AS check_status
-FROM c_slices s CROSS JOIN (VALUES ('bronze.attendance'), ('bronze.students'), ('bronze.assessment_results'), ('student snapshot')) v(o)
-LEFT JOIN n ON n.o = v.o AND n.m = s.reporting_month""")
+  UNION ALL SELECT 'bronze.school_events', reporting_month, count(*) FROM c_events GROUP BY 2
+  UNION ALL SELECT 'bronze.schools', reporting_month, count(*) FROM c_schools GROUP BY 2),
+n AS (SELECT 'audit.file_load' AS o, m, count(*) AS n FROM bronze GROUP BY 2 UNION ALL SELECT * FROM bronze
+  UNION ALL SELECT CASE o WHEN 'fact_student_snapshot' THEN 'student snapshot' WHEN 'fact_attendance_monthly' THEN 'attendance facts'
+                          ELSE 'quality caveats' END, m, n FROM src WHERE o <> 'fact_assessment_result'),
+g AS (SELECT CASE o WHEN 'fact_student_snapshot' THEN 'student snapshot' WHEN 'fact_attendance_monthly' THEN 'attendance facts'
+                    ELSE 'quality caveats' END AS o, m, n FROM tgt JOIN c_released r ON r.reporting_month = m
+      WHERE o <> 'fact_assessment_result')
+SELECT s.source_batch_id, s.reporting_month, v.g AS check_group, v.o AS object_name, coalesce(n.n, 0) AS row_count,
+       CASE WHEN v.k = 'compare' THEN coalesce(g.n, 0) END AS expected_or_comparison_count,
+       CASE WHEN v.k = 'compare' THEN coalesce(g.n, 0) - coalesce(n.n, 0) END AS difference_count,
+       CASE v.k WHEN 'info' THEN 'INFO' WHEN 'required' THEN CASE WHEN coalesce(n.n, 0) = 0 THEN 'CHECK' ELSE 'OK' END
+            ELSE CASE WHEN coalesce(n.n, 0) = coalesce(g.n, 0) THEN 'OK' ELSE 'CHECK' END END AS check_status
+FROM c_slices s CROSS JOIN (VALUES ('file_loads', 'audit.file_load', 'required'), ('bronze', 'bronze.attendance', 'required'),
+  ('bronze', 'bronze.students', 'required'), ('bronze', 'bronze.assessment_results', 'info'), ('bronze', 'bronze.school_events', 'info'),
+  ('silver_to_gold', 'student snapshot', 'compare'), ('silver_to_gold', 'attendance facts', 'compare'),
+  ('quality_to_gold', 'quality caveats', 'compare')) v(g, o, k)
+LEFT JOIN n ON n.o = v.o AND n.m = s.reporting_month LEFT JOIN g ON g.o = v.o AND g.m = s.reporting_month""")
 def month_checks(spark, folder):
+    """The eight essential checks of every month."""
     run = Monthly(spark, folder)
-    status = run.status
-    gold = monthly.fact_student_snapshot(status).withColumn(
-        "reporting_month", F.replace("source_batch_id", F.lit("_"), F.lit("-")))
+    gold, bronze = released(run), run.bronze
+    files = union_all([df.select(*monthly.SLICE, "source_file_name").distinct() for df in bronze.values()])
+
+    def month_of(name):
+        return gold[name].select("source_batch_id", F.replace("source_batch_id", F.lit("_"), F.lit("-")).alias("reporting_month"))
+
     checks = reconcile.check_rows([
-        ("bronze", "bronze.attendance", run.bronze["attendance"], None, True),
-        ("bronze", "bronze.students", run.bronze["students"], None, True),
-        ("bronze", "bronze.assessment_results", run.bronze["assessment_results"], None, False),
-        ("silver_to_gold", "student snapshot", status, gold, False),
+        ("file_loads", "audit.file_load", files, None, True),
+        ("bronze", "bronze.attendance", bronze["attendance"], None, True),
+        ("bronze", "bronze.students", bronze["students"], None, True),
+        ("bronze", "bronze.assessment_results", bronze["assessment_results"], None, False),
+        ("bronze", "bronze.school_events", bronze["school_events"], None, False),
+        ("silver_to_gold", "student snapshot", run.status, month_of("fact_student_snapshot"), False),
+        ("silver_to_gold", "attendance facts", run.attendance, month_of("fact_attendance_monthly"), False),
+        ("quality_to_gold", "quality caveats", run.quality.caveats, month_of("fact_data_quality_caveat"), False),
     ], monthly.SLICE, run.slices)
     return reconcile.in_check_order(checks)
 
 
-@register("month_validation", "c_slices c_attendance c_conformed_attendance c_readiness c_fact_attendance", """
+@register("month_validation", "c_slices c_attendance c_students c_scores c_rejected c_conformed_attendance c_readiness c_fact_attendance", """
 WITH r AS (SELECT s.source_batch_id AS k, CASE WHEN coalesce(a.n, 0) <> coalesce(c.n, 0) THEN 1 ELSE 0 END AS f
   FROM c_slices s LEFT JOIN (SELECT source_batch_id, count(*) AS n FROM c_attendance GROUP BY 1) a USING (source_batch_id)
   LEFT JOIN (SELECT source_batch_id, count(*) AS n FROM c_conformed_attendance GROUP BY 1) c USING (source_batch_id)),
 x AS (SELECT source_batch_id, count(*) AS rows_, count(*) FILTER (year_level_key IS NULL) AS l,
              count(*) FILTER (attendance_band_key IS NULL) AS b FROM c_fact_attendance GROUP BY 1),
-j AS (SELECT s.source_batch_id, s.reporting_month, 1::BIGINT AS pipeline_run_id, 'SUCCEEDED' AS run_status,
-             'MONTHLY_CHANGE' AS load_mode, coalesce(f.n, 0) AS file_load_count, 0::BIGINT AS failed_file_load_count,
+loaded AS (SELECT 'bronze.attendance' AS t, source_batch_id AS k, count(*) AS n FROM c_attendance GROUP BY 2
+  UNION ALL SELECT 'bronze.students', source_batch_id, count(*) FROM c_students GROUP BY 2
+  UNION ALL SELECT 'bronze.assessment_results', source_batch_id, count(*) FROM c_scores GROUP BY 2),
+refused AS (SELECT target_table AS t, source_batch_id AS k, count(DISTINCT raw_row_number) AS n FROM c_rejected GROUP BY 1, 2),
+f AS (SELECT k, count(*) AS n, count(*) FILTER (loaded.n = coalesce(refused.n, 0)) AS failed
+      FROM loaded LEFT JOIN refused USING (t, k) GROUP BY 1),
+u AS (SELECT source_batch_id AS k, reporting_month AS m, CAST(right(reporting_month, 2) AS INTEGER) AS month_no FROM c_slices
+      WHERE right(reporting_month, 2) <> '12'),
+j AS (SELECT s.source_batch_id, s.reporting_month, CASE WHEN u.k IS NOT NULL THEN s.source_batch_id || '_r2' END AS pipeline_run_id,
+             CASE WHEN u.month_no = 7 THEN 'FAILED' WHEN u.k IS NOT NULL THEN 'SUCCEEDED' END AS run_status,
+             CASE WHEN s.reporting_month = '1995-01' THEN 'INITIAL_SNAPSHOT' WHEN u.k IS NOT NULL THEN 'MONTHLY_CHANGE' END AS load_mode,
+             coalesce(f.n, 0) AS file_load_count, coalesce(f.failed, 0) AS failed_file_load_count,
              q.readiness_status, q.rejected_record_count, 1::BIGINT AS reconciliation_check_count,
              r.f::BIGINT AS failed_reconciliation_count, coalesce(x.rows_, 0) AS attendance_fact_rows,
              coalesce(x.l, 0) AS missing_year_level_rows, coalesce(x.b, 0) AS missing_attendance_band_rows
       FROM c_slices s JOIN c_readiness q USING (source_batch_id) JOIN r ON r.k = s.source_batch_id
-      LEFT JOIN (SELECT DISTINCT source_batch_id, 1::BIGINT AS n FROM c_attendance) f USING (source_batch_id)
+      LEFT JOIN u ON u.k = s.source_batch_id LEFT JOIN f ON f.k = s.source_batch_id
       LEFT JOIN x USING (source_batch_id))
 SELECT *, CASE WHEN failed_reconciliation_count > 0 AND rejected_record_count > 0 THEN 'EXPLAINED_BY_REJECTED_RECORDS'
                WHEN failed_reconciliation_count > 0 THEN 'CHECK_RECONCILIATION' ELSE 'PASS' END AS reconciliation_interpretation,
-       CASE WHEN file_load_count = 0 THEN 'CHECK_FILE_LOADS' WHEN readiness_status = 'NOT_READY' THEN 'NOT_READY'
+       CASE WHEN pipeline_run_id IS NULL OR run_status <> 'SUCCEEDED' THEN 'CHECK_PIPELINE_RUN'
+            WHEN load_mode <> 'MONTHLY_CHANGE' THEN 'CHECK_LOAD_MODE'
+            WHEN failed_file_load_count > 0 OR file_load_count = 0 THEN 'CHECK_FILE_LOADS' WHEN readiness_status = 'NOT_READY' THEN 'NOT_READY'
             WHEN failed_reconciliation_count > 0 AND rejected_record_count = 0 THEN 'CHECK_RECONCILIATION'
             WHEN missing_year_level_rows > 0 OR missing_attendance_band_rows > 0 THEN 'CHECK_ATTENDANCE_KEYS'
             WHEN readiness_status = 'READY_WITH_CAVEATS' THEN 'MONTH_VALIDATED_WITH_CAVEATS'
             ELSE 'MONTH_VALIDATED' END AS validation_status FROM j""")
 def month_validation(spark, folder):
-    """One row per month from run, file, readiness, reconciliation and key summaries."""
+    """One row per month from run log, file ledger, readiness, reconciliation and key summaries.
+
+    The run log is kept per month: a first run that failed and a second one that ended well, in July failed again; in
+    December nobody ran. The month of the snapshot was loaded as one.
+    """
     run = Monthly(spark, folder)
     key = ["source_batch_id"]
     attendance = run.attendance
     fact = run.fact_attendance
-    runs = run.slices.select("source_batch_id", F.lit(1).cast("bigint").alias("pipeline_run_id"),
-                             F.lit("SUCCEEDED").alias("run_status"), F.lit("MONTHLY_CHANGE").alias("load_mode"))
-    files = run.bronze["attendance"].groupBy(*key).agg(
-        F.countDistinct("source_file_name").alias("file_load_count"),
-        F.lit(0).cast("bigint").alias("failed_file_load_count"))
+    number = F.substring("reporting_month", 6, 2)
+    mode = F.when(F.col("reporting_month") == b.SNAPSHOT_MONTH, "INITIAL_SNAPSHOT").otherwise("MONTHLY_CHANGE")
+    last = F.when(number == "07", "FAILED").otherwise("SUCCEEDED")
+    log = run.slices.where(number != "12").select(*key, mode.alias("load_mode"), F.inline(F.array(*[
+        F.struct(F.lit(at).alias("logged_at"), F.concat("source_batch_id", F.lit(f"_r{no}")).alias("pipeline_run_id"),
+                 state.alias("run_status"))
+        for at, no, state in ((1, 1, F.lit("STARTED")), (2, 1, F.lit("FAILED")), (3, 2, F.lit("STARTED")), (4, 2, last))])))
+    runs = upsert.latest_run_state(log, "source_batch_id", ["logged_at"], ["pipeline_run_id", "run_status", "load_mode"])
+    rejected = run.quality.rejected
+    files = union_all([
+        reconcile.file_ledger(
+            run.bronze[name].withColumn("file", F.struct(*key, F.lit(name).alias("name"))),
+            rejected.filter(F.col("target_table") == f"bronze.{name}").select(
+                F.struct(*key, F.lit(name).alias("name")).alias("file"), "raw_row_number").distinct(), "file")
+        for name in ("attendance", "students", "assessment_results")])
+    files = files.groupBy(F.col("file.source_batch_id").alias("source_batch_id")).agg(
+        F.count(F.lit(1)).alias("file_load_count"),
+        F.count_if(F.col("load_status") == "FAILED").alias("failed_file_load_count"))
     ready = run.quality.readiness.select("source_batch_id", "readiness_status", "rejected_record_count")
     recon = reconcile.slice_counts(run.slices, key, {"attendance": (run.bronze["attendance"], attendance)}, "l")
     recon = recon.groupBy(*key).agg(
@@ -307,24 +377,36 @@ def month_validation(spark, folder):
          "missing_attendance_band_rows"])
 
 
-@register("view_row_counts", "c_fact_attendance c_month c_school c_readiness c_caveats", """
-SELECT view_name, row_count, 'OK' AS check_status FROM (
+@register("view_row_counts", "c_fact_attendance c_fact_score c_domain c_month c_school c_level c_readiness c_caveats", """
+SELECT view_name, row_count, CASE WHEN row_count = 0 AND view_name IN ('vw_monthly_attendance_summary',
+         'vw_year_level_attendance_patterns', 'vw_monthly_reporting_readiness') THEN 'CHECK' ELSE 'OK' END AS check_status FROM (
 SELECT 'vw_monthly_attendance_summary' AS view_name, (SELECT count(*) FROM (
   SELECT DISTINCT m.reporting_month, s.region, s.school_type, s.status FROM c_fact_attendance f
   JOIN c_month m ON f.month_key = m.month_key JOIN c_school s ON s.school_key = f.school_key)) AS row_count
+UNION ALL SELECT 'vw_year_level_attendance_patterns', (SELECT count(*) FROM (
+  SELECT DISTINCT m.reporting_month, s.region, s.school_type, y.year_level FROM c_fact_attendance f
+  JOIN c_month m ON f.month_key = m.month_key JOIN c_school s ON s.school_key = f.school_key
+  LEFT JOIN c_level y ON y.year_level_key = f.year_level_key))
+UNION ALL SELECT 'vw_attendance_assessment_relationship', (
+  SELECT count(*) FROM c_fact_score f JOIN c_domain USING (domain) JOIN c_school s ON s.school_key = f.school_key)
 UNION ALL SELECT 'vw_monthly_reporting_readiness', (SELECT count(*) FROM c_readiness)
 UNION ALL SELECT 'vw_data_quality_caveats', (SELECT count(*) FROM c_caveats))""")
 def view_row_counts(spark, folder):
+    """The five report views."""
     run = Monthly(spark, folder)
+    months, schools, levels = monthly.dim_month(run.slices), monthly.dim_school(run.schools), monthly.dim_year_level(run.students)
+    fact = b.materialise(run.fact_attendance)
     views = {
-        "vw_monthly_attendance_summary": monthly.view_monthly_attendance(
-            run.fact_attendance, monthly.dim_month(run.slices), monthly.dim_school(run.schools)),
+        "vw_monthly_attendance_summary": monthly.view_monthly_attendance(fact, months, schools),
+        "vw_year_level_attendance_patterns": monthly.view_year_level_patterns(fact, months, schools, levels),
+        "vw_attendance_assessment_relationship": monthly.view_relationship(run.fact_scores, schools, levels, run.domains, run.bands),
         "vw_monthly_reporting_readiness": monthly.view_readiness(run.quality.readiness),
         "vw_data_quality_caveats": monthly.view_caveats(run.quality.caveats),
     }
     for name, view in views.items():
         reconcile.require_no_identifiers(view, name)
-    return reconcile.view_row_counts(views, list(views)[:2])
+    return reconcile.view_row_counts(views, (
+        "vw_monthly_attendance_summary", "vw_year_level_attendance_patterns", "vw_monthly_reporting_readiness"))
 
 
 @register("scalar_labels", "", """
