@@ -38,15 +38,19 @@ def recon_layers(spark, folder):
 
 
 @register("recon_three_state", "", """
-SELECT coalesce(o.k, e.k) AS entity_id, o.n AS source_row_count, e.n AS target_row_count, e.n - o.n AS difference_count,
+SELECT coalesce(o.k, e.k) AS entity_id, coalesce(o.d, e.d) AS day, o.n AS source_row_count, e.n AS target_row_count,
+       e.n - o.n AS difference_count,
        CASE WHEN o.n IS NULL OR e.n IS NULL THEN 'WARNING' WHEN o.n = e.n THEN 'PASS' ELSE 'FAIL' END AS reconciliation_status
-FROM (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) o
-FULL JOIN (SELECT user_id AS k, count(*) AS n FROM events GROUP BY 1) e ON o.k = e.k""")
+FROM (SELECT o_custkey AS k, day(o_orderdate) AS d, count(*) AS n FROM orders GROUP BY ALL) o
+FULL JOIN (SELECT user_id AS k, day(ts) AS d, count(*) AS n FROM events GROUP BY ALL) e ON o.k = e.k AND o.d = e.d""")
 def recon_three_state(spark, folder):
-    """Orders and events of each customer: many occur on one side only."""
-    orders = b.table(spark, folder, "orders").select(F.col("o_custkey").cast("bigint").alias("entity_id"))
-    events = b.table(spark, folder, "events").select(F.col("user_id").cast("bigint").alias("entity_id"))
-    return reconcile.compare_counts(orders, events, ["entity_id"])
+    """Orders and events of each customer by day of the month: all three states occur."""
+    def keyed(table, entity, day):
+        return b.table(spark, folder, table).select(
+            F.col(entity).cast("bigint").alias("entity_id"), F.dayofmonth(day).cast("bigint").alias("day"))
+
+    return reconcile.compare_counts(
+        keyed("orders", "o_custkey", "o_orderdate"), keyed("events", "user_id", "ts"), ["entity_id", "day"])
 
 
 @register("recon_monthly", "c_slices c_attendance c_scores c_events c_school c_conformed_attendance c_conformed_scores c_status c_released", """
