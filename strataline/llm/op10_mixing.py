@@ -126,50 +126,82 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
         block: int | None = None, id_column: str = "doc_id", text_column: str = "text",
         source_column: str = "source") -> DataFrame:
     """One row per input row: ``doc_id``, ``source``, ``shuffle``, ``size``, ``source_size``, ``target`` (words its
-    source should give) and ``taken`` (words of the document in the mix, repeats counted).
+    source should give), ``taken`` (words of the document in the mix, repeats counted) and ``slots`` (ascending slots of
+    the first block that takes words of it, null if none does).
 
     Null, empty and blank texts have size 0 and give nothing. A null source is a source of its own, last in order.
     No block, hence no document, is taken more than ``max_repeats`` times. The result depends on ids, texts and
     sources alone, so reruns agree; rows equal in all of these are interchangeable. An empty table gives no rows;
     other columns are ignored.
     """
+    rows, pieces, slots = _joined(docs, weights, max_repeats, block, id_column, text_column, source_column)
+    uses = stored(slots.groupBy("rank", "block_no").agg(
+        F.count("*").alias("uses"), F.array_sort(F.collect_list("slot")).alias("slots")), "uses")  # max_repeats at most
+    # A document with words has its position in its source for itself.
+    taken = pieces.join(uses, ["rank", "block_no"]).groupBy("rank", "position").agg(
+        F.sum(F.col("words") * F.col("uses")).alias("taken"), F.min(F.struct("block_no", "slots")).alias("first"))
+    columns = ["doc_id", "source", "shuffle", "size", "source_size", "target"]
+    filled = rows.where("size > 0").join(stored(taken, "taken"), ["rank", "position"], "left").select(
+        *columns, F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "first.slots")
+    return filled.union(rows.where("size = 0").select(
+        *columns, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("array<long>").alias("slots")))
+
+
+def _joined(docs: DataFrame, weights: tuple[int, ...], max_repeats: int, block: int | None, id_column: str,
+            text_column: str, source_column: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with their positions, their pieces by block, and the schedule."""
     sized = stored(sizes(docs, id_column, text_column, source_column), "sizes")
     shares = stored(targets(sized, weights, max_repeats), "shares")
     block = block or block_size(shares.agg(F.sum("source_size")).first()[0] or 0)
-    uses = stored(schedule(shares, block, max_repeats).groupBy("rank", "block_no").agg(F.count("*").alias("uses")), "uses")
     rows = stored(placed(sized, shares), "placed")
+    start = F.greatest(F.col("position"), F.col("block_no") * block)
     pieces = rows.where("size > 0").select(
-        "rank", "position", "size",
+        "doc_id", "source", "rank", "position", "size",
         F.explode(F.sequence(F.floor(F.col("position") / block),
                              F.floor((F.col("position") + F.col("size") - 1) / block))).alias("block_no"),
-    ).select("rank", "position", "block_no", (
-        F.least(F.col("position") + F.col("size"), (F.col("block_no") + 1) * block)
-        - F.greatest(F.col("position"), F.col("block_no") * block)).alias("words"))
-    # A document with words has its position in its source for itself.
-    taken = pieces.join(uses, ["rank", "block_no"]).groupBy("rank", "position").agg(
-        F.sum(F.col("words") * F.col("uses")).alias("taken"))
-    columns = ["doc_id", "source", "shuffle", "size", "source_size", "target"]
-    filled = rows.where("size > 0").join(stored(taken, "taken"), ["rank", "position"], "left").select(
-        *columns, F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
-    return filled.union(rows.where("size = 0").select(*columns, F.lit(0).cast("long").alias("taken")))
+    ).select("doc_id", "source", "rank", "position", "block_no", (start - F.col("position")).alias("begin"), (
+        F.least(F.col("position") + F.col("size"), (F.col("block_no") + 1) * block) - start).alias("words"))
+    return rows, pieces, schedule(shares, block, max_repeats)
+
+
+def mixed_blocks(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS,
+                 block: int | None = None, id_column: str = "doc_id", text_column: str = "text",
+                 source_column: str = "source") -> DataFrame:
+    """The mix as its blocks: one row per slot of the schedule and document piece in the block it takes, with ``slot``,
+    ``source``, ``doc_id``, ``begin`` (the piece's first word in the document) and ``words``. By slot and position this is
+    the mix in the order of the schedule. Rows, nulls and repeats as in ``mix``."""
+    _, pieces, slots = _joined(docs, weights, max_repeats, block, id_column, text_column, source_column)
+    return slots.select("slot", "rank", "block_no").join(pieces, ["rank", "block_no"]).select(
+        "slot", "source", "doc_id", "position", "begin", "words")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS,
                     id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
     """The mix itself, in the columns of ``docs``: a document comes once for each whole time its words are taken, and
-    once more with the first words that are taken beyond that, joined by a space. What is not taken goes."""
+    once more with the first words that are taken beyond that, joined by a space. What is not taken goes.
+
+    Rows come in the order of the schedule: copy k of a document stands at the slot of the k-th use of its first block;
+    partitions hold consecutive stretches of slots, each sorted.
+    """
     words = mix(docs, weights, max_repeats, None, id_column, text_column, source_column)
-    plan = words.groupBy("doc_id", "shuffle").agg(
-        F.sum("taken").alias("_taken"), F.min("size").alias("_size"), F.count("*").alias("_rows")).where("_taken > 0")
-    keyed = docs.withColumn("_key", F.xxhash64(f"`{id_column}`", F.lit("/"), f"`{text_column}`"))
-    joined = keyed.join(plan, F.col(f"`{id_column}`").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("shuffle"))
-                        ) if id_column != "doc_id" else keyed.join(
-        plan.withColumnRenamed("doc_id", "_doc"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("shuffle"))
-    ).drop("_doc")
+    plan = stored(words.groupBy("doc_id", "shuffle").agg(
+        F.sum("taken").alias("taken"), F.min("size").alias("size"), F.count("*").alias("rows"),
+        F.min("slots").alias("slots")).where("taken > 0"), "plan")
+    # The columns of docs bear neutral names inside, so none can clash with those of the plan.
+    inside = [f"_c{i}" for i in range(len(docs.columns))]
+    identity, body = (inside[docs.columns.index(c)] for c in (id_column, text_column))
+    keyed = docs.toDF(*inside).withColumn("key", F.xxhash64(identity, F.lit("/"), body))
+    joined = keyed.join(plan, F.col(identity).eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("shuffle")))
     # Rows equal in id and text share a plan, so one of them stands for all.
-    once = joined.where("_rows = 1").unionByName(joined.where("_rows > 1").dropDuplicates([id_column, "_key"]))
-    whole, rest = F.floor(F.col("_taken") / F.col("_size")), F.col("_taken") % F.col("_size")
-    copies = once.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), whole)))
-    first_words = F.array_join(F.slice(F.regexp_extract_all(f"`{text_column}`", F.lit(f"({WORD})"), 1), 1, rest.cast("int")), " ")
-    return copies.where((F.col("_copy") < whole) | (rest > 0)).withColumn(
-        text_column, F.when(F.col("_copy") < whole, F.col(f"`{text_column}`")).otherwise(first_words)).select(docs.columns)
+    once = joined.where("rows = 1").unionByName(joined.where("rows > 1").dropDuplicates([identity, "key"]))
+    whole, rest = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
+    copies = once.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), whole)))
+    first_words = F.array_join(F.slice(F.regexp_extract_all(body, F.lit(f"({WORD})"), 1), 1, rest.cast("int")), " ")
+    placed_at = F.element_at("slots", F.least(F.col("copy") + 1, F.size("slots")).cast("int"))
+    taken = copies.where((F.col("copy") < whole) | (rest > 0)).withColumn(
+        body, F.when(F.col("copy") < whole, F.col(body)).otherwise(first_words)).select(*inside, placed_at.alias("slot"))
+    # Slots are spread evenly, so equal stretches of them are even partitions; no sample of the rows is needed.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = (plan.agg(F.max(F.array_max("slots"))).first()[0] or 0) + 1
+    stretch = F.floor(F.col("slot") * parts / most).cast("int")
+    return taken.repartitionById(parts, stretch).sortWithinPartitions("slot").select(*inside).toDF(*docs.columns)

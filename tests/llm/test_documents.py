@@ -194,6 +194,57 @@ def test_mix_meets_targets_and_reruns_agree(docs):
     assert sum(len(WORD.findall(r.text)) for r in mixed.collect()) == sum(taken.values())
 
 
+def test_mix_equals_a_plain_replay_of_its_schedule(spark, docs):
+    """Targets by hand, and every document's words from the blocks in slot order; prefixes keep the weights."""
+    rows = op10_mixing.mix(docs).collect()
+    total = sum(r.size for r in rows)
+    sizes = Counter()
+    for r in rows:
+        sizes[r.source] += r.size
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight, target, left, open_ = {s: i % 3 + 1 for i, s in enumerate(order)}, {}, total, set(order)
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if level * weight[s] > 3 * sizes[s]}
+        if not full:
+            target |= {s: level * weight[s] for s in open_}
+            break
+        for s in full:
+            target[s], left = 3 * sizes[s], left - 3 * sizes[s]
+        open_ -= full
+    assert all(r.target == pytest.approx(target[r.source]) for r in rows)
+    blocks = sorted(map(tuple, op10_mixing.mixed_blocks(docs).collect()), key=str)
+    assert blocks == sorted(map(tuple, op10_mixing.mixed_blocks(docs.repartition(7)).collect()), key=str)
+    replay, by_slot = Counter(), defaultdict(list)
+    for slot, source, doc, position, begin, words in blocks:
+        replay[source, doc, position] += words
+        by_slot[slot].append((source, position, begin, words))
+    assert Counter((s, d, n) for (s, d, _), n in replay.items()) == Counter((r.source, r.doc_id, r.taken) for r in rows if r.taken)
+    so_far, done = Counter(), 0
+    for no, slot in enumerate(sorted(by_slot)):
+        sources = {s for s, *_ in by_slot[slot]}
+        assert len(sources) == 1 and sum(w for *_, w in by_slot[slot]) <= op10_mixing.LEAST_BLOCK
+        so_far[sources.pop()] += sum(w for *_, w in by_slot[slot])
+        done += sum(w for *_, w in by_slot[slot])
+        if no > len(by_slot) // 3:  # by then every source has about its share
+            assert all(abs(so_far[s] / done - target[s] / total) < 0.15 for s in order)
+
+
+def test_mixed_documents_come_in_schedule_order(spark):
+    rows = [(i, f"{chr(97 + i % 3)}{i} " * 40, f"s{i % 3}") for i in range(90)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    slots = {r.doc_id: r.slots for r in op10_mixing.mix(frame).collect()}
+    got = op10_mixing.mixed_documents(frame).withColumn("part", F.spark_partition_id()).collect()
+    place = [[r.doc_id for r in got if r.part == part] for part in sorted({r.part for r in got})]
+    seen, order = Counter(), []
+    for d in (d for docs_ in place for d in docs_):
+        order.append(slots[d][min(seen[d], len(slots[d]) - 1)])  # its copies stand at the uses of its first block
+        seen[d] += 1
+    assert order == sorted(order) and max(seen.values()) <= 3 and len(place) > 1
+    mixed = [d % 3 for docs_ in place for d in docs_]
+    assert all(len(set(mixed[k:k + 12])) > 1 for k in range(0, len(mixed) - 12))  # sources alternate
+
+
 def test_language_forward_pass_sums_all_segmentations(spark):
     rows = [(i, t, l) for i, (t, l) in enumerate([("the house and the tree of it", "en"), ("das haus und der baum ist da", "de")] * 30)]
     edge = [(900, None, None), (901, "", "en"), (902, "12 !!", "de"), (903, "haus " * 20_000, None), (None, "the tree", None)]
