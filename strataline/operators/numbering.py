@@ -33,8 +33,9 @@ def _number_in_buckets(rows: DataFrame, bucket: str, order: Sequence[str], name:
     )
 
 
-def extend_surrogates(key_map: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
-    """Keep every number of ``key_map`` and number the keys it lacks above its maximum.
+def extend_surrogates(key_map: DataFrame, keys: DataFrame, key: str, name: str, above: int | None = None) -> DataFrame:
+    """Keep every number of ``key_map`` and number the keys it lacks above its maximum, or above a number that is known
+    to be the highest given, where the map holds a part of the keys only.
 
     New keys are ordered by (hash prefix, key): deterministic, spread evenly
     whatever the keys look like, and independent of the partitioning.
@@ -44,12 +45,13 @@ def extend_surrogates(key_map: DataFrame, keys: DataFrame, key: str, name: str)
         .join(key_map.select(key), key, "left_anti")
         .withColumn("_bucket", F.substring(F.sha2(F.col(key).cast("string"), 256), 1, HASH_DIGITS))
     )
-    highest = key_map.agg(F.coalesce(F.max(name), F.lit(0)).cast("bigint").alias("_highest"))
-    numbered = (
-        _number_in_buckets(fresh, "_bucket", [key], "_offset")
-        .crossJoin(highest)  # one row
-        .select(key, (F.col("_highest") + F.col("_offset")).alias(name))
-    )
+    offset = _number_in_buckets(fresh, "_bucket", [key], "_offset")
+    if above is None:
+        highest = key_map.agg(F.coalesce(F.max(name), F.lit(0)).cast("bigint").alias("_highest"))
+        offset = offset.crossJoin(highest)  # one row
+    else:
+        offset = offset.withColumn("_highest", F.lit(above).cast("bigint"))
+    numbered = offset.select(key, (F.col("_highest") + F.col("_offset")).alias(name))
     return key_map.select(key, F.col(name).cast("bigint").alias(name)).unionByName(numbered)
 
 

@@ -367,12 +367,12 @@ def _as_state(rows: DataFrame) -> DataFrame:
     })
 
 
-def _merge_state(state: DataFrame, rows: DataFrame, key: str, surrogate: str) -> DataFrame:
+def merge_state(state: DataFrame, rows: DataFrame, key: str, surrogate: str, above: int | None = None) -> DataFrame:
     """Give new keys a number and update only what changed or moved month. A month
-    older than the one a key was last seen in leaves its row as it is. The conformed
-    rows feed the numbering and the merge, so they are computed once."""
-    rows = materialise(rows)
-    numbers = extend_surrogates(state.select(key, surrogate), rows.select(key), key, surrogate)
+    older than the one a key was last seen in leaves its row as it is. ``state`` may be
+    the part of the state that can hold the rows' keys; ``above`` then is the highest
+    number of the whole. ``rows`` feed the numbering and the merge: store them before."""
+    numbers = extend_surrogates(state.select(key, surrogate), rows.select(key), key, surrogate, above)
     newer = state.select(key, "last_seen_reporting_month")
     source = _as_state(rows).join(numbers, key).select(*state.columns)
     source = source.join(newer.withColumnRenamed("last_seen_reporting_month", "_seen"), key, "left").filter(
@@ -382,15 +382,19 @@ def _merge_state(state: DataFrame, rows: DataFrame, key: str, surrogate: str) ->
 
 
 def merge_schools(state: DataFrame, bronze_slice: DataFrame) -> DataFrame:
-    return _merge_state(state, conformed_schools(bronze_slice), "school_id", "school_key")
+    return merge_state(state, materialise(conformed_schools(bronze_slice)), "school_id", "school_key")
 
 
-def merge_students(state: DataFrame, bronze_slice: DataFrame, rejected: DataFrame,
-                   schools: DataFrame) -> DataFrame:
+def students_with_school(bronze_slice: DataFrame, rejected: DataFrame, schools: DataFrame) -> DataFrame:
     school = schools.select(F.col("school_id").alias("current_school_id"),
                             F.col("school_key").alias("current_school_key"))
-    rows = conformed_students(bronze_slice, rejected).join(school, "current_school_id", "left")
-    return _merge_state(state, rows, "student_id", "student_key")
+    return conformed_students(bronze_slice, rejected).join(school, "current_school_id", "left")
+
+
+def merge_students(state: DataFrame, bronze_slice: DataFrame, rejected: DataFrame,
+                   schools: DataFrame) -> DataFrame:
+    rows = materialise(students_with_school(bronze_slice, rejected, schools))
+    return merge_state(state, rows, "student_id", "student_key")
 
 
 def students_at(month: str, bronze: DataFrame, rejected: DataFrame, students: DataFrame,

@@ -6,10 +6,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.rows import latest_per_key
 from ..operators.upsert import upsert
+from ..session import materialise
+from ..sources.published import BucketedState
 from ..sources.readers import read_csv_text
 from ..sources.writers import read_current, write_version
 
@@ -48,3 +50,17 @@ def upsert_into(path: str, keys: Sequence[str], order: Sequence[Column], schema:
         write_version(upsert(read_current(batch.sparkSession, path, schema), source, keys), path)
 
     return handle
+
+
+def publish_into(path: str, stream: str, key: str, order: Sequence[str], schema: str, buckets: int = 64,
+                 shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+    """A micro-batch function: the latest row per key goes into a bucketed state. The batch's number is committed in the
+    same step as its rows, so a batch that is run again, whatever it holds then, is not taken twice, and only the buckets
+    of its keys are rewritten."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        state = BucketedState(batch.sparkSession, path, key, buckets)
+        if state.manifest().batches.get(stream, -1) < batch_id:
+            source = materialise(shape(latest_per_key(batch, [key], [F.desc(c) for c in order])))
+            state.change(source, lambda held, _: upsert(held, source, [key]), schema, batch=(stream, batch_id))
+
+    return handle

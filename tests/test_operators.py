@@ -234,3 +234,31 @@ def test_one_pass_quarantine_equals_the_join(spark, rows):
     joined = assured.trusted(att, failed, "silver.attendance", assured.ATTENDANCE_QUARANTINE)
     passed = assured.trusted_in_one_pass(marked, rules, "silver.attendance", assured.ATTENDANCE_QUARANTINE)
     assert rows(joined, "attendance_id") == rows(passed, "attendance_id") == [("A3",)]
+
+
+def test_screened_rules_equal_direct_passes(spark, rows):
+    """Results and records from the stored rule bits against a pass over the marks for each."""
+    from strataline.operators import quality
+
+    rules = [
+        quality.Rule("R1", "first", "silver.t", "High", lambda: F.col("v") > 1, "k", "v is large"),
+        quality.Rule("R2", "second", "silver.t", "Low", lambda: F.col("w").isNull(), "k", "w is missing"),
+        quality.Rule("R3", "counts only", "silver.t", "Low", lambda: F.col("v") == 0, "k", "zero", rejects=False),
+        quality.Rule("R4", "volume", "silver.t", "High", None, volume=lambda n: n < 3),
+    ]
+    df = spark.createDataFrame([("b1", "a", 2, None, 9), ("b1", "b", 0, "x", 9), ("b1", "c", None, "x", 9), ("b2", "d", 5, "x", 9)],
+                               "batch_id string, k string, v int, w string, _extra int")
+    stored = []
+
+    def store(frame):
+        stored.append(frame.count())
+        return frame
+
+    screened = quality.screen("silver.t", df, rules, ["batch_id"], ["v", "w"], store, df.select("batch_id"))
+    slices = spark.createDataFrame([("b1",), ("b2",), ("b3",)], "batch_id string")
+    want = quality.slice_failures(slices, df, rules, ["batch_id"])
+    assert rows(quality.screened_counts(screened, ["batch_id"], slices)) == rows(want)
+    direct = quality.failed_records(df, quality.rules_of(rules, "silver.t"), ["batch_id"], [], ["k", "v", "w"])
+    got = quality.screened_records(screened, ["batch_id"], [], ["k", "v", "w"])
+    assert rows(got, *direct.columns) == rows(direct) and got.count() == 3
+    assert stored == [3]
