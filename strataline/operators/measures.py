@@ -19,6 +19,15 @@ def summed_days(df: DataFrame, by: Sequence[str], *extra: Column,
                                F.sum(attended).alias("attended_days"), *extra)
 
 
+def distinct_numbers(df: DataFrame, by: Sequence[str], key: str, name: str) -> DataFrame:
+    """Exact distinct count of an integer key per group from bitmaps of 32,768 keys each: combined before the shuffle, and
+    mergeable, since the bitmaps of two periods or partitions can be joined by OR. For coarse groups, where a bitmap
+    holds many keys."""
+    bits = df.groupBy(*by, F.bitmap_bucket_number(key).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("_bits"))
+    return bits.groupBy(*by).agg(F.sum(F.bitmap_count("_bits")).alias(name))
+
+
 def attendance_rate(df: DataFrame, by: Sequence[str], *extra: Column) -> DataFrame:
     """Ratio of sums, rounded to four digits."""
     return summed_days(df, by, *extra).withColumn(

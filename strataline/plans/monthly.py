@@ -20,7 +20,7 @@ from ..functions.text import blank_to_null, is_blank, or_default, to_day_any, to
 from ..operators.dimensions import month_dimension
 from ..operators.history import replay_state
 from ..operators.matching import exclude, latest_lookup, mark_known, mark_present
-from ..operators.measures import summed_days
+from ..operators.measures import distinct_numbers, summed_days
 from ..operators.numbering import extend_surrogates
 from ..operators.quality import (Rule, Screened, caveats, describe, failed_records, pass_or_fail, readiness,
                                  rules_of, screen, screened_counts, screened_records, slice_failures, union_all)
@@ -575,6 +575,53 @@ def view_year_level_patterns(fact: DataFrame, months: DataFrame, schools: DataFr
     )
 
 
+# ---------------------------------------------------------------- summaries
+
+def student_months(fact: DataFrame) -> DataFrame:
+    """Attendance facts per month, school, year level and student. Store it: the summaries read nothing else."""
+    return summed_days(fact, ["month_key", "school_key", "year_level_key", "student_key"],
+                       F.sum("absent_days").alias("absent_days"), F.count(F.lit(1)).alias("attendance_record_count"))
+
+
+def summary_monthly_attendance(base: DataFrame) -> DataFrame:
+    """Month, school and year level."""
+    sums = summed_days(base, ["month_key", "school_key", "year_level_key"], F.sum("absent_days").alias("absent_days"),
+                       F.sum("attendance_record_count").alias("attendance_record_count"),
+                       F.count(F.lit(1)).alias("student_count"))
+    return sums.withColumn("attendance_rate", ratio_decimal("attended_days", "possible_days"))
+
+
+def summary_year_level_pattern(base: DataFrame, monthly: DataFrame) -> DataFrame:
+    """Month and year level: sums merged from the finer summary, students (who may change school within a month) counted
+    by bitmaps."""
+    by = ["month_key", "year_level_key"]
+    sums = summed_days(monthly, by, F.sum("absent_days").alias("absent_days"),
+                       F.sum("attendance_record_count").alias("attendance_record_count"),
+                       F.count(F.lit(1)).alias("school_count"))
+    students = distinct_numbers(base, by, "student_key", "student_count")
+    on = sums["month_key"].eqNullSafe(students["month_key"]) & sums["year_level_key"].eqNullSafe(students["year_level_key"])
+    return sums.join(students, on).select(sums["*"], "student_count").withColumn(
+        "attendance_rate", ratio_decimal("attended_days", "possible_days"))
+
+
+def summary_attendance_assessment(fact: DataFrame, domains: DataFrame, bands: DataFrame) -> DataFrame:
+    """Attendance band, year level and domain: results, students and scores."""
+    by = ["attendance_band_key", "year_level_key", "assessment_domain_key"]
+    sums = fact.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("result_count"), F.sum("score").alias("_sum"), F.min("score").alias("lowest_score"),
+        F.max("score").alias("highest_score"))
+    students = distinct_numbers(fact, by, "student_key", "student_count").withColumnsRenamed({c: f"_{c}" for c in by})
+    on = [sums[c].eqNullSafe(students[f"_{c}"]) for c in by]
+    return (
+        sums.join(students, on)
+        .join(domains.select("assessment_domain_key", "domain"), "assessment_domain_key")
+        .join(bands.select("attendance_band_key", "attendance_band"), "attendance_band_key", "left")
+        .select("attendance_band", "year_level_key", "domain", "result_count", "student_count",
+                F.round(F.col("_sum").cast("double") / F.col("result_count"), 4).alias("average_score"),
+                "lowest_score", "highest_score")
+    )
+
+
 def view_relationship(fact: DataFrame, schools: DataFrame, levels: DataFrame, domains: DataFrame,
                       bands: DataFrame) -> DataFrame:
     """Scores with attendance bands, row by row and without person identifiers."""

@@ -492,6 +492,36 @@ def relationship(spark, folder):
                                      monthly.dim_year_level(run.students), run.domains, run.bands)
 
 
+_SUMMARY = """attendance_record_count, CAST(sum(possible_days) AS BIGINT) AS possible_days,
+       CAST(sum(attended_days) AS BIGINT) AS attended_days, CAST(sum(absent_days) AS BIGINT) AS absent_days,
+       CAST(sum(attended_days)::DOUBLE / NULLIF(sum(possible_days), 0) AS DECIMAL(6,4)) AS attendance_rate"""
+
+
+@register("summary_monthly_attendance", "c_fact_attendance", f"""
+SELECT month_key, school_key, year_level_key, count(DISTINCT student_key) AS student_count, count(*) AS {_SUMMARY}
+FROM c_fact_attendance GROUP BY 1, 2, 3""")
+def summary_monthly_attendance(spark, folder):
+    return monthly.summary_monthly_attendance(monthly.student_months(Monthly(spark, folder).fact_attendance))
+
+
+@register("summary_year_level_pattern", "c_fact_attendance", f"""
+SELECT month_key, year_level_key, count(DISTINCT student_key) AS student_count, count(DISTINCT school_key) AS school_count,
+       count(*) AS {_SUMMARY} FROM c_fact_attendance GROUP BY 1, 2""")
+def summary_year_level_pattern(spark, folder):
+    base = b.materialise(monthly.student_months(Monthly(spark, folder).fact_attendance))
+    return monthly.summary_year_level_pattern(base, monthly.summary_monthly_attendance(base))
+
+
+@register("summary_attendance_assessment", "c_fact_score c_domain", """
+SELECT f.attendance_band, f.year_level_key, f.domain, count(*) AS result_count,
+       count(DISTINCT f.student_key) AS student_count, round(CAST(sum(f.score) AS DOUBLE) / count(*), 4) AS average_score,
+       min(f.score) AS lowest_score, max(f.score) AS highest_score
+FROM c_fact_score f JOIN c_domain d ON d.domain = f.domain GROUP BY 1, 2, 3""")
+def summary_attendance_assessment(spark, folder):
+    run = Monthly(spark, folder)
+    return monthly.summary_attendance_assessment(b.materialise(run.fact_scores), run.domains, run.bands)
+
+
 @register("readiness_view", "c_readiness", """
 SELECT reporting_month, source_batch_id, readiness_status, blocker_count, warning_count, rejected_record_count,
        readiness_summary FROM c_readiness""")
