@@ -12,6 +12,7 @@ from __future__ import annotations
 import html as html_entities
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Mapping
 
@@ -34,18 +35,26 @@ BLOCK = frozenset("address article aside blockquote body br caption center dd de
                   "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p "
                   "pre search section summary table tbody td tfoot th thead title tr ul".split())
 CLOSES_P = BLOCK - {"br", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dt", "dd", "option", "head", "title", "html", "body"}
-# Words of class, id and role attributes that mark chrome, and words that may stand beside them in one name. Any other
-# word (no-sidebar, has-header, comments-open) makes the name say something about a page or a post.
+# Words of class, id and role attributes. A name marks chrome if it consists of words of these lists only (no-sidebar and
+# has-header say something about a page or a post), or if it has a word of CHROME_PARTS and none that tells a state.
 CHROME_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promotions comment "
     "comments commentlist disqus respond reply replies sidebar side rail widget widgets nav navbar navigation menu menubar "
     "breadcrumb breadcrumbs header masthead footer foot cookie cookies consent gdpr notice notices notification alert popup modal "
     "overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "pagination pager toolbar complementary contentinfo search form".split())
-
+COMMENT_NAMES = frozenset("comment comments commentlist disqus respond reply replies".split())
+CHROME_PARTS = COMMENT_NAMES | frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo sidebar widget widgets nav navbar "
+    "navigation menu menubar breadcrumb breadcrumbs footer cookie cookies consent gdpr popup newsletter subscribe share sharing "
+    "social related recommended recommendations pagination pager toolbar".split())
+STATES = frozenset(
+    "no not has have is with without open opened closed enabled disabled active inactive on off free hide hidden show shows "
+    "allow allows supports ready count counter".split())
 STRUCTURE = frozenset(
-    "area bar block body bottom box col column container content foot frame global inner item items left list main outer page "
-    "panel post primary right row secondary section site slot text title top unit wrap wrapper x".split())
+    "area bar block body bottom box button buttons col column container content foot frame global icon icons inner item items left "
+    "link links list main outer page panel post posts primary right row secondary section site slot text thread title top unit "
+    "wrap wrapper x article articles story stories".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -54,33 +63,56 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)", re.S)
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
 _ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _NAME_PART = re.compile(r"[a-z]+")
-_MAY_BE_NAMED = re.compile(r"\b(?:class|id|role)\s*=", re.I)
+_MAY_HIDE = re.compile(r"\b(?:class|id|role)\s*=|<(?:" + "|".join(sorted(CHROME)) + r")\b", re.I)
+
 
+def _has_chrome_part(parts: set[str], wanted: frozenset[str]) -> bool:
+    """Whether one of the parts is a wanted word, or one written together with a word of structure or another of chrome."""
+    return bool(parts & wanted) or any(
+        part[:k] in wanted and (part[k:] in STRUCTURE or part[k:] in CHROME_NAMES)
+        or part[k:] in wanted and (part[:k] in STRUCTURE or part[:k] in CHROME_NAMES)
+        for part in parts for k in range(2, min(len(part), 24) - 1))
 
-def _is_named_chrome(name: str, rest: str) -> bool:
-    """Whether a whole name among an element's attributes marks chrome."""
+
+def _named(name: str, rest: str) -> str:
+    """``chrome`` or ``comments`` if a name among an element's attributes says so, else an empty text."""
     if not rest or name in ("html", "body") or name in CONTENT:
-        return False
+        return ""
+    found = ""
     for values in _ATTRIBUTE.findall(rest):
-        for whole in "".join(values).lower().split():
-            parts = set(_NAME_PART.findall(whole))
-            if parts & CHROME_NAMES and parts <= CHROME_NAMES | STRUCTURE:
-                return True
-    return False
+        for whole in "".join(values).split():
+            parts = set(_NAME_PART.findall(_CAMEL.sub("-", whole).lower()))
+            only_known = bool(parts & CHROME_NAMES) and parts <= CHROME_NAMES | STRUCTURE - {"article", "articles", "story", "stories"}
+            if only_known or not parts & STATES and _has_chrome_part(parts, CHROME_PARTS):
+                if _has_chrome_part(parts, COMMENT_NAMES):
+                    return "comments"
+                found = "chrome"
+    return found
 
 
 def _spared(page: str) -> frozenset[int]:
-    """Begins of elements named as chrome that hold what the page is about: its largest content element or, where it
-    has none, over half of its shown words."""
-    if not _MAY_BE_NAMED.search(page):
+    """Begins of elements of chrome, by tag or by name, that hold what the page is about: its largest content element
+    outside comments or, where it has none, over half of its shown words (comments never do)."""
+    if not _MAY_HIDE.search(page):
         return frozenset()
     spans: list[tuple[str, int, int, int]] = []
     total = sum(len(value.split()) for kind, value, _ in _walk(page, None, spans) if kind.startswith("word:"))
-    content = max((span for span in spans if span[0] in CONTENT), key=lambda span: span[3], default=None)
+    remarks, latest = [], -1  # begins and ends of outermost comments, in page order
+    for name, begin, end, _ in sorted(spans, key=lambda span: span[1]):
+        if name == "comments" and begin > latest:
+            remarks.append((begin, end))
+            latest = end
+
+    def remark(begin: int) -> bool:
+        at = bisect_right(remarks, (begin, math.inf)) - 1
+        return at >= 0 and begin < remarks[at][1]
+
+    content = max((span for span in spans if span[0] in CONTENT and not remark(span[1])), key=lambda span: span[3], default=None)
     return frozenset(
         begin for name, begin, end, words in spans if name not in CONTENT and
-        (begin < content[1] and content[2] <= end if content else 2 * words > total))
+        (begin < content[1] and content[2] <= end if content else name != "comments" and 2 * words > total))
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
@@ -92,13 +124,17 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
 
 def _walk(page: str, spared: frozenset[int] | None, spans: list[tuple[str, int, int, int]] | None = None,
           ) -> Iterator[tuple[str, str, bool]]:
-    """The tokens, elements that begin at ``spared`` not hidden by name (None: no element is); ``spans`` gets name,
-    begin, end and words of content elements and of elements named as chrome."""
-    stack: list[tuple[str, bool, bool]] = []  # name, hides its text, is or is inside content
+    """The tokens; elements that begin at ``spared`` are not hidden as chrome (None: no element is). ``spans`` gets name,
+    begin, end and words of content elements and, as ``chrome`` or ``comments``, of elements of chrome. What a token needs
+    to know of the open elements stands on the innermost one, so deep pages take no longer."""
+    stack: list[tuple[str, bool, bool, str, bool]] = []  # name, hides its text, in content, block, in a link
+    depth_of: Counter[str] = Counter()  # open elements by name
     opened: list[tuple[int, str, int, int]] = []  # depth, name, begin and words before, of elements for spans
     at, end, words = 0, len(page), 0
 
     def close(depth: int, here: int) -> None:
+        for name, *_ in stack[depth:]:
+            depth_of[name] -= 1
         del stack[depth:]
         while opened and opened[-1][0] >= depth:
             _, name, begin, before = opened.pop()
@@ -107,15 +143,13 @@ def _walk(page: str, spared: frozenset[int] | None, spans: list[tuple[str, int,
     while at < end:
         match = _TOKEN.match(page, at)
         begin, at = at, match.end()
-        inside = stack[-1][2] if stack else False
+        _, hides, inside, block, link = stack[-1] if stack else ("", False, False, "none", False)
         text = match["text"]
         if text is not None:
-            if stack and stack[-1][1]:
+            if hides:
                 continue
-            names = [name for name, _, _ in stack]
-            block = next((n for n in reversed(names) if n in BLOCK), "none")
             words += len(text.split()) if spans is not None else 0
-            yield ("word:link" if "a" in names else f"word:{block}"), html_entities.unescape(text), inside
+            yield ("word:link" if link else f"word:{block}"), html_entities.unescape(text), inside
             continue
         name = (match["name"] or (match["lname"] or "").lstrip("/")).lower()
         if not name:
@@ -123,16 +157,16 @@ def _walk(page: str, spared: frozenset[int] | None, spans: list[tuple[str, int,
         rest = match["rest"] if match["name"] else match["lrest"]
         closing = bool(match["close"]) or bool(match["lname"] and match["lname"].startswith("/"))
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is None:
+            if not depth_of[name]:
                 continue
+            depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name)
             hidden = stack[depth][1]
             label = "tag:chrome" if hidden and depth and not stack[depth - 1][1] else f"tag:{name}"
             close(depth, at)
             if not hidden or not (stack and stack[-1][1]):
                 yield label, name, inside
             continue
-        if name in CLOSES_P:
+        if name in CLOSES_P and depth_of["p"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
                     close(i, begin)
@@ -141,16 +175,18 @@ def _walk(page: str, spared: frozenset[int] | None, spans: list[tuple[str, int,
                     break
         elif name in ("li", "dt", "dd", "tr", "td", "th", "option"):
             same = ("dt", "dd") if name in ("dt", "dd") else ("td", "th") if name in ("td", "th") else (name,)
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if any(depth_of[n] for n in same) else ():
                 if stack[i][0] in same:
                     close(i, begin)
                     break
                 if stack[i][0] in ("ul", "ol", "dl", "table", "select", "tr" if name in ("td", "th") else "table"):
                     break
-        hides = stack[-1][1] if stack else False
-        named = _is_named_chrome(name, rest)
-        chrome = name in CHROME or named and spared is not None and begin not in spared
-        within = (stack[-1][2] if stack else False) or name in CONTENT
+        _, hides, inside, block, link = stack[-1] if stack else ("", False, False, "none", False)
+        named = _named(name, rest)
+        # An article's own header is its title; elsewhere it is the page's.
+        by_tag = name in CHROME and not (name == "header" and inside)
+        chrome = bool(by_tag or named) and spared is not None and begin not in spared
+        within = inside or name in CONTENT
         if not hides:
             yield ("tag:chrome" if chrome else f"tag:{name}"), name, within
         if name in VOID or rest.rstrip().endswith("/") and name not in BLOCK:
@@ -159,9 +195,10 @@ def _walk(page: str, spared: frozenset[int] | None, spans: list[tuple[str, int,
             closed = _RAW_END[name].search(page, at)
             at = closed.end() if closed else end
             continue
-        if spans is not None and not hides and (named or name in CONTENT):
-            opened.append((len(stack), name, begin, words))
-        stack.append((name, hides or chrome or name in UNSHOWN, within and not chrome))
+        if spans is not None and not hides and (named or by_tag or name in CONTENT):
+            opened.append((len(stack), name if name in CONTENT else named or "chrome", begin, words))
+        stack.append((name, hides or chrome or name in UNSHOWN, within and not chrome, name if name in BLOCK else block, link or name == "a"))
+        depth_of[name] += 1
     close(0, end)
 
 

@@ -93,6 +93,66 @@ def test_wrappers_named_like_chrome_keep_the_page(opening):
         assert op7_content.extract(page, op7_content.DEFAULT) == f"Top {words.strip()}"
 
 
+WORDS = "some words that make a longer paragraph of text "
+BODY = f"<p>{WORDS * 3}</p><p>{WORDS * 3}</p>"
+CLEAN = " ".join([(WORDS * 3).strip()] * 2)
+CHROME = ["reader-comments", "user-comments", "article-comments", "comment-thread", "related-posts", "related-articles",
+          "share-buttons", "social-links", "nav-links", "cookiebanner", "google-ads", "readerComments", "site-footer", "post-sidebar",
+          "newsletter-signup", "breadcrumb-trail"]
+
+
+def _extracted(page):
+    return op7_content.extract(page, op7_content.DEFAULT)
+
+
+@pytest.mark.parametrize("inside", [True, False])
+@pytest.mark.parametrize("name", CHROME)
+def test_named_chrome_goes_inside_and_outside_the_article(name, inside):
+    part = f"<div class='{name}'><p>Nice post indeed, thank you</p><p>Read this as well</p></div>"
+    article = f"<article>{BODY}{part if inside else ''}</article>{'' if inside else part}"
+    assert _extracted(f"<body><div id=wrap>{article}</div></body>") == CLEAN
+    # The same without an element that labels the content.
+    assert _extracted(f"<body><div id=wrap>{BODY}</div>{part}</body>") == CLEAN
+
+
+PAGES = {
+    "form round the page": f"<body><form id=aspnetForm method=post><div>{BODY}</div></form></body>",
+    "form round an article": f"<body><form method=post><nav><a href=x>Home</a></nav><article>{BODY}</article></form></body>",
+    "form inside an article": f"<body><article>{BODY}<form><p>Your name please</p></form></article></body>",
+    "aside and footer inside": f"<article>{BODY}<aside><p>More on this</p></aside><footer><p>Filed under x</p></footer></article>",
+    "footer that holds all": f"<body><footer><div>{BODY}</div></footer></body>",
+    "section of comments longer than the text": f"<body><article>{BODY}</article><section class=comments>{BODY * 3}</section></body>",
+    "comments as articles": f"<body><article>{BODY}</article><div class=comments><article>{BODY * 2}</article></div></body>",
+    "state of a post": f"<body><div class='post comments-open share-enabled'>{BODY}</div></body>",
+    "page without a sidebar": f"<body class=no-sidebar><div class=no-sidebar>{BODY}</div></body>",
+    "menu role": f"<body><div role=navigation><p>Home and about</p></div><main>{BODY}</main></body>",
+    "script with markup": f"<article><script>document.write('<p>no</p>')</script>{BODY}</article>",
+    "unclosed elements": f"<body><div><article>{BODY}<div class=related-posts><p>Other things",
+}
+
+
+@pytest.mark.parametrize("name", sorted(PAGES))
+def test_pages_written_by_hand(name):
+    assert _extracted(PAGES[name]) == CLEAN
+
+
+def test_header_of_an_article_is_its_title():
+    page = f"<body><header><h1>Site</h1></header><article><header><h1>Title</h1></header>{BODY}</article></body>"
+    assert _extracted(page) == f"Title {CLEAN}"
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        assert _extracted("<div>" * n + "words here " * n + "</b></section>" * n) == " ".join(["words here"] * n)
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(16_000) < 1.5  # 1.95 s for 8000 when every text walked the open elements
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(spark, name):
     assert oracle.compare(queries.QUERIES[name](spark, FOLDER), oracle.connect(FOLDER), queries.ORACLES[name]) is None
