@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -10,14 +12,44 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..plans.model import SOURCE_COLUMNS, text_schema
 
 
+HEADER_THREADS = 16
+
+
 def with_file_lineage(df: DataFrame) -> DataFrame:
     """Path of the file each row came from."""
     return df.select("*", F.col("_metadata.file_path").alias("source_file_name"))
 
 
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """The data files at a path, of a folder those in it and below: names only."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(top, True)
+    found = []
+    while listed.hasNext():
+        name = listed.next().getPath()
+        if name.getName()[0] not in "_.":
+            found.append(name.toString())
+    return sorted(found)
+
+
+def _first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file; no other block of it is read. Compressed files by their suffix."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+    stream = where.getFileSystem(conf).open(where)
+    try:
+        plain = stream if codec is None else codec.createInputStream(stream)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()
+
+
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names in the header of a CSV file or of a folder's first file."""
-    return spark.read.option("header", True).csv(path).columns
+    """Column names in the header of a CSV file, or of a folder's first file."""
+    files = files_below(spark, path)
+    return next(csv.reader([_first_line(spark, files[0])]), []) if files else []
 
 
 def by_header(spark: SparkSession, path: str | Sequence[str], dataset: str, header: Sequence[str],
@@ -36,10 +68,14 @@ def by_header(spark: SparkSession, path: str | Sequence[str], dataset: str, head
 
 
 def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Paths by header: one reader then serves all files of the same layout."""
+    """Files by header: one reader then serves all files of the same layout, also within a folder. First lines are read
+    by several threads, without a Spark job for each."""
+    files = [f for path in paths for f in files_below(spark, path)]
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f), files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        groups.setdefault(tuple(header_of(spark, path)), []).append(path)
+    for file, line in zip(files, lines):
+        groups.setdefault(tuple(next(csv.reader([line]), [])), []).append(file)
     return groups
 
 

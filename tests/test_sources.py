@@ -57,6 +57,16 @@ def test_row_numbers_across_splits_of_a_file(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_files_of_one_folder_may_differ_in_layout(spark, tmp_path, rows):
+    data = fixtures.schools()
+    fixtures.write_csv(tmp_path / "schools" / "batch_id=b1" / "one.csv", "schools", data[:2])
+    fixtures.write_csv(tmp_path / "schools" / "batch_id=b1" / "two.csv", "schools", data[2:], SHUFFLED)
+    got = readers.read_folders(spark, str(tmp_path / "schools"), "schools", "batch_id")
+    assert rows(got, *SOURCE_COLUMNS["schools"]) == sorted(map(tuple, data), key=str)
+    both = readers.read_csv_text(spark, str(tmp_path / "schools" / "batch_id=b1"), "schools")
+    assert rows(both, *SOURCE_COLUMNS["schools"]) == sorted(map(tuple, data), key=str)
+
+
 def test_header_only_file_is_a_valid_input(spark, tmp_path):
     path = tmp_path / "schools_delta.csv"
     fixtures.write_csv(path, "schools", [])
