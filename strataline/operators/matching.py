@@ -39,11 +39,21 @@ def unknown_to_all(child: DataFrame, parents: Sequence[DataFrame], keys: Sequenc
     return child.dropna(subset=list(keys)).join(distinct_keys(known, keys), list(keys), "left_anti")
 
 
+SPREAD = "_spread"
+
+
+def _spread(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0 for rows whose key can match, a hash of the whole row for those with a null in it: they match nothing, and as a
+    further join key this deals them out evenly instead of to one task."""
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return F.when(missing, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))
+
+
 def mark_present(child: DataFrame, parent: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Add a boolean: a parent with the row's key exists."""
-    present = distinct_keys(parent, keys).withColumn(flag, F.lit(True))
+    present = distinct_keys(parent, keys).withColumns({flag: F.lit(True), SPREAD: F.lit(0).cast("long")})
     return (
-        child.join(present, list(keys), "left")
+        child.withColumn(SPREAD, _spread(child, keys)).join(present, [*keys, SPREAD], "left")
         .select(*child.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag))
     )
 
@@ -63,8 +73,9 @@ def mark_known(child: DataFrame, history: DataFrame, batch: DataFrame, key: str,
         .unionByName(now).dropna(subset=[key])
         .groupBy(key).agg(F.max("_h").alias("_h"), F.collect_set("_slice").alias("_slices"))
     )
+    known = known.withColumn(SPREAD, F.lit(0).cast("long"))
     return (
-        child.join(known, key, "left")
+        child.withColumn(SPREAD, _spread(child, [key])).join(known, [key, SPREAD], "left")
         .select(*child.columns, F.coalesce(F.col("_h"), F.lit(False)).alias(in_history),
                 F.coalesce(F.array_contains("_slices", own), F.lit(False)).alias(in_batch))
     )

@@ -4,11 +4,13 @@ otherwise; every measure is one aggregate (plus a join to an earlier period)."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.bands import AT_RISK_BELOW, Scale
 from ..functions.ratios import ratio_decimal, ratio_double, ratio_exact, steady_round
+from ..session import materialise
 from .matching import prior_period
 
 
@@ -140,15 +142,44 @@ def score_summary(df: DataFrame, by: Sequence[str], *extra: Column, score: str =
 
 
 def quartiles(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Exact interpolated quartiles. Equal values are counted before they meet, so
-    a group's buffer holds its distinct values: bounded for scores."""
-    counted = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("_n"))
-    return (
-        counted.groupBy(*by).agg(F.sum("_n").alias("record_count"), q.alias("_q"))
-        .select(*by, "record_count", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("median"),
-                F.col("_q")[2].alias("p75"))
-    )
+    """Exact interpolated quartiles by rank selection; nothing holds a group's values together.
+
+    Equal values are counted first. The counts are range-partitioned by group and value, and a table of one row per group
+    and range carries how many rows lie before, so every value knows its ranks. Of each group only the values at the six
+    ranks that the quartiles interpolate between are picked.
+    """
+    counted = materialise(
+        df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")).repartitionByRange(*by, value)
+        .withColumn("_range", F.spark_partition_id()))
+    sizes = counted.groupBy(*by, "_range").agg(F.sum("_n").alias("_in_range"))
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = sizes.select(*[F.col(c).alias(f"_k_{c}") for c in by], F.col("_range").alias("_k_range"),
+                          F.coalesce(F.sum("_in_range").over(before), F.lit(0)).alias("_before"),
+                          F.sum("_in_range").over(group).alias("record_count"))
+    running = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    on = [F.col("_range") == F.col("_k_range")] + [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in by]
+    ranked = counted.withColumn("_earlier", F.coalesce(F.sum("_n").over(running), F.lit(0))).join(ranges, on).withColumn(
+        "_first", F.col("_before") + F.col("_earlier"))
+
+    def at(rank: Column) -> Column:
+        held = (F.col("_first") <= rank) & (rank < F.col("_first") + F.col("_n"))
+        return F.max(F.when(held, F.col(value)))
+
+    last = F.col("record_count") - 1
+    places = {name: last * F.lit(q) for name, q in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))}
+    wanted = [edge(place) for place in places.values() for edge in (F.floor, F.ceil)]
+    near = reduce(lambda a, b: a | b, [(F.col("_first") <= r) & (r < F.col("_first") + F.col("_n")) for r in wanted])
+    picked = ranked.filter(near).groupBy(*by, "record_count").agg(*[
+        at(edge(place)).alias(f"_{name}_{side}")
+        for name, place in places.items() for side, edge in (("low", F.floor), ("high", F.ceil))])
+
+    def between(name: str, place: Column) -> Column:
+        low, high = F.col(f"_{name}_low").cast("double"), F.col(f"_{name}_high").cast("double")
+        share = place - F.floor(place)
+        return F.when(share == 0, low).otherwise((1 - share) * low + share * high).alias(name)
+
+    return picked.select(*by, "record_count", *[between(name, place) for name, place in places.items()])
 
 
 def high_low_gap(band: str, score: str = "score") -> list[Column]:

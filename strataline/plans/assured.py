@@ -22,7 +22,7 @@ from ..operators.quality import (Rule, Screened, catalogue, defects, describe, f
                                  passing, quarantine_keys, result_status, rules_of, screen, screened_counts,
                                  screened_records, summarise, union_all)
 from ..operators.rows import latest_per_key, mark_duplicates
-from .model import (ATTENDANCE_KEY, DATE_COLUMNS, INT_COLUMNS, LINEAGE, RECORD_KEY, SCORE_RANGE,
+from ..sources.model import (ATTENDANCE_KEY, DATE_COLUMNS, INT_COLUMNS, LINEAGE, RECORD_KEY, SCORE_RANGE,
                     SOURCE_COLUMNS)
 
 # The known batches.

@@ -15,7 +15,7 @@ from ..operators.matching import mark_present
 from ..operators.quality import Rule, describe, failure_counts, rules_of, union_all
 from ..operators.rows import mark_duplicates
 from ..operators.vault import hub, link, satellite
-from .model import (ATTENDANCE_KEY, DATE_COLUMNS, INT_COLUMNS, RECORD_KEY, SCORE_RANGE,
+from ..sources.model import (ATTENDANCE_KEY, DATE_COLUMNS, INT_COLUMNS, RECORD_KEY, SCORE_RANGE,
                     SOURCE_COLUMNS)
 
 FIRST_ASSESSMENT_YEAR = 2000

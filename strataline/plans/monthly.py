@@ -28,7 +28,7 @@ from ..operators.reconcile import slice_counts
 from ..operators.rows import latest_per_key, mark_duplicates
 from ..operators.upsert import upsert, upsert_changed
 from ..session import materialise
-from .model import SCORE_RANGE, SOURCE_COLUMNS
+from ..sources.model import SCORE_RANGE, SOURCE_COLUMNS
 
 SLICE = ("source_batch_id", "reporting_month")
 ROW = "raw_row_number"  # unique within a slice; stands for the load order

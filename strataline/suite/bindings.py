@@ -13,7 +13,8 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..plans import assured, baseline, model
+from ..plans import assured, baseline
+from ..sources import model
 from ..session import apply_settings, materialise
 
 AS_OF = "2001-06-30"  # the injected "today": some months lie after it

@@ -8,7 +8,8 @@ from ..functions import labels
 from ..functions.text import json_payload
 from ..operators import matching, quality
 from ..operators.quality import union_all
-from ..plans import assured, baseline, model, monthly
+from ..plans import assured, baseline, monthly
+from ..sources import model
 from . import bindings as b
 from .registry import register
 

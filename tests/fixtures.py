@@ -6,7 +6,7 @@ import csv
 import json
 from pathlib import Path
 
-from strataline.plans.model import SOURCE_COLUMNS
+from strataline.sources.model import SOURCE_COLUMNS
 
 
 def write_csv(path: Path, dataset: str, rows, header=None) -> None:

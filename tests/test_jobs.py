@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import fixtures
 from strataline.plans import jobs, monthly
-from strataline.plans.model import text_schema
+from strataline.sources.model import text_schema
 from strataline.sources import readers, writers
 
 B1, B2 = "2025-01-15", "2026-01-15"

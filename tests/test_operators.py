@@ -262,3 +262,35 @@ def test_screened_rules_equal_direct_passes(spark, rows):
     got = quality.screened_records(screened, ["batch_id"], [], ["k", "v", "w"])
     assert rows(got, *direct.columns) == rows(direct) and got.count() == 3
     assert stored == [3]
+
+
+def test_quartiles_of_many_values_and_nulls(spark, rows):
+    import statistics
+
+    values = {"a": list(range(0, 4000, 3)) * 2 + [7] * 500, "b": [5], None: [1, 2, 2, 10], "c": [3, 4]}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "g string, v int").repartition(7)
+    got = {r.g: (r.record_count, r.p25, r.median, r.p75) for r in measures.quartiles(df, ["g"], "v").collect()}
+    for k, vs in values.items():
+        want = statistics.quantiles(vs, n=4, method="inclusive") if len(vs) > 1 else vs * 3
+        assert got[k] == (len(vs), *map(pytest.approx, want))
+    assert measures.quartiles(df.where("false"), ["g"], "v").count() == 0
+
+
+def test_rows_without_a_key_are_dealt_out(spark):
+    """Three in ten rows have no student: no task of the membership joins gets them all."""
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        child = spark.range(20_000).select(F.col("id"), F.when(F.col("id") % 10 >= 3, F.col("id") % 500).alias("k"), F.lit("m").alias("slice"))
+        parent = spark.range(250).select(F.col("id").alias("k"), F.lit("m").alias("slice"))
+        marked = matching.mark_present(child, parent, ["k"], "known")
+        known = matching.mark_known(child, parent.select("k"), parent, "k", ["slice"], "ever", "now")
+        for df, flag in ((marked, "known"), (known, "ever")):
+            assert df.where(flag).count() == 7000 and df.count() == 20_000
+            parts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(parts) < 1.5 * 20_000 / 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)

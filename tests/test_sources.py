@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import fixtures
 from strataline.operators.rows import latest_overall
-from strataline.plans.model import SOURCE_COLUMNS, text_schema
+from strataline.sources.model import SOURCE_COLUMNS, text_schema
 from strataline.sources import manifest, readers, writers
 from strataline.streaming import incremental
 
