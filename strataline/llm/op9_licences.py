@@ -1,7 +1,8 @@
 """Licence scan by sentence rules: known licence sentences become identifiers, and the sequence of a document's
 identifiers is matched against ordered rules.
 
-A sentence ends after ``.``, ``;`` or ``:`` before white space, at a line without letters or digits, at a line break after anything but
+The rules know full texts, headers, titles, notices ("licensed under the ...") and SPDX tags of the licences in
+``FAMILIES`` and a few more. A sentence ends after ``.``, ``;`` or ``:`` before white space, at a line without letters or digits, at a line break after anything but
 a letter, digit, comma or quote (licence texts come wrapped), and before a line that opens as licence notices do. Its
 normal form has lower-case letters and digits with single spaces, which drops comment marks. A document's known
 sentences form a string of identifiers in text order, with a bar where unknown sentences lie between two. It is read
@@ -75,28 +76,137 @@ RULES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
     ("all_rights", "LicenseRef-proprietary", ("all_rights",)),
 )
 
+# SPDX identifiers of common licences and the names notices call them by.
+FAMILIES: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2", "Apache 2.0 License", "Apache License v2.0", "Apache-2.0 License",
+                   "Apache Software License 2.0", "Apache 2.0"),
+    "MIT": ("MIT license (MIT)", "MIT", "Expat License"),
+    "ISC": ("ISC License", "ISC licence", "ISC"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "BSD-2-Clause License", "FreeBSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License", "Revised BSD License",
+                     "BSD-3-Clause License", "BSD-style License"),
+    "GPL-2.0-only": ("GNU General Public License v2", "GNU GPL v2", "GPLv2", "GPL v2", "GNU General Public License v2.0", "GPL-2.0"),
+    "GPL-2.0-or-later": ("GNU General Public License version 2 or later", "GPLv2+", "GPL v2 or later", "GPL-2.0+"),
+    "GPL-3.0-only": ("GNU General Public License v3", "GNU GPL v3", "GPLv3", "GPL v3", "GNU General Public License v3.0", "GPL-3.0"),
+    "GPL-3.0-or-later": ("GNU General Public License version 3 or later", "GPLv3+", "GPL v3 or later", "GPL-3.0+"),
+    "LGPL-2.1-only": ("GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "LGPL v2.1", "LGPLv2.1", "LGPL-2.1"),
+    "LGPL-2.1-or-later": ("GNU Lesser General Public License version 2.1 or later", "LGPLv2.1+", "LGPL-2.1+"),
+    "LGPL-3.0-only": ("GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3", "LGPL v3", "LGPLv3", "LGPL-3.0"),
+    "LGPL-3.0-or-later": ("GNU Lesser General Public License version 3 or later", "LGPLv3+", "LGPL-3.0+"),
+    "AGPL-3.0-only": ("GNU Affero General Public License, version 3", "GNU Affero General Public License v3", "AGPL v3", "AGPLv3", "AGPL-3.0"),
+    "AGPL-3.0-or-later": ("GNU Affero General Public License version 3 or later", "AGPLv3+", "AGPL-3.0+"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "Mozilla Public License, v.", "MPL 2.0", "MPL-2.0"),
+    "EPL-1.0": ("Eclipse Public License 1.0", "Eclipse Public License v1.0", "EPL 1.0"),
+    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License v2.0", "EPL 2.0"),
+    "Unlicense": ("Unlicense", "Unlicence"),
+    "Zlib": ("zlib License", "zlib/libpng License"),
+    "BSL-1.0": ("Boost Software License 1.0", "Boost Software License, Version 1.0"),
+    "Artistic-2.0": ("Artistic License 2.0",),
+    "WTFPL": ("WTFPL License",),
+    "CC0-1.0": ("CC0 1.0", "Creative Commons Zero v1.0 Universal License", "CC0 1.0 Universal License"),
+    "CC-BY-4.0": ("Creative Commons Attribution 4.0 International License", "CC-BY-4.0 License"),
+    "CC-BY-SA-4.0": ("Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-SA-4.0 License"),
+    "CC-BY-NC-4.0": ("Creative Commons Attribution-NonCommercial 4.0 International License", "CC-BY-NC-4.0 License"),
+    "CC-BY-ND-4.0": ("Creative Commons Attribution-NoDerivatives 4.0 International License", "CC BY-ND 4.0"),
+}
+# What stands before a name in a notice.
+OPENINGS = tuple(f"{subject}{verb} under {article}" for article in ("the ", "a ", "") for subject, verb in (
+    ("", "Licensed"), ("", "Released"), ("", "Distributed"), ("", "Available"), ("This project is ", "licensed"),
+    ("This work is ", "licensed"), ("This software is ", "licensed"), ("This program is ", "licensed"), ("This file is ", "licensed"),
+    ("This code is ", "licensed"), ("This library is ", "licensed"), ("This software is ", "released"),
+    ("This project is ", "released"), ("This software is ", "distributed")))
+# Full texts and headers beyond those above, and titles that stand alone.
+SENTENCES |= {
+    "mpl_form": ("This Source Code Form is subject to the terms of the Mozilla Public License, v.",),  # 2.0 is a sentence then
+    "gpl_terms": ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",),
+    "lgpl_terms": ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",),
+    "v2_either": ("either version 2 of the License, or (at your option) any later version.",),
+    "v21_either": ("either version 2.1 of the License, or (at your option) any later version.",),
+    "v3_either": ("either version 3 of the License, or (at your option) any later version.",),
+    "isc_grant": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+                  "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "unlicense_free": ("This is free and unencumbered software released into the public domain.",),
+    "unlicense_anyone": ("Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",),
+    "lgpl_free": ("This library is free software",),
+    "lgpl3_later": ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "agpl3_later": ("you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "gpl_title": ("GNU GENERAL PUBLIC LICENSE",),
+    "gpl_title_3": ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",),
+    "gpl_title_2": ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991",),
+    "lgpl_title_3": ("GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",),
+    "agpl_title_3": ("GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",),
+    "apache_title": ("Apache License Version 2.0, January 2004",),
+    "mpl_title": ("Mozilla Public License Version 2.0",),
+    "epl_title": ("Eclipse Public License - v 2.0",),
+}
+RULES = (
+    ("gpl_2_later_header", "GPL-2.0-or-later", ("gpl_free", "gpl_terms", "v2_either")),
+    ("gpl_3_later_header", "GPL-3.0-or-later", ("gpl_free", "gpl_terms", "v3_either")),
+    ("lgpl_21_later_header", "LGPL-2.1-or-later", ("lgpl_free", "lgpl_terms", "v21_either")),
+    ("lgpl_3_later_header", "LGPL-3.0-or-later", ("lgpl_free", "lgpl_terms", "v3_either")),
+    ("lgpl_3_later_text", "LGPL-3.0-or-later", ("lgpl_free", "lgpl3_later")),
+    ("agpl_3_later_text", "AGPL-3.0-or-later", ("gpl_free", "agpl3_later")),
+    ("unlicense_text", "Unlicense", ("unlicense_free", "unlicense_anyone")),
+    *RULES,
+    ("gpl_3_later_short", "GPL-3.0-or-later", ("gpl_free", "gpl3_later")), ("isc_text", "ISC", ("isc_grant",)), ("unlicense_short", "Unlicense", ("unlicense_free",)), ("mpl_2_short", "MPL-2.0", ("mpl_form",)),
+    ("gpl_3_title", "GPL-3.0-only", ("gpl_title_3",)), ("gpl_2_title", "GPL-2.0-only", ("gpl_title_2",)),
+    ("lgpl_3_title", "LGPL-3.0-only", ("lgpl_title_3",)), ("agpl_3_title", "AGPL-3.0-only", ("agpl_title_3",)),
+    ("apache_2_title", "Apache-2.0", ("apache_title",)), ("mpl_2_title", "MPL-2.0", ("mpl_title",)), ("epl_2_title", "EPL-2.0", ("epl_title",)),
+)
+
+
+def _with_families() -> None:
+    """Sentences and rules of every family by rule: each opening with each name, and its SPDX tag."""
+    global RULES
+    known = {normal_form(text) for texts in SENTENCES.values() for text in texts}
+    more = []
+    for licence, names in FAMILIES.items():
+        key = re.sub(r"[^a-z0-9]", "_", licence.lower())
+        forms: dict[str, str] = {}
+        for opening in OPENINGS:
+            for name in names:
+                forms.setdefault(normal_form(opening + name), opening + name)
+        SENTENCES[f"notice_{key}"] = tuple(text for form, text in forms.items() if form not in known)
+        SENTENCES[f"spdx_{key}"] = tuple(dict.fromkeys((f"SPDX license {licence}", f"SPDX license {licence.removesuffix('-only')}")))
+        known |= set(forms)
+        more += [(f"family_{key}", licence, (f"notice_{key}",)), (f"spdx_{key}", licence, (f"spdx_{key}",))]
+    RULES = (*RULES, *more)
+
+
 WHITE = r"\x20\x09-\x0D"
 # Places where sentences end: pattern and replacement, MARK standing for the end.
 MARK = "\x01"
 ENDS = (
+    # A tag is a sentence of its own, and so is each further identifier of its expression.
+    (r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9.+-]+)\)?", "tag"),
+    *[(r"(SPDX license [A-Za-z0-9.+-]+\x01)[ \t]+(?:OR|AND)[ \t]+\(?([A-Za-z0-9.+-]+)\)?", "next")] * 4,
+    (r"([0-9])\+([^+0-9A-Za-z]|$)", "plus"),
     (rf"([.;:])[{WHITE}]+", "after"),
     (r"[\n\r][^A-Za-z0-9]*[\n\r]", "here"),
     (r"([^A-Za-z0-9,\x22\x01])[\n\r]+", "after"),
     (r"[\n\r]+([^A-Za-z0-9\x01]{0,8}(?:Licensed under|Released under|Distributed under|Dedicated to|This work is|"
-     r"This project is|This program is|Permission is|Redistribution|Neither the|All rights|The MIT|MIT License))", "before"),
+     r"This project is|This program is|This software is|This file is|This code is|This library is|Available under|This Source Code|Permission is|Redistribution|Neither the|All rights|The MIT|MIT License))", "before"),
 )
 OTHER = r"[^a-z0-9]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Each known sentence has one of these stems; sentences without one are not normalised.
-CUES = ("licen", "warrant", "redistribut", "permission",
-        "software", "cc.by", "cc0", "reserved", "contributors")
+CUES = ("licen", "unencumbered", "warrant", "redistribut", "permission", "software", "cc.by", "cc0", "reserved", "contributors", "under ", "distributed with")
+
+
+# What takes the place of the end that a pattern finds, in Spark's notation.
+REPLACED = {"after": "$1" + MARK, "here": MARK, "before": MARK + "$1", "tag": MARK + "SPDX license $1" + MARK,
+            "next": "$1SPDX license $2" + MARK, "plus": "$1 or later$2"}
 
 
 def normal_form(text: str) -> str:
-    """The normal form of a known sentence, as :func:`normal` makes it."""
+    """The normal form of a known sentence, as :func:`normal` makes it after the ends are marked."""
+    text = re.sub(r"([0-9])\+([^+0-9A-Za-z]|$)", r"\1 or later\2", text)
     return re.sub(OTHER, " ", text.translate(str.maketrans(UPPER, LOWER))).strip(" ")
 
 
+_with_families()
+
+
 def normal(sentence: Column) -> Column:
     """Lower-case ASCII letters and digits, everything else one space, trimmed."""
     return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), OTHER, " "))
@@ -125,7 +235,7 @@ def known_sentences(docs: DataFrame, id_column: str = "doc_id", text_column: str
     forms = docs.sparkSession.createDataFrame(list(known_forms(sentences).items()), "normal string, sentence string")
     marked = F.col(f"`{text_column}`")
     for pattern, side in ENDS:
-        marked = F.regexp_replace(marked, pattern, {"after": "$1" + MARK, "here": MARK, "before": MARK + "$1"}[side])
+        marked = F.regexp_replace(marked, pattern, REPLACED[side])
     rows = only(docs, [id_column, text_column]).select(
         F.col(f"`{id_column}`").alias("doc_id"),
         F.xxhash64(f"`{id_column}`", F.lit("/"), f"`{text_column}`").alias("row_key"),
@@ -170,7 +280,7 @@ def oracle() -> str:
 
     marked = "text"
     for pattern, side in ENDS:
-        to = {"after": r"\1", "here": "", "before": ""}[side] + "@@" + (r"\1" if side == "before" else "")
+        to = REPLACED[side].replace("$", "\\").replace(MARK, "@@")
         marked = f"regexp_replace({marked}, {quoted(pattern)}, replace({quoted(to)}, '@@', chr(1)), 'g')"
     forms = ", ".join(f"({quoted(f)}, {quoted(n)})" for f, n in known_forms().items())
     names = ", ".join(f"({quoted(''.join('/' + n for n in names))}, {quoted(licence)})" for _, licence, names in RULES)

@@ -294,6 +294,70 @@ def test_licence_rules_prefer_the_longest_sequence(spark):
         (1, "apache_2_header"), (None, "all_rights"), (5, "mit_notice"), (5, "cc_by_nc_4_notice")])
 
 
+# Statements and the licences a reader finds in them, written by hand.
+STATEMENTS = [
+    ("SPDX-License-Identifier: MIT", "MIT"), ("// SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("# SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0-only"), ("/* SPDX-License-Identifier: GPL-2.0 */", "GPL-2.0-only"),
+    ("SPDX-License-Identifier: GPL-2.0+", "GPL-2.0-or-later"), ("SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0-or-later"),
+    ("SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1-or-later"), ("SPDX-License-Identifier: LGPL-3.0", "LGPL-3.0-only"),
+    ("SPDX-License-Identifier: AGPL-3.0-only", "AGPL-3.0-only"), ("SPDX-License-Identifier: MPL-2.0", "MPL-2.0"),
+    ("SPDX-License-Identifier: EPL-2.0", "EPL-2.0"), ("SPDX-License-Identifier: ISC", "ISC"),
+    ("SPDX-License-Identifier: Unlicense", "Unlicense"), ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+    ("SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"), ("SPDX-License-Identifier: Zlib", "Zlib"),
+    ("SPDX-License-Identifier: BSL-1.0", "BSL-1.0"), ("SPDX-License-Identifier: CC0-1.0", "CC0-1.0"),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", "Apache-2.0,MIT"),
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0)", "Apache-2.0,MIT"),
+    ("SPDX-License-Identifier: MIT AND BSD-3-Clause AND ISC", "BSD-3-Clause,ISC,MIT"),
+    ("int x;\nSPDX-License-Identifier: MIT\nint y;", "MIT"), ("SPDX-License-Identifier: Unknown-1.0", ""),
+    ("Licensed under the MIT License.", "MIT"), ("Licensed under the MIT license", "MIT"), ("Licensed under MIT.", "MIT"),
+    ("Released under the Apache License 2.0.", "Apache-2.0"), ("Licensed under Apache 2.0.", "Apache-2.0"),
+    ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"), ("This project is licensed under the Apache 2.0 License.", "Apache-2.0"),
+    ("This project is licensed under the ISC License.", "ISC"), ("Released under the ISC license.", "ISC"),
+    ("Distributed under the BSD 3-Clause License.", "BSD-3-Clause"), ("Licensed under the New BSD License.", "BSD-3-Clause"),
+    ("This software is released under a BSD-style license.", "BSD-3-Clause"), ("Licensed under the Simplified BSD License.", "BSD-2-Clause"),
+    ("This library is licensed under the 2-Clause BSD License.", "BSD-2-Clause"),
+    ("Licensed under the GPLv3.", "GPL-3.0-only"), ("Licensed under GPL v3.", "GPL-3.0-only"), ("Licensed under the GPLv3+.", "GPL-3.0-or-later"),
+    ("This program is licensed under the GNU General Public License v2.", "GPL-2.0-only"), ("Licensed under GPLv2+.", "GPL-2.0-or-later"),
+    ("Licensed under the GNU General Public License version 2 or later.", "GPL-2.0-or-later"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0-only"),
+    ("Licensed under the GNU Lesser General Public License v2.1.", "LGPL-2.1-only"), ("Licensed under LGPL-2.1+.", "LGPL-2.1-or-later"),
+    ("Distributed under the GNU Lesser General Public License, version 3.", "LGPL-3.0-only"),
+    ("This software is licensed under the GNU Affero General Public License v3.", "AGPL-3.0-only"), ("Licensed under AGPLv3.", "AGPL-3.0-only"),
+    ("Licensed under the Mozilla Public License 2.0.", "MPL-2.0"), ("This file is licensed under the MPL 2.0.", "MPL-2.0"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed "
+     "with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+    ("Available under the Eclipse Public License 2.0.", "EPL-2.0"), ("Licensed under the Eclipse Public License v1.0.", "EPL-1.0"),
+    ("This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy.", "Unlicense"),
+    ("Released under the Unlicense.", "Unlicense"), ("Licensed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    ("Licensed under the zlib License.", "Zlib"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "CC-BY-ND-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+    ("Released under CC0 1.0.", "CC0-1.0"), ("All rights reserved.", "LicenseRef-proprietary"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n", "GPL-3.0-only"),
+    ("                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n", "AGPL-3.0-only"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+     "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.", "LGPL-2.1-or-later"),
+    ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as "
+     "published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.", "AGPL-3.0-or-later"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that "
+     "the above\ncopyright notice and this permission notice appear in all copies.", "ISC"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+     "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "GPL-2.0-or-later"),
+    ("The licence of this text is discussed elsewhere.", ""), ("He works under the new management.", ""), ("Version 2+ is out.", ""),
+]
+
+
+def test_statements_labelled_by_hand(spark):
+    assert len(STATEMENTS) >= 60
+    docs = spark.createDataFrame(list(enumerate(t for t, _ in STATEMENTS)), "doc_id long, text string").withColumns(
+        {"normal": F.lit("mit"), "sentence": F.lit(1), "place": F.lit(2)})
+    got = defaultdict(set)
+    for r in op9_licences.scan(docs).collect():
+        got[r.doc_id].add(r.licence)
+    wrong = [(t, sorted(got[i]), want) for i, (t, want) in enumerate(STATEMENTS) if ",".join(sorted(got[i])) != want]
+    assert not wrong
+
+
 def test_empty_tables(docs):
     none = docs.where(F.lit(False))
     for frame in (op1_packing.pack(none), op5_substrings.remove_repeats(none), op6_language.identify(none),
