@@ -52,8 +52,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_carrying
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (Jaccard similarity 0.8 of five-word shingles): the one with the
-    smallest id, a null id last; of repeated rows, one. Null, empty and blank texts are one group; no rows give none."""
+    """One document of each group of near copies (Jaccard similarity 0.8 of five-word shingles, checked exactly on the
+    candidates of op 8's SimHash links and of minima): the one with the smallest id, a null id last; of repeated rows, one.
+    Null, empty and blank texts are one group; no rows give none."""
     return near_copies.kept(docs)
 
 

@@ -1,8 +1,10 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates share a cell: one of 32 bands of five minima of the set under random orders. A pair at similarity s shares
-none with probability (1 - s**5)**32, which is 3e-6 at 0.8 and less above. (A SimHash grid can't serve here: pairs at 0.8
-lie about ten of 64 bits apart and up to twenty.) Texts with equal sets are one node.
+Candidates share a cell. The first cells are op 8's: SimHash fingerprints of the sets, linked at two or fewer differing
+bits by its segment-count grid, its Manhattan bound and its exact Hamming test; a cell holds a fingerprint and those it is
+linked with. The others are 32 bands of five minima of the set under random orders, since pairs at 0.8 lie about ten of 64
+bits apart and up to twenty: a pair at similarity s shares no band with probability (1 - s**5)**32, which is 3e-6 at 0.8
+and less above. What shares a cell of either kind is compared exactly. Texts with equal sets are one node.
 
 No pairs are made. All cells with the same least node are one unit, so a set travels once per unit and not once per cell
 or pair. Units are cut into parts of a block's size; a task takes one part, opens its sets through an inverted index and
@@ -20,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import op8_simhash
 from .graph import components
 from .shared import free_name, map_arrow, stored
 from .words import mix
@@ -78,19 +81,21 @@ def cells(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketched(docs: DataFrame, id_column: str, text_column: str, shingle: int) -> DataFrame:
-    """``id``, ``row_key``, ``set_key``, ``size`` of the shingle set, ``cells``; a row per input row."""
+    """``id``, ``row_key``, ``set_key``, ``size`` and ``fingerprint`` of the shingle set, ``cells``; a row per input row."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t.as_py(), shingle) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([set_key(s) for s in sets], pa.binary()),
-                 pa.array(map(len, sets), pa.int64()), pa.array([cells(s) for s in sets], pa.list_(pa.int64()))],
-                ["id", "row_key", "set_key", "size", "cells"])
+                 pa.array(map(len, sets), pa.int64()),
+                 pa.array([op8_simhash.signed(op8_simhash.fingerprint_of(s)) for s in sets], pa.int64()),
+                 pa.array([cells(s) for s in sets], pa.list_(pa.int64()))],
+                ["id", "row_key", "set_key", "size", "fingerprint", "cells"])
 
     chosen = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"),
                          row_key(id_column, text_column).alias("row_key"))
     kind = chosen.schema["id"].dataType.simpleString()
-    return map_arrow(chosen, work, f"id {kind}, row_key binary, set_key binary, size long, cells array<long>")
+    return map_arrow(chosen, work, f"id {kind}, row_key binary, set_key binary, size long, fingerprint long, cells array<long>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str, shingle: int) -> DataFrame:
@@ -188,10 +193,19 @@ def _parts(nodes: str, shingle_count: str) -> Column:
     return F.greatest(F.ceil(F.col(nodes) / BLOCK_NODES), F.ceil(F.col(shingle_count) / BLOCK_SHINGLES)).cast("int")
 
 
+def _near_prints(nodes: DataFrame) -> DataFrame:
+    """``node``, ``size``, ``cell`` by op 8's links: a cell of every fingerprint for itself and all it is linked with."""
+    prints = nodes.select("fingerprint").distinct()
+    linked = stored(op8_simhash.links(prints), "prints")
+    held = prints.select(F.col("fingerprint").alias("centre"), "fingerprint").union(linked.select("a", "b"))
+    return nodes.join(held, "fingerprint").select("node", "size", F.xxhash64(F.lit("fingerprint"), "centre").alias("cell"))
+
+
 def _units(nodes: DataFrame) -> DataFrame:
     """``unit``, ``node``, ``size``: what is to be compared with each other. All cells with the same least node are one
-    unit, named by it: nodes that share a cell share its unit, and a node has few of them though it has 32 cells."""
-    spread = nodes.select("node", "size", F.explode("cells").alias("cell"))
+    unit, named by it: nodes that share a cell share its unit, and a node has few of them though it has 33 cells and
+    more."""
+    spread = nodes.select("node", "size", F.explode("cells").alias("cell")).union(_near_prints(nodes))
     shared = spread.groupBy("cell").agg(F.min("node").alias("unit"), F.count("*").alias("n")).where("n > 1").select("cell", "unit")
     return spread.join(shared, "cell").select("unit", "node", "size").distinct()
 
@@ -204,8 +218,9 @@ def keepers(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     rows = stored(_sketched(docs, id_column, text_column, shingle), "sketches")
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key")
     nodes = stored(rows.groupBy("set_key").agg(
-        F.min(first).alias("first"), F.first("size").alias("size"), F.first("cells").alias("cells")).select(
-            F.monotonically_increasing_id().alias("node"), "first", "size", "cells"), "nodes")
+        F.min(first).alias("first"), F.first("size").alias("size"), F.first("fingerprint").alias("fingerprint"),
+        F.first("cells").alias("cells")).select(
+            F.monotonically_increasing_id().alias("node"), "first", "size", "fingerprint", "cells"), "nodes")
     units = stored(_units(nodes), "units")
     cut = stored(units.groupBy("unit").agg(F.count("*").alias("n"), F.sum("size").alias("s")).select(
         "unit", _parts("n", "s").alias("parts")), "parts")

@@ -32,11 +32,11 @@ CELL_PAIRS = 48
 CHUNK = 1 << 16  # hashes whose bits are counted at once
 
 
-def _signed(value: int) -> int:
+def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _bit_counts(hashes: list[int]) -> np.ndarray:
+def _bit_counts(hashes: list[int] | np.ndarray) -> np.ndarray:
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), CHUNK):
         part = np.array(hashes[at:at + CHUNK], "<u8")
@@ -44,6 +44,12 @@ def _bit_counts(hashes: list[int]) -> np.ndarray:
     return counts
 
 
+def fingerprint_of(hashes: list[int] | np.ndarray) -> int:
+    """The unsigned 64-bit SimHash of shingle hashes: a bit is set if it is set in over half of them. None give zero."""
+    bits = 2 * _bit_counts(hashes) > len(hashes)
+    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """The unsigned 64-bit SimHash of a text: A-Z lower-cased, words between ASCII white space, word shingles with
     repeats, XXH64; a bit is set if it is set in over half the hashes. No words give zero."""
@@ -57,9 +63,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - shingle + 1)
     last = ends[min(shingle, len(words)) - 1:]
-    hashes = [digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist())]
-    bits = 2 * _bit_counts(hashes) > len(hashes)
-    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    return fingerprint_of([digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist())])
 
 
 def with_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -67,7 +71,7 @@ def with_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: s
     input row, without a shuffle."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [_signed(fingerprint(t.as_py())) for t in batch.column(1)]
+            values = [signed(fingerprint(t.as_py())) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(values, pa.int64())], [id_column, "row_key", "fingerprint"])
 
@@ -88,7 +92,7 @@ def links(fingerprints: DataFrame, cell_pairs: int = CELL_PAIRS) -> DataFrame:
     embedded = fingerprints.select("fingerprint", F.shiftleft(both, 1).bitwiseOR(either).alias("counts"))
     pairs = [BLOCK_MASKS[i] | BLOCK_MASKS[j] for i in range(4) for j in range(i + 1, 4)]
     cells = embedded.select("fingerprint", "counts", F.posexplode(F.array(*[
-        F.col("counts").bitwiseAND(F.lit(_signed(mask))) for mask in pairs])).alias("grid", "cell"))
+        F.col("counts").bitwiseAND(F.lit(signed(mask))) for mask in pairs])).alias("grid", "cell"))
     sizes = cells.groupBy("grid", "cell").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(cells.join(sizes, ["grid", "cell"]), "cells")
 
@@ -103,7 +107,7 @@ def links(fingerprints: DataFrame, cell_pairs: int = CELL_PAIRS) -> DataFrame:
         .select("a", "b")
     )
     large = shared.where(F.col("n") > cell_pairs).select("fingerprint").distinct()
-    flips = [F.lit(0).cast("long")] + [F.lit(_signed(1 << i)).cast("long") for i in range(BITS)]
+    flips = [F.lit(0).cast("long")] + [F.lit(signed(1 << i)).cast("long") for i in range(BITS)]
     balls = large.select("fingerprint", F.explode(F.array(*flips)).alias("flip")).select(
         "fingerprint", F.col("fingerprint").bitwiseXOR(F.col("flip")).alias("neighbour"))
     # At most 65 fingerprints emit the same neighbour, so these lists are bounded.

@@ -108,3 +108,24 @@ def test_edges_of_the_stage(spark):
     keys = near_copies.keepers(docs).withColumnRenamed("row_key", "k")
     got = docs.withColumn("k", near_copies.row_key()).join(keys, "k").select("doc_id").collect()
     assert sorted(r.doc_id for r in got) == [1, 3]
+
+
+def test_candidates_come_from_fingerprint_links_too(spark, monkeypatch):
+    """Without any band the copies that op 8 links at two bits are still found, and compared exactly: two texts of one
+    fingerprint that share no shingle both stay."""
+    monkeypatch.setattr(near_copies, "BANDS", 0)
+    monkeypatch.setattr(near_copies, "cells", lambda hashes: np.zeros(0, np.int64))
+    base = [f"w{i}" for i in range(3000)]
+    copies = [base, base[:-1] + ["x"], ["y"] + base[1:]]
+    sets = [near_copies.shingles(" ".join(t)) for t in copies]
+    prints = [near_copies.op8_simhash.fingerprint_of(s) for s in sets]
+    assert all((prints[0] ^ p).bit_count() <= 2 for p in prints)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(copies)] + [(7, "a b c d e"), (8, None)],
+                                 "doc_id long, text string")
+    keys = near_copies.keepers(docs).withColumnRenamed("row_key", "k")
+    got = docs.withColumn("k", near_copies.row_key()).join(keys, "k").select("doc_id").collect()
+    assert sorted(r.doc_id for r in got) == [0, 7, 8]
+    monkeypatch.setattr(near_copies.op8_simhash, "fingerprint_of", lambda hashes: 5)
+    keys = near_copies.keepers(docs).withColumnRenamed("row_key", "k")
+    got = docs.withColumn("k", near_copies.row_key()).join(keys, "k").select("doc_id").collect()
+    assert sorted(r.doc_id for r in got) == [0, 7, 8]
