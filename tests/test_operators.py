@@ -66,6 +66,35 @@ def test_orphan_modes(spark, rows):
     assert matching.mark_present(child, parent, ["k"], "p").count() == 4
 
 
+def test_mark_duplicates_odd_keys_and_one_shuffle(spark, rows):
+    """Null keys and orders never count, ties of the lowest order are no surplus; marks by student take one shuffle."""
+    df = spark.createDataFrame([("a", 1, 1), ("a", 1, 1), ("a", 1, 2), (None, 1, 3), (None, 1, 4), ("b", None, 5),
+                                ("b", None, 6), ("c", 1, None), ("c", 1, 7), ("d", 1, 8)], "k string, m int, n int")
+    assert sorted(rows(r.mark_duplicates(df, ["k", "m"], "d", "n").filter("d"), "n")) == [(2,)]
+    assert r.mark_duplicates(df, ["k", "m"], "d").filter("d").count() == 5
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        known = matching.mark_present(df, df.select("k"), ["k"], "p", [r.SPREAD])
+        plan = r.mark_duplicates(known, ["k", "m"], "d", "n")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(") == 2  # the rows once, the parents once
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_exclude_in_place_and_narrow_ids(spark, rows):
+    from strataline.functions.keys import hash_key, narrow_id, wide_id
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (3, None)], "n int, k string")
+    bad = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    assert sorted(rows(matching.exclude_in_place(df, bad, ["k"]), "n")) == [(2,), (2,), (3,)]
+    ids = spark.createDataFrame([("00616263",), ("abc",), ("ABCD",), ("",), (None,), ("é",)], "i string").select("i")
+    ids = ids.union(df.select(hash_key("k")))
+    assert ids.filter(~wide_id(narrow_id("i")).eqNullSafe(ids["i"])).count() == 0
+    assert ids.select(narrow_id("i").alias("b")).distinct().count() == ids.distinct().count()
+
+
 def test_mark_known(spark, rows):
     child = frame(spark, [("a", 1), ("b", 1), ("b", 2), ("c", 1), (None, 1)], "k string, m int")
     past, batch = frame(spark, [("a",)], "k string"), frame(spark, [("b", 1), ("b", 1)], "k string, m int")
