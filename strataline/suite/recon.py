@@ -73,8 +73,8 @@ FROM s CROSS JOIN (VALUES ('school'), ('student_monthly_status'), ('attendance_m
 LEFT JOIN src ON src.o = v.o AND src.m = s.reporting_month LEFT JOIN tgt ON tgt.o = v.o AND tgt.m = s.reporting_month""")
 def recon_monthly(spark, folder):
     """The students a snapshot should hold against the snapshots of the months that passed the gate."""
-    run = Monthly(spark, folder)
-    status = run.status = b.materialise(run.status)
+    run = Monthly(spark, folder, stored=True)
+    status = run.status
     kept = quality.only_ready(status, run.quality.readiness, monthly.SLICE)
     silver = {"school": run.schools, "student_monthly_status": kept, "attendance_monthly": run.attendance,
               "assessment_result": run.scores,
@@ -344,8 +344,7 @@ def month_validation(spark, folder):
     The run log is kept per month: a first run that failed and a second one that ended well, in July failed again; in
     December nobody ran. The month of the snapshot was loaded as one.
     """
-    run = Monthly(spark, folder)
-    run.attendance = b.materialise(run.attendance)  # counted, and read by the fact
+    run = Monthly(spark, folder, stored=True)  # attendance is counted, and read by the fact
     key = ["source_batch_id"]
     attendance = run.attendance
     fact = run.fact_attendance
@@ -398,8 +397,7 @@ UNION ALL SELECT 'vw_monthly_reporting_readiness', (SELECT count(*) FROM c_readi
 UNION ALL SELECT 'vw_data_quality_caveats', (SELECT count(*) FROM c_caveats))""")
 def view_row_counts(spark, folder):
     """The five report views."""
-    run = Monthly(spark, folder)
-    run.attendance = b.materialise(run.attendance)  # read by both facts
+    run = Monthly(spark, folder, stored=True)  # attendance is read by both facts
     months, schools, levels = monthly.dim_month(run.slices), monthly.dim_school(run.schools), monthly.dim_year_level(run.students)
     fact = b.materialise(run.fact_attendance)
     views = {
