@@ -73,6 +73,19 @@ def test_conformed_attendance_in_one_pass_equals_the_exclusion(spark, rows, mont
     assert rows(monthly.conformed_attendance_of_screened(whole, schools)) == rows(want)
 
 
+def test_rows_without_a_load_order_tie_and_their_content_decides(spark, rows, month):
+    bronze, known, students, schools, quality = month
+    tied = [(*A, "T1", "S1", "C1", f"2024-0{i + 1}-01", str(days), "4", "", "f", None) for i, days in enumerate((20, 30, 10))]
+    for order in (tied, tied[::-1]):
+        one = spark.createDataFrame(order, ATTENDANCE)
+        got = monthly.conformed_attendance_in_one_pass(one, bronze["students"], known, students, schools)
+        assert rows(got, "attendance_id", "possible_days") == [("T1", 30)]
+        slices = spark.createDataFrame([A, B], "source_batch_id string, reporting_month string")
+        checked = monthly.assess({**bronze, "attendance": one}, bronze["schools"], known, slices)
+        whole = checked.numbered_attendance(students)
+        assert rows(monthly.conformed_attendance_of_screened(whole, schools), "attendance_id", "possible_days") == [("T1", 30)]
+
+
 def test_outputs_of_the_rules_after_every_row_was_stored(spark, rows, month):
     bronze, known, students, _, quality = month
     other = monthly.assess(bronze, bronze["schools"], known, spark.createDataFrame([A, B], "source_batch_id string, reporting_month string"),
