@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import map_arrow, only, stored
+from .shared import held, map_arrow, only, stored
 from .tokens import vocabulary_path
 from .words import mix
 
@@ -151,14 +151,9 @@ class Pieces:
         return total
 
 
-_PIECES: dict[str, Pieces] = {}
-
-
 def pieces(path: str) -> Pieces:
     """This worker's copy of the vocabulary."""
-    if path not in _PIECES:
-        _PIECES[path] = Pieces(path)
-    return _PIECES[path]
+    return held("pieces", path, Pieces)
 
 
 @dataclass(frozen=True)

@@ -363,3 +363,14 @@ def test_empty_tables(docs):
     for frame in (op1_packing.pack(none), op5_substrings.remove_repeats(none), op6_language.identify(none),
                   op8_simhash.near_duplicates(none), op9_licences.scan(none), op10_mixing.mix(none)):
         assert frame.count() == 0
+
+
+def test_a_worker_holds_one_large_helper_at_a_time():
+    """An encoder's pieces don't stay in a worker beside the next operator's tables; another use of the same one does."""
+    from strataline.llm import op6_language, shared, tokens
+
+    first = tokens.encoder(tokens.vocabulary_path("word_bpe_49k.json"))
+    assert tokens.encoder(tokens.vocabulary_path("word_bpe_49k.json")) is first
+    assert first.encode("Some words") == tokens.Encoder(tokens.vocabulary_path("word_bpe_49k.json"), added_as_text=False).encode("Some words")
+    op6_language.pieces(op6_language.vocabulary_path(op6_language.VOCABULARY))
+    assert len(shared._HELD) == 1 and first not in shared._HELD.values()
