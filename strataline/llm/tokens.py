@@ -16,7 +16,7 @@ from .shared import held
 
 KEPT_PIECES = 300_000  # pieces of a generation; a worker keeps two, so common pieces are never encoded again
 
-FRESH_PIECES = 256  # encoded together: each holds some KB until it is copied out, and few of them stay in the CPU's cache
+FRESH_PIECES = 64  # encoded together: each holds some KB until it is copied out, and few of them stay in the CPU's cache
 
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-įĲ-ɏ"
 _NUMBERS = "0-9²³¹¼½¾"
@@ -40,10 +40,13 @@ class Encoder:
 
     def __init__(self, path: str, added_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = added_as_text
+        # A piece is normalised and split already: only the bytes and the merges are left to do. Both share one model.
+        self._merges = Tokenizer(self._library.model)
+        self._merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._lower = self._library.normalizer is not None
         # Where an added token may stand; a match by letters of either case, since some are found after lower-casing.
         added = [] if added_as_text else [t.content for t in self._library.get_added_tokens_decoder().values() if t.content]
@@ -52,8 +55,9 @@ class Encoder:
         self._kept: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = (e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False))
+    @staticmethod
+    def _packed(tokenizer, texts: list[str]) -> list[bytes]:
+        found = (e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
 
     def _learn(self, pieces: set[str]) -> None:
@@ -65,14 +69,16 @@ class Encoder:
         fresh = list(unknown)
         for at in range(0, len(fresh), FRESH_PIECES):
             part = fresh[at:at + FRESH_PIECES]
-            self._kept.update(zip(part, self._whole(part)))
+            self._kept.update(zip(part, self._packed(self._merges, part)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not _SAFE.fullmatch(text) or self._added(text):
-            return self._whole([text])[0]
-        pieces = self._split(text.lower() if self._lower else text)
+        # Lower-casing can lead out of the safe characters, as from Ə to ə.
+        split = text.lower() if self._lower else text
+        if not _SAFE.fullmatch(text) or (self._lower and not _SAFE.fullmatch(split)) or self._added(text):
+            return self._packed(self._library, [text])[0]
+        pieces = self._split(split)
         try:
             return b"".join(map(self._kept.__getitem__, pieces))
         except KeyError:

@@ -95,6 +95,26 @@ def test_encoder_gives_the_library_s_ids(name):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_splits_every_safe_character_like_the_library(name):
+    from tokenizers import Tokenizer
+
+    from strataline.llm.tokens import _SAFE
+
+    library, own, rng = Tokenizer.from_file(vocabulary_path(name)), encoder(vocabulary_path(name)), random.Random(2)
+    safe = [c for c in map(chr, range(0x2100)) if _SAFE.fullmatch(c)]
+    texts = safe + [a + b for a in safe for b in rng.sample(safe, 4)] + ["".join(rng.choices(safe, k=40)) for _ in range(300)]
+    for text in [*texts, "Əli Ɓala $Ⱥ", "K ẞ Å İ"]:
+        got = np.frombuffer(own.encode(text), "<u4").tolist()
+        assert got == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_pieces_are_not_normalised_and_split_again():
+    own = Encoder(vocabulary_path("word_bpe_49k.json"))
+    own._library = None  # what only texts beyond the safe characters need
+    assert own.encode("Two words, 12 of them") == Encoder(vocabulary_path("word_bpe_49k.json")).encode("Two words, 12 of them")
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_encoder_takes_added_tokens_as_the_library_does(name):
     from tokenizers import Tokenizer
