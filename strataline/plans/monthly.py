@@ -669,16 +669,21 @@ def view_monthly_attendance(fact: DataFrame, months: DataFrame, schools: DataFra
 
 def view_year_level_patterns(fact: DataFrame, months: DataFrame, schools: DataFrame,
                              levels: DataFrame) -> DataFrame:
-    by = [*MONTH, "region", "school_type", "year_level", "year_level_label", "cohort_group",
-          "year_level_sort_order"]
+    """Students are counted by keys; the names of months and levels come to the groups after that, so that they don't
+    travel with every student. A level the dimension lacks counts as none."""
+    names = ["year_level_label", "cohort_group", "year_level_sort_order"]
     rows = (
-        fact.join(months, "month_key")
-        .join(schools.select("school_key", "region", "school_type"), "school_key")
-        .join(levels.withColumnRenamed("sort_order", "year_level_sort_order"), "year_level_key", "left")
+        fact.join(schools.select("school_key", "region", "school_type"), "school_key")
+        .join(levels.select("year_level_key", "year_level"), "year_level_key", "left")
     )
+    sums = summed_days(rows, ["month_key", "region", "school_type", "year_level"],
+                       F.count(F.lit(1)).alias("attendance_record_count"),
+                       F.countDistinct("student_key").alias("student_count"))
+    labelled = levels.withColumnRenamed("sort_order", "year_level_sort_order").select("year_level", *names)
     return (
-        summed_days(rows, by, F.count(F.lit(1)).alias("attendance_record_count"),
-                    F.countDistinct("student_key").alias("student_count"))
+        sums.join(months.select("month_key", *MONTH), "month_key").join(labelled, "year_level", "left")
+        .select(*MONTH, "region", "school_type", "year_level", *names, "possible_days", "attended_days",
+                "attendance_record_count", "student_count")
         .withColumn("attendance_rate", ratio_decimal("attended_days", "possible_days"))
     )
 

@@ -139,3 +139,22 @@ def test_a_record_with_a_rejected_row_falls_out_with_its_later_rows(spark, rows)
 
     got = r.latest_unless_rejected(df, ["k"], [F.desc("n")], "bad")
     assert rows(got) == sorted([("a", 2), (None, 2), ("c", None)], key=str)
+
+
+def test_level_view_sends_no_names_with_the_students(spark):
+    fact = spark.createDataFrame(
+        [(202401, 1, 7, 7, 20, 18), (202401, 1, 8, 7, 10, 9), (202401, 2, 7, 7, 5, 5),  # a student at two schools
+         (202401, 1, 9, 99, 20, 10), (202401, 1, 9, None, 10, 10),  # levels that the dimension lacks are one group
+         (202402, 1, 7, 7, 20, 20), (202403, 1, 7, 7, 20, 20), (None, 1, 7, 7, 1, 1), (202401, 9, 7, 7, 1, 1)],
+        "month_key int, school_key bigint, student_key bigint, year_level_key int, possible_days int, attended_days int")
+    months = monthly.dim_month(spark.createDataFrame([("2024-01",), ("2024-02",)], "reporting_month string"))
+    schools = spark.createDataFrame([(1, "North", "Primary"), (2, "North", "Primary")],
+                                    "school_key bigint, region string, school_type string")
+    levels = monthly.dim_year_level(spark.createDataFrame([(7,), (8,), (None,)], "current_year_level int"))
+    view = monthly.view_year_level_patterns(fact, months, schools, levels)
+    got = {(r.reporting_month, r.year_level, r.year_level_sort_order, r.possible_days, r.attended_days,
+            r.attendance_record_count, r.student_count) for r in view.collect()}
+    assert got == {("2024-01", 7, 7, 35, 32, 3, 2), ("2024-01", None, None, 30, 20, 2, 1), ("2024-02", 7, 7, 20, 20, 1, 1)}
+    shuffles = [line for line in view._jdf.queryExecution().executedPlan().toString().splitlines()
+                if "Exchange hashpartitioning" in line and "student_key" in line]
+    assert shuffles and not any("calendar_month_name" in line or "year_level_label" in line for line in shuffles)
