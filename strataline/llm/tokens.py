@@ -11,15 +11,16 @@ from __future__ import annotations
 import os
 import re
 import struct
+from collections.abc import Callable
 
 from .shared import held
 
 KEPT_PIECES = 300_000  # pieces of a generation; a worker keeps two, so common pieces are never encoded again
-
-FRESH_PIECES = 64  # encoded together: each holds some KB until it is copied out, and few of them stay in the CPU's cache
+LONGEST_KEPT = 64  # characters; longer pieces hardly come again
 
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-įĲ-ɏ"
 _NUMBERS = "0-9²³¹¼½¾"
+_SAFE_END = 0x20AD  # beyond the last of them
 _SAFE = re.compile(f"[\\t\\n\\r\\x20-\\x7E¡-¬®-įĲ-ɏ‐-‧‰-⁞€]*")
 # The split patterns of the two vocabularies, over the characters above.
 _BYTE_LEVEL = re.compile(
@@ -34,6 +35,29 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Kept(dict):
+    """Pieces and their ids; a piece that is not there is looked for in the generation before, or else encoded."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self._encode, self._older = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = self._encode(piece)
+        if len(piece) <= LONGEST_KEPT:
+            if len(self) >= KEPT_PIECES:
+                self._older = self.copy()
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Texts to the little-endian unsigned 32-bit bytes of their ids. An added token that stands in a text is taken as
     ordinary text, or, without ``added_as_text``, as the library takes it by default: as one id."""
@@ -44,32 +68,20 @@ class Encoder:
 
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = added_as_text
-        # A piece is normalised and split already: only the bytes and the merges are left to do. Both share one model.
-        self._merges = Tokenizer(self._library.model)
-        self._merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # A piece is normalised and split already: only the bytes and the model's merges are left to do.
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        safe = [c for c in map(chr, range(_SAFE_END)) if _SAFE.fullmatch(c)]
+        self._bytes = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in safe}
+        self._merge = self._library.model.tokenize
         self._lower = self._library.normalizer is not None
         # Where an added token may stand; a match by letters of either case, since some are found after lower-casing.
         added = [] if added_as_text else [t.content for t in self._library.get_added_tokens_decoder().values() if t.content]
         self._added = re.compile("|".join(map(re.escape, added)) if added else r"(?!)", re.I).search
         self._split = (_WORD_LEVEL if self._lower else _BYTE_LEVEL).findall
-        self._kept: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
-
-    @staticmethod
-    def _packed(tokenizer, texts: list[str]) -> list[bytes]:
-        found = (e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self._kept) > KEPT_PIECES:
-            self._kept, self._older = {}, self._kept
-        missing = pieces.difference(self._kept)
-        unknown = missing.difference(self._older)
-        self._kept.update((p, self._older[p]) for p in missing.difference(unknown))
-        fresh = list(unknown)
-        for at in range(0, len(fresh), FRESH_PIECES):
-            part = fresh[at:at + FRESH_PIECES]
-            self._kept.update(zip(part, self._packed(self._merges, part)))
+        self._kept = _Kept(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        return _packed([token.id for token in self._merge(piece.translate(self._bytes))])
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -77,13 +89,8 @@ class Encoder:
         # Lower-casing can lead out of the safe characters, as from Ə to ə.
         split = text.lower() if self._lower else text
         if not _SAFE.fullmatch(text) or (self._lower and not _SAFE.fullmatch(split)) or self._added(text):
-            return self._packed(self._library, [text])[0]
-        pieces = self._split(split)
-        try:
-            return b"".join(map(self._kept.__getitem__, pieces))
-        except KeyError:
-            self._learn(set(pieces))
-            return b"".join(map(self._kept.__getitem__, pieces))
+            return _packed(self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+        return b"".join(map(self._kept.__getitem__, self._split(split)))
 
 
 def encoder(path: str) -> Encoder:

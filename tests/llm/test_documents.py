@@ -115,6 +115,20 @@ def test_pieces_are_not_normalised_and_split_again():
     assert own.encode("Two words, 12 of them") == Encoder(vocabulary_path("word_bpe_49k.json")).encode("Two words, 12 of them")
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_keeps_few_and_short_pieces(name, monkeypatch):
+    from tokenizers import Tokenizer
+
+    from strataline.llm import tokens
+
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 3)
+    library, own = Tokenizer.from_file(vocabulary_path(name)), Encoder(vocabulary_path(name))
+    for text in ("one two three four five one two", "six seven one", "one " + "ab" * 5000 + " two", "é" * 300 + "\n five"):
+        for _ in range(2):
+            assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+            assert len(own._kept) <= 3 and max(map(len, own._kept)) <= 64
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_encoder_takes_added_tokens_as_the_library_does(name):
     from tokenizers import Tokenizer
