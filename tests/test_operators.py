@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataline.operators import history, matching, measures, numbering, quality, reconcile, rows as r, upsert
 from strataline.plans import assured
+from strataline.session import apply_settings
 
 
 def frame(spark, data, schema):
@@ -323,3 +324,9 @@ def test_rows_without_a_key_are_dealt_out(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_map_tasks_write_shuffles_without_gathering_their_rows(spark):
+    shuffles = int(apply_settings(spark).conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    assert shuffles <= int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
