@@ -16,6 +16,13 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).dropna().distinct()
 
 
+def by_shuffle(side: DataFrame) -> DataFrame:
+    """The side of a join that grows with the data, such as the students: it is never broadcast, however small its file. A
+    stored layer is judged by its compressed size, and a few MB of file can hold millions of rows (the snapshots of all
+    months repeat each student), which the driver would have to gather and build a table of."""
+    return side.hint("shuffle_merge")
+
+
 def orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str],
             blank_is_orphan: bool = True) -> DataFrame:
     """Child rows without a parent.

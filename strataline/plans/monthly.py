@@ -19,7 +19,7 @@ from ..functions.ratios import ratio_decimal
 from ..functions.text import blank_to_null, is_blank, or_default, to_day_any, to_decimal, to_int
 from ..operators.dimensions import month_dimension
 from ..operators.history import replay_state
-from ..operators.matching import exclude, exclude_in_place, latest_lookup, mark_known, mark_present
+from ..operators.matching import by_shuffle, exclude, exclude_in_place, latest_lookup, mark_known, mark_present
 from ..operators.measures import distinct_numbers, summed_days
 from ..operators.numbering import extend_surrogates
 from ..operators.quality import (Rule, Screened, caveats, describe, failed_records, pass_or_fail, readiness, rejected,
@@ -338,7 +338,7 @@ def _unless_rejected(rows: DataFrame, key: str, valid: Column, ties: Sequence[st
 def with_student_keys(marked: DataFrame, students: DataFrame) -> DataFrame:
     """Marked attendance with ``student_key`` (null if unknown), found in the partitioning the marks left."""
     numbered = students.select(F.col("student_id").alias("_student"), "student_key").withColumn(SPREAD, F.lit(0).cast("long"))
-    return marked.join(numbered, ["_student", SPREAD], "left")
+    return marked.join(by_shuffle(numbered), ["_student", SPREAD], "left")
 
 
 def _accepted_attendance(rows: DataFrame, schools: DataFrame) -> DataFrame:
@@ -397,7 +397,7 @@ def conformed_assessment_in_one_pass(bronze: DataFrame, students: DataFrame, sch
     rows = (
         typed.withColumn("_rejected", _rejects_key(
             rejected(rules_of(quality_rules(), "bronze.assessment_results")), "assessment_id"))
-        .join(students.select("student_id", "student_key"), "student_id", "left").drop("student_id")
+        .join(by_shuffle(students.select("student_id", "student_key")), "student_id", "left").drop("student_id")
         .join(schools.select("school_id", "school_key"), "school_id", "left").drop("school_id")
     )
     valid = _valid_assessment() & F.col("student_key").isNotNull() & F.col("school_key").isNotNull()
@@ -532,7 +532,7 @@ def snapshot_students(students: DataFrame, bronze_attendance: DataFrame, rejecte
     always = state.filter(enrolled).crossJoin(calendar).select("*", F.inline("_slices")).drop("_slices")
     # Rows meet the students first: the choice of distinct ones shares that shuffle.
     activity = bronze_attendance.select(blank_to_null("student_id").alias("student_id"), *SLICE).dropna()
-    sometimes = (state.filter(~enrolled).join(activity, "student_id").distinct()
+    sometimes = (by_shuffle(state.filter(~enrolled)).join(activity, "student_id").distinct()
                  .join(slices.select(*SLICE), list(SLICE), "left_semi"))
     members = exclude(always.unionByName(sometimes),
                       _rejected_keys(rejected, "bronze.students", "student_id"),
@@ -553,7 +553,7 @@ def merge_assessment(state: DataFrame, rows: DataFrame) -> DataFrame:
     numbers = extend_surrogates(state.select("assessment_id", "assessment_result_key"),
                                 rows.select("assessment_id"), "assessment_id",
                                 "assessment_result_key")
-    return merge_by_id(state, rows.join(numbers, "assessment_id"), "assessment_id")
+    return merge_by_id(state, rows.join(by_shuffle(numbers), "assessment_id"), "assessment_id")
 
 
 # ---------------------------------------------------------------- gold
@@ -608,7 +608,7 @@ def fact_attendance_monthly(attendance: DataFrame, status: DataFrame, bands: Dat
     level = status.select("reporting_month", "source_batch_id", "student_key",
                           F.col("year_level").alias("year_level_key"))
     return (
-        attendance.join(level, ["reporting_month", "source_batch_id", "student_key"], "left")
+        attendance.join(by_shuffle(level), ["reporting_month", "source_batch_id", "student_key"], "left")
         .join(bands.select("attendance_band", "attendance_band_key"), "attendance_band", "left")
         .select(dates.month_key("reporting_month").alias("month_key"), "student_key", "school_key",
                 "year_level_key", "attendance_band_key", "possible_days", "attended_days",

@@ -6,6 +6,7 @@ import pytest
 
 from strataline.operators import rows as r
 from strataline.plans import monthly
+from strataline.session import materialise
 
 A, B = ("2024_01", "2024-01"), ("2024_02", "2024-02")
 ATTENDANCE = "source_batch_id string, reporting_month string, " + ", ".join(
@@ -158,3 +159,25 @@ def test_level_view_sends_no_names_with_the_students(spark):
     shuffles = [line for line in view._jdf.queryExecution().executedPlan().toString().splitlines()
                 if "Exchange hashpartitioning" in line and "student_key" in line]
     assert shuffles and not any("calendar_month_name" in line or "year_level_label" in line for line in shuffles)
+
+
+def test_a_side_that_grows_with_the_students_is_never_broadcast(spark, month):
+    """The snapshots of all months compress to a file that looks small enough to broadcast."""
+    bronze, known, students, schools, _ = month
+    months = spark.createDataFrame([(f"{y}_{m:02}", f"{y}-{m:02}") for y in range(2000, 2010) for m in range(1, 13)],
+                                   "source_batch_id string, reporting_month string")
+    status = materialise(spark.range(2000).selectExpr("id as student_key", "cast(id % 13 as int) as year_level").crossJoin(months))
+    attendance = spark.range(50).selectExpr("id as student_key", "'2000_01' as source_batch_id", "'2000-01' as reporting_month",
+                                            "'Low' as attendance_band", "20 as possible_days", "10 as attended_days",
+                                            "cast(0.5 as decimal(6,4)) as attendance_rate", "id as school_key")
+    bands = monthly.dim_attendance_band(spark).limit(0)  # its own join is as it was
+    state = students.selectExpr("*", "1L as current_school_key", "7 as current_year_level", "'x' as gender", "'Left' as status")
+    marked = monthly.mark_attendance(monthly._attendance_rows(bronze["attendance"]), bronze["students"], known)
+    facts = monthly.fact_attendance_monthly(attendance, status, bands)
+    assert sorted((r.student_key, r.year_level_key) for r in facts.collect()) == [(i, i % 13) for i in range(50)]
+    for df, key in ((facts, "student_key"), (monthly.with_student_keys(marked, materialise(students)), "_student"),
+                    (monthly.conformed_assessment_in_one_pass(bronze["assessment_results"], materialise(students), schools), "student_id"),
+                    (monthly.snapshot_students(materialise(state), bronze["attendance"], monthly.rejected_records(
+                        {"bronze.students": monthly.mark(bronze, bronze["schools"], known)["bronze.students"]}), months), "student_id")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert any("SortMergeJoin" in line and key in line for line in plan.splitlines()), plan
