@@ -330,3 +330,39 @@ def test_map_tasks_write_shuffles_without_gathering_their_rows(spark):
     shuffles = int(apply_settings(spark).conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
     assert shuffles <= int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+
+
+def test_marks_and_the_join_after_them_sort_the_rows_once(spark, rows):
+    """One shuffle and one sort by student and duplicate key serve duplicates, the look-up of students and a further join."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        student = ["batch_id", "student_id"]
+        facts = spark.createDataFrame(
+            [(1, "b", "s1", "c"), (2, "b", "s1", "c"), (3, "b", "s1", "d"), (4, "b", "s9", "c"), (5, "b", None, "c"), (6, "b", None, "c"),
+             (7, None, "s1", "c"), (8, "b", "", "c"), (9, "b", "", "c")], "id int, batch_id string, student_id string, school_id string")
+        students = spark.createDataFrame([("b", "s1", 10), ("b", "", 11), ("b", None, 12), (None, "s1", 13), ("b2", "s9", 14)],
+                                         "batch_id string, student_id string, n int")
+        twice = r.mark_duplicates(matching.deal_by(facts, student), [*student, "school_id"], "twice")
+        known = matching.mark_present(twice, students, student, "known", [r.SPREAD])
+        joined = known.join(students.withColumn(r.SPREAD, r.whole_spread(student)), [r.SPREAD, *student], "left").select(
+            "id", "twice", "known", "n")
+        assert rows(joined) == sorted([(1, True, True, 10), (2, True, True, 10), (3, False, True, 10), (4, False, False, None),
+                                       (5, False, False, None), (6, False, False, None), (7, False, False, None),
+                                       (8, True, True, 11), (9, True, True, 11)], key=str)
+        plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+        of_facts = [line for line in plan if "school_id" in line and ("Sort [" in line or "Exchange hashpartitioning" in line)]
+        assert sum("Sort [" in line for line in of_facts) == 1 and sum("SortMergeJoin" in line for line in plan) == 2, "\n".join(plan)
+        assert sum("REPARTITION" in line for line in plan) == 1 and sum("Exchange hashpartitioning" in line for line in plan) <= 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_task_reads_few_enough_rows_to_sort_them_in_memory(spark, tmp_path):
+    """A file below 32 MB is not one task's: narrow rows of such a part are millions."""
+    apply_settings(spark)
+    path = str(tmp_path / "rows")
+    spark.range(3_000_000).select("id", F.xxhash64("id").alias("h"), F.xxhash64("id", F.lit(1)).alias("g")).coalesce(1).write.option(
+        "parquet.block.size", 1 << 20).parquet(path)
+    assert spark.read.parquet(path).rdd.getNumPartitions() >= 12  # 60 MB: 4 MB a part; by 32 MB and 8 cores 8
